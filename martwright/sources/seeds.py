@@ -9,18 +9,23 @@ from pyspark.sql import types as T
 from martwright.functions.dates import or_now
 from martwright.sources.schemas import RAW_CUSTOMERS, RAW_ORDERS, columns
 
-# Quotes inside a value are doubled, as spreadsheet programs and Python's csv module do.
+# Quotes inside a value are doubled, as spreadsheet programs and Python's csv module do. Null and
+# the empty string are both written as nothing and read as null.
 _FORMAT = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
+_PLAIN = {
+    "emptyValue": "",
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 SEED_SCHEMAS = {"raw_customers": RAW_CUSTOMERS, "raw_orders": RAW_ORDERS}
 
 
 def write_seed(df: DataFrame, name: str, path: str) -> None:
     """Write the columns of the seed ``name`` in their fixed order."""
-    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.select(*columns(SEED_SCHEMAS[name])).write.mode("overwrite").options(
-        **_FORMAT, **keep_blanks
-    ).csv(path)
+    rows = df.select(*columns(SEED_SCHEMAS[name]))
+    rows.write.mode("overwrite").options(**_FORMAT, **_PLAIN).csv(path)
 
 
 def read_seed(spark: SparkSession, name: str, path: str, multiline: bool = False) -> DataFrame:

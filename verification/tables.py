@@ -72,7 +72,7 @@ FACT_DEFECTS = {
         (4, "NULL"),
     ],
 }
-DUPLICATE_REMAINDER = 59  # rows with this remainder come twice
+DUPLICATE_REMAINDER = 59  # rows with this remainder come twice, a day apart
 
 
 def defect_sql(column: str, defects: dict, number: str, cycle: int) -> str:
@@ -88,7 +88,8 @@ def _spoil(df: DataFrame, defects: dict, number: str, cycle: int) -> DataFrame:
     )
     twice = F.col(number) % cycle == DUPLICATE_REMAINDER
     copies = F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return df.withColumn("_copy", F.explode(copies)).drop("_copy")
+    later = F.expr("created_at + make_dt_interval(_copy - 1)")
+    return df.withColumn("_copy", F.explode(copies)).withColumn("created_at", later).drop("_copy")
 
 
 def scan(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:
