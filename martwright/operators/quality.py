@@ -74,6 +74,10 @@ def _breaks(bad: Column, null_fails: bool) -> Column:
     return F.coalesce(bad, F.lit(True)) if null_fails else bad
 
 
+def _named(name: str, null_fails: bool) -> str:
+    return f"{name}_strict" if null_fails else name
+
+
 def not_null(column: str) -> RowCheck:
     return RowCheck("not_null", column, F.col(column).isNull())
 
@@ -85,18 +89,17 @@ def not_blank(column: str) -> RowCheck:
 
 def accepted_values(column: str, values: Sequence, null_fails: bool = False) -> RowCheck:
     bad = ~F.col(column).isin(list(values))
-    return RowCheck("accepted_values", column, _breaks(bad, null_fails))
+    return RowCheck(_named("accepted_values", null_fails), column, _breaks(bad, null_fails))
 
 
-def accepted_range(
-    column: str, low=None, high=None, null_fails: bool = False, name: str = "accepted_range"
-) -> RowCheck:
+def accepted_range(column: str, low=None, high=None, null_fails: bool = False) -> RowCheck:
     """Both bounds are inclusive; either may be left out."""
     c = F.col(column)
     sides = [c < F.lit(low)] if low is not None else []
     if high is not None:
         sides.append(c > F.lit(high))
-    return RowCheck(name, column, _breaks(reduce(Column.__or__, sides), null_fails))
+    bad = reduce(Column.__or__, sides)
+    return RowCheck(_named("accepted_range", null_fails), column, _breaks(bad, null_fails))
 
 
 def positive(column: str) -> RowCheck:
@@ -144,7 +147,7 @@ def all_different(column: str) -> UniqueCheck:
 def relationship(
     column: str, parent: str, parent_key: str, null_passes: bool = True
 ) -> ReferenceCheck:
-    name = "relationship" if null_passes else "reference"
+    name = _named("relationship", not null_passes)
     return ReferenceCheck(name, column, parent, parent_key, null_passes)
 
 
@@ -205,30 +208,47 @@ def unique_report(df: DataFrame, table: str, checks: Sequence[UniqueCheck]) -> D
 
 
 def reference_report(
-    child: DataFrame, table: str, check: ReferenceCheck, parent: DataFrame
+    child: DataFrame, table: str, checks: Sequence[ReferenceCheck], parent: DataFrame
 ) -> DataFrame:
-    lost = orphan_keys(child, parent, check.column, check.parent_key)
-    if check.null_passes:
-        lost = lost.filter(F.col(check.column).isNotNull())
-    return _report(lost, [_result(table, check, F.sum("rows"))])
+    """Results of checks that share their columns, from one join."""
+    column = checks[0].column
+    lost = orphan_keys(child, parent, column, checks[0].parent_key)
+    rows, has_key = F.col("rows"), F.col(column).isNotNull()
+    results = [
+        _result(table, c, F.sum(F.when(has_key, rows) if c.null_passes else rows)) for c in checks
+    ]
+    return _report(lost, results)
+
+
+def _merged(suite: Sequence[TableChecks]) -> dict[str, list[Check]]:
+    """All checks per table, the same check only once."""
+    merged: dict[str, dict] = {}
+    for entry in suite:
+        for check in entry.checks:
+            merged.setdefault(entry.table, {}).setdefault((check.name, check.column), check)
+    return {table: list(checks.values()) for table, checks in merged.items()}
 
 
 def run_checks(tables: dict[str, DataFrame], suite: Sequence[TableChecks]) -> DataFrame:
-    """The report over all tables of the suite: one row per check with its failures."""
+    """The report over all tables of the suite: one row per check with its failures.
+
+    Suites that are run together share their passes over a table.
+    """
     parts = []
-    for entry in suite:
-        df, table = tables[entry.table], entry.table
-        on_rows = [c for c in entry.checks if isinstance(c, RowCheck | NonEmptyCheck)]
-        on_keys = [c for c in entry.checks if isinstance(c, UniqueCheck)]
+    for table, checks in _merged(suite).items():
+        df = tables[table]
+        on_rows = [c for c in checks if isinstance(c, RowCheck | NonEmptyCheck)]
+        on_keys = [c for c in checks if isinstance(c, UniqueCheck)]
+        references: dict[tuple, list[ReferenceCheck]] = {}
+        for c in checks:
+            if isinstance(c, ReferenceCheck):
+                references.setdefault((c.column, c.parent, c.parent_key), []).append(c)
         if on_rows:
             parts.append(row_report(df, table, on_rows))
         if on_keys:
             parts.append(unique_report(df, table, on_keys))
-        parts += [
-            reference_report(df, table, c, tables[c.parent])
-            for c in entry.checks
-            if isinstance(c, ReferenceCheck)
-        ]
+        for (_, parent, _), group in references.items():
+            parts.append(reference_report(df, table, group, tables[parent]))
     return reduce(DataFrame.unionByName, parts).select(*RESULT_COLUMNS)
 
 

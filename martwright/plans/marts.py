@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions.keys import hash_key
 from martwright.operators.joins import lookup
+from martwright.operators.loading import first_per_key
 from martwright.operators.sequence import with_sequence_key
 from martwright.sources.schemas import DIM_CUSTOMERS, FCT_ORDERS, document
 
@@ -32,7 +33,8 @@ def build_dim_customers(
         F.to_date("created_at").alias("customer_since"),
         "updated_at",
     )
-    return document(_keyed(known, "customer_id", "customer_key", keys), DIM_CUSTOMERS)
+    keyed = _keyed(known, "customer_id", "customer_key", keys, first_by="customer_since")
+    return document(keyed, DIM_CUSTOMERS)
 
 
 def build_fct_orders(
@@ -60,12 +62,13 @@ def build_fct_orders(
         "order_region",
         "created_at",
     )
-    return document(_keyed(found, "order_id", "order_key", keys), FCT_ORDERS)
+    return document(_keyed(found, "order_id", "order_key", keys, "created_at"), FCT_ORDERS)
 
 
-def _keyed(df: DataFrame, natural: str, name: str, keys: str) -> DataFrame:
+def _keyed(df: DataFrame, natural: str, name: str, keys: str, first_by: str) -> DataFrame:
     if keys == "sequence":
-        return with_sequence_key(df, natural, name)
+        # Numbers are given to keys inserted once each, so copies of a key are dropped first.
+        return with_sequence_key(first_per_key(df, natural, [first_by]), natural, name)
     if keys != "hash":
         raise ValueError(f"keys must be 'hash' or 'sequence', not {keys!r}")
     return df.select(hash_key(F.col(natural)).alias(name), "*")

@@ -690,19 +690,19 @@ _ASSERTED_RAW = [
         "not_blank", "raw_customers", "customer_email",
         "customer_email IS NULL OR customer_email = ''",
     ),
-    _check("accepted_values", "raw_customers", "region", f"region IS NULL OR region {_REGION}"),
+    _check("accepted_values_strict", "raw_customers", "region", f"region IS NULL OR region {_REGION}"),
     _check("not_blank", "raw_customers", "country", "country IS NULL OR country = ''"),
     _empty("raw_customers"),
     _different("raw_orders", "order_id"),
     *_missing("raw_orders", "order_id", "order_date"),
     _check("positive", "raw_orders", "quantity", "quantity IS NULL OR quantity <= 0"),
     _check("non_negative", "raw_orders", "unit_price", "unit_price IS NULL OR unit_price < 0"),
-    _check("accepted_values", "raw_orders", "region", f"region IS NULL OR region {_REGION}"),
+    _check("accepted_values_strict", "raw_orders", "region", f"region IS NULL OR region {_REGION}"),
     _check(
-        "accepted_values", "raw_orders", "order_status",
+        "accepted_values_strict", "raw_orders", "order_status",
         f"order_status IS NULL OR order_status {_STATUS}",
     ),
-    _reference("reference", "raw_orders", "customer_id", "raw_customers", "TRUE"),
+    _reference("relationship_strict", "raw_orders", "customer_id", "raw_customers", "TRUE"),
     _empty("raw_orders"),
 ]
 
@@ -712,14 +712,14 @@ def _asserted_marts(fact: str) -> list[str]:
         _different("dim_customers", "customer_key"),
         _different("dim_customers", "customer_id"),
         _check(
-            "accepted_range", "dim_customers", "customer_age",
+            "accepted_range_strict", "dim_customers", "customer_age",
             "customer_age IS NULL OR customer_age NOT BETWEEN 18 AND 100",
         ),
-        _check("accepted_values", "dim_customers", "region", f"region IS NULL OR region {_REGION}"),
+        _check("accepted_values_strict", "dim_customers", "region", f"region IS NULL OR region {_REGION}"),
         *_missing("dim_customers", "customer_since"),
         _different("fct_orders", "order_key"),
         _different("fct_orders", "order_id"),
-        _reference("reference", "fct_orders", "customer_key", "dim_customers", "TRUE"),
+        _reference("relationship_strict", "fct_orders", "customer_key", "dim_customers", "TRUE"),
         _check(
             "non_negative", "fct_orders", "total_amount",
             "total_pence IS NULL OR total_pence < 0", fact,
@@ -727,7 +727,7 @@ def _asserted_marts(fact: str) -> list[str]:
         _check("total_is_sum", "fct_orders", "total_amount", _BAD_TOTAL, fact),
         _check("tax_rate", "fct_orders", "tax_amount", _BAD_TAX, fact),
         _check(
-            "accepted_values", "fct_orders", "order_region",
+            "accepted_values_strict", "fct_orders", "order_region",
             f"order_region IS NULL OR order_region {_REGION}",
         ),
     ]
@@ -740,6 +740,10 @@ ORACLE["declared_mart_checks"] = _BOTH + " UNION ALL ".join(_MART_CHECKS)
 ORACLE["asserted_raw_checks"] = DIRTY + " UNION ALL ".join(_ASSERTED_RAW)
 ORACLE["asserted_mart_checks"] = _BOTH + " UNION ALL ".join(_asserted_marts("spoilt"))
 ORACLE["clean_mart_checks"] = CLEAN + " UNION ALL ".join(_asserted_marts("fct_orders"))
+_ALL = dict.fromkeys(
+    _SOURCE_CHECKS + _STAGING_CHECKS + _MART_CHECKS + _ASSERTED_RAW + _asserted_marts("spoilt")
+)
+ORACLE["quality_report"] = _BOTH + " UNION ALL ".join(_ALL)
 ORACLE["quality_summary"] = f"""{_BOTH} SELECT table_name, count(*) AS checks,
   count(*) FILTER (status = 'PASS') AS passed, count(*) FILTER (status = 'FAIL') AS failed
   FROM ({' UNION ALL '.join(_ASSERTED_RAW + _asserted_marts('spoilt'))}) GROUP BY table_name"""

@@ -587,6 +587,13 @@ _suite("asserted_mart_checks", suites.asserted_marts)
 _suite("clean_mart_checks", suites.asserted_marts, dirty=False)
 
 
+@query
+def quality_report(spark, folder):
+    """Both suites together, sharing their passes."""
+    tables = _all_tables(spark, folder, True)
+    return quality.run_checks(tables, suites.declared() + suites.asserted())
+
+
 @query
 def quality_summary(spark, folder):
     report = quality.run_checks(_all_tables(spark, folder, True), suites.asserted())
