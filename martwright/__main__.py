@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from martwright.plans import reports
 from martwright.plans.build import Warehouse, build_marts, check, load_raw
+from martwright.session import configured
 from martwright.sources.seeds import read_seed, with_load_times, write_seed
 from martwright.sources.synthetic import generate
 
@@ -23,7 +24,7 @@ def main() -> None:
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     args = parser.parse_args()
 
-    spark = SparkSession.builder.appName("martwright").getOrCreate()
+    spark = configured(SparkSession.builder.appName("martwright")).getOrCreate()
     warehouse = Warehouse(spark, args.folder)
     if args.step == "generate":
         load_raw(warehouse, *generate(spark, args.customers, args.orders))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PRICE = T.DecimalType(10, 2)
@@ -81,10 +82,8 @@ def columns(schema: T.StructType) -> list[str]:
 
 def document(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Attach the column descriptions of ``schema`` to the columns that ``df`` shares with it."""
-    for field in schema:
-        if field.name in df.columns:
-            df = df.withMetadata(field.name, field.metadata)
-    return df
+    notes = {field.name: field.metadata for field in schema}
+    return df.select(*[F.col(c).alias(c, metadata=notes.get(c, {})) for c in df.columns])
 
 
 def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:

@@ -53,13 +53,16 @@ ITEMS_PER_CATEGORY = 6
 
 
 def draw(number: str, stream: str, size: int) -> str:
-    """SQL for a repeatable number in ``[0, size)`` for the row with this number.
+    """SQL for a repeatable number in ``[0, size)``: one modular product on 64-bit integers.
 
-    Two modular products on 64-bit integers, within whole-stage code generation. The squaring
-    keeps the attributes of one row from being linear in one another.
+    ``number`` counts the rows within ``[1, PRIME]``; see ``folded``.
     """
-    mixed = f"((({number} + 1L) % {PRIME}L) * {STREAMS[stream]}L % {PRIME}L)"
-    return f"({mixed} * {mixed} % {PRIME}L % {size}L)"
+    return f"({number} * {STREAMS[stream]}L % {PRIME}L % {size}L)"
+
+
+def folded(number: str) -> str:
+    """SQL that brings any row number into the range the draws take."""
+    return f"({number} % {PRIME}L + 1L)"
 
 
 def pick(values: Sequence[str], index: str) -> str:
@@ -75,7 +78,8 @@ def weighted(values: Sequence, weights: Sequence[int], point: str) -> str:
 
 
 def region_of(customer: str) -> str:
-    return f"if({draw(customer, 'region', 100)} < {domain.UK_SHARE_PERCENT}, 'UK', 'EU')"
+    point = draw(folded(customer), "region", 100)
+    return f"if({point} < {domain.UK_SHARE_PERCENT}, 'UK', 'EU')"
 
 
 def customers_from(
@@ -84,40 +88,40 @@ def customers_from(
     """Raw customers, one for each row of ``numbers``; ``keep`` names columns to carry along."""
 
     def by_region(uk: Sequence[str], eu: Sequence[str], stream: str) -> Column:
-        uk_value = pick(uk, draw("_n", stream, len(uk)))
-        eu_value = pick(eu, draw("_n", stream, len(eu)))
+        uk_value = pick(uk, draw("_m", stream, len(uk)))
+        eu_value = pick(eu, draw("_m", stream, len(eu)))
         return F.expr(f"if(_region = 'UK', {uk_value}, {eu_value})")
 
     if country is None:
         country = by_region(domain.UK_COUNTRIES, domain.EU_COUNTRIES, "country")
-    drawn = numbers.withColumn("_n", F.col(number).cast("bigint")).withColumn(
-        "_region", F.expr(region_of("_n"))
-    )
-    drawn = drawn.select(
+    numbers = numbers.withColumn("_n", F.col(number).cast("bigint"))
+    numbers = numbers.withColumns({"_m": F.expr(folded("_n")), "_region": F.expr(region_of("_n"))})
+    drawn = numbers.select(
         "_n",
+        "_m",
         "_region",
         by_region(UK_FIRST, EU_FIRST, "first").alias("_first"),
         by_region(UK_LAST, EU_LAST, "last").alias("_last"),
         by_region(UK_MAIL, EU_MAIL, "mail").alias("_mail"),
         country.alias("country"),
-        F.expr(f"date_add(DATE '2022-01-01', cast({draw('_n', 'joined', 801)} as int))").alias(
+        F.expr(f"date_add(DATE '2022-01-01', cast({draw('_m', 'joined', 801)} as int))").alias(
             "_joined"
         ),
         *keep,
     )
-    a, b = f"{draw('_n', 'phone_a', 900)} + 100", f"{draw('_n', 'phone_b', 900)} + 100"
-    c, prefix = f"{draw('_n', 'phone_c', 9000)} + 1000", f"{draw('_n', 'country', 19)} + 31"
+    a, b = f"{draw('_m', 'phone_a', 900)} + 100", f"{draw('_m', 'phone_b', 900)} + 100"
+    c, prefix = f"{draw('_m', 'phone_c', 9000)} + 1000", f"{draw('_m', 'country', 19)} + 31"
     phone = (
         f"if(_region = 'UK', format_string('+44 7%d %d %d', {a}, {b}, {c}),"
         f" format_string('+%d %d %d %d', {prefix}, {a}, {b}, {c}))"
     )
     birth = (
-        f"make_date(cast({draw('_n', 'birth_year', 56)} + 1950 as int),"
-        f" cast({draw('_n', 'birth_month', 12)} + 1 as int),"
-        f" cast({draw('_n', 'birth_day', 28)} + 1 as int))"
+        f"make_date(cast({draw('_m', 'birth_year', 56)} + 1950 as int),"
+        f" cast({draw('_m', 'birth_month', 12)} + 1 as int),"
+        f" cast({draw('_m', 'birth_day', 28)} + 1 as int))"
     )
     names = F.col("_first"), F.col("_last")
-    gender = pick(domain.GENDERS, draw("_n", "gender", len(domain.GENDERS)))
+    gender = pick(domain.GENDERS, draw("_m", "gender", len(domain.GENDERS)))
     return drawn.select(
         padded_id("CUST", F.col("_n")).alias("customer_id"),
         F.concat_ws(" ", *names).alias("customer_full_name"),
@@ -146,30 +150,31 @@ def orders_from(
     The buyer is the given customer number, or one drawn from ``1 .. customers``. A product costs
     between 1.25 and 12.95, varied by a factor of 0.9 to 1.2 per order.
     """
-    n = "_n"
     if customer is None:
-        customer = F.expr(f"{draw(n, 'buyer', customers)} + 1")
+        customer = F.expr(f"{draw('_m', 'buyer', customers)} + 1")
     if order_date is None:
-        order_date = F.expr(f"date_add(DATE '2022-01-01', cast({draw(n, 'day', 1001)} as int))")
+        order_date = F.expr(f"date_add(DATE '2022-01-01', cast({draw('_m', 'day', 1001)} as int))")
     products = len(domain.PRODUCT_CATEGORIES) * ITEMS_PER_CATEGORY
-    drawn = numbers.withColumn(n, F.col(number).cast("bigint")).select(
-        n,
+    numbers = numbers.withColumn("_n", F.col(number).cast("bigint"))
+    drawn = numbers.withColumn("_m", F.expr(folded("_n"))).select(
+        "_n",
+        "_m",
         customer.alias("_customer"),
         order_date.alias("order_date"),
-        F.expr(draw(n, "product", products)).alias("_product"),
+        F.expr(draw("_m", "product", products)).alias("_product"),
+        F.expr(draw("_m", "status", 100)).alias("_status"),
+        F.expr(draw("_m", "quantity", 100)).alias("_quantity"),
         *keep,
     )
     category = pick(domain.PRODUCT_CATEGORIES, f"_product div {ITEMS_PER_CATEGORY}")
     item = f"_product % {ITEMS_PER_CATEGORY} + 1"
-    pence = f"((125 + _product * 397 % 1171) * ({draw(n, 'price', 301)} + 900) + 500) div 1000"
+    pence = f"((125 + _product * 397 % 1171) * ({draw('_m', 'price', 301)} + 900) + 500) div 1000"
     price = f"cast(cast({pence} as decimal(10,0)) * 0.01BD as decimal(10,2))"
-    status = weighted(
-        domain.ORDER_STATUSES, domain.ORDER_STATUS_WEIGHTS, draw(n, "status", 100)
-    )
-    quantity = weighted(domain.QUANTITIES, domain.QUANTITY_WEIGHTS, draw(n, "quantity", 100))
-    payment = pick(domain.PAYMENT_METHODS, draw(n, "payment", len(domain.PAYMENT_METHODS)))
+    status = weighted(domain.ORDER_STATUSES, domain.ORDER_STATUS_WEIGHTS, "_status")
+    quantity = weighted(domain.QUANTITIES, domain.QUANTITY_WEIGHTS, "_quantity")
+    payment = pick(domain.PAYMENT_METHODS, draw("_m", "payment", len(domain.PAYMENT_METHODS)))
     return drawn.select(
-        padded_id("ORD", F.col(n)).alias("order_id"),
+        padded_id("ORD", F.col("_n")).alias("order_id"),
         padded_id("CUST", F.col("_customer")).alias("customer_id"),
         "order_date",
         F.expr(status).alias("order_status"),

@@ -12,9 +12,15 @@ from pyspark.sql import types as T
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, select: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    select: Sequence[str] = (),
 ) -> DataFrame:
-    """Scan a Parquet table; only the selected columns are read."""
+    """Scan a Parquet table; only the selected columns are read.
+
+    With a schema no file has to be opened before the query runs.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
     return df.select(*select) if select else df

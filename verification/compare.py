@@ -10,7 +10,9 @@ import time
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from martwright.session import local_session
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -53,17 +55,6 @@ def difference(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -
     return None
 
 
-def local_session(partitions: int = 8) -> SparkSession:
-    return (
-        SparkSession.builder.master("local[8]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
-
-
 def main() -> int:
     from verification.oracle import ORACLE
     from verification.queries import QUERIES

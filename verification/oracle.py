@@ -23,8 +23,7 @@ S = "CAST({} AS VARCHAR)".format
 
 
 def _draw(number: str, stream: str, size: int) -> str:
-    mixed = f"((({number} + 1) % {s.PRIME}) * {s.STREAMS[stream]} % {s.PRIME})"
-    return f"({mixed} * {mixed} % {s.PRIME} % {size})"
+    return f"(({number} % {s.PRIME} + 1) * {s.STREAMS[stream]} % {s.PRIME} % {size})"
 
 
 def _texts(values) -> str:

@@ -66,8 +66,7 @@ def raw_orders(spark, folder):
 
 @query
 def projected_scan(spark, folder):
-    path = f"{folder}/orders.parquet"
-    return read_table(spark, path, select=["o_orderkey", "o_orderstatus"]).orderBy("o_orderkey")
+    return t.scan(spark, folder, "orders", "o_orderkey", "o_orderstatus")
 
 
 def _seed_round_trip(spark, folder, name):

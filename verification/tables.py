@@ -92,8 +92,15 @@ def _spoil(df: DataFrame, defects: dict, number: str, cycle: int) -> DataFrame:
     return df.withColumn("_copy", F.explode(copies)).withColumn("created_at", later).drop("_copy")
 
 
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+}
+
+
 def scan(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{table}.parquet", select=columns)
+    return read_table(spark, f"{folder}/{table}.parquet", SCHEMAS[table], columns)
 
 
 def raw_customers(spark: SparkSession, folder: str, dirty: bool = False) -> DataFrame:
