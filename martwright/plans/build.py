@@ -17,10 +17,17 @@ from martwright.sources.schemas import (
     FCT_ORDERS,
     RAW_CUSTOMERS,
     RAW_ORDERS,
+    columns,
     document,
 )
 from martwright.sources.tables import append_rows, read_table, refresh_table
 
+SCHEMAS = {
+    "raw_customers": RAW_CUSTOMERS,
+    "raw_orders": RAW_ORDERS,
+    "dim_customers": DIM_CUSTOMERS,
+    "fct_orders": FCT_ORDERS,
+}
 PARTITION_COLUMNS = {"dim_customers": "region", "fct_orders": "order_region"}
 
 
@@ -35,11 +42,12 @@ class Warehouse:
         return f"{self.folder.rstrip('/')}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return read_table(self.spark, self.path(table))
+        """The stored table, columns in their order and described; folders come last on disk."""
+        df, schema = read_table(self.spark, self.path(table)), SCHEMAS[table]
+        return document(df.select(*[c for c in columns(schema) if c in df.columns]), schema)
 
     def tables(self) -> dict[str, DataFrame]:
-        names = ("raw_customers", "raw_orders", "dim_customers", "fct_orders")
-        return {name: self.read(name) for name in names}
+        return {name: self.read(name) for name in SCHEMAS}
 
 
 def load_raw(warehouse: Warehouse, customers: DataFrame, orders: DataFrame) -> None:
@@ -88,8 +96,7 @@ def add_to_marts(warehouse: Warehouse, as_of: dt.date | str, age: str = "complet
 
 
 def _store(warehouse: Warehouse, table: str, df: DataFrame) -> None:
-    schema = {"dim_customers": DIM_CUSTOMERS, "fct_orders": FCT_ORDERS}[table]
-    refresh_table(document(df, schema), warehouse.path(table), PARTITION_COLUMNS[table])
+    refresh_table(document(df, SCHEMAS[table]), warehouse.path(table), PARTITION_COLUMNS[table])
 
 
 def _add(warehouse: Warehouse, table: str, df: DataFrame, key: str, order: str) -> None:

@@ -1,0 +1,230 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from conftest import customer, order
+from pyspark.sql import functions as F
+
+from martwright.operators import quality as q
+from martwright.plans import suites
+from martwright.plans.marts import build_dim_customers, build_fct_orders
+from martwright.plans.staging import rejected_orders, stage_customers, stage_orders
+
+
+def tables_of(customers, orders, people, sales):
+    raw_customers, raw_orders = customers(*people), orders(*sales)
+    tables = {"raw_customers": raw_customers, "raw_orders": raw_orders}
+    tables["stg_customers"] = stage_customers(raw_customers, "2024-01-01")
+    tables["stg_orders"] = stage_orders(raw_orders)
+    tables["dim_customers"] = build_dim_customers(tables["stg_customers"])
+    tables["fct_orders"] = build_fct_orders(tables["stg_orders"], tables["dim_customers"])
+    return tables
+
+
+def failures(report):
+    return {
+        (r["table_name"], r["column_name"], r["check_name"]): r["failed_rows"]
+        for r in report.collect()
+        if r["status"] == "FAIL"
+    }
+
+
+@pytest.fixture
+def clean(customers, orders):
+    people = [customer("C1", region="UK"), customer("C2", region="EU")]
+    sales = [
+        order("O1", order_status="Shipped", region="UK"),
+        order("O2", "C2", order_status="Pending", region="EU"),
+    ]
+    return tables_of(customers, orders, people, sales)
+
+
+def test_suites_have_the_expected_number_of_checks():
+    def size(suite):
+        return sum(len(entry.checks) for entry in suite)
+
+    assert size(suites.declared_sources()) == 13
+    assert size(suites.declared_staging()) == 8
+    assert size(suites.declared_marts()) == 28
+    assert [len(t.checks) for t in suites.asserted()] == [7, 9, 5, 7]
+
+
+def test_clean_tables_pass(clean):
+    report = q.run_checks(clean, suites.declared() + suites.asserted())
+    assert failures(report) == {}
+    assert report.count() == 49 + 28 - 3  # checks that both suites share run once
+
+
+def test_defects_are_counted(customers, orders):
+    people = [
+        customer("C1", region="UK"),
+        customer("C1", region="UK"),
+        customer(None, region="UK"),
+        customer("C3", region=None, country=None),
+        customer("C4", region="US", country=""),
+        customer("C5", region="UK", customer_email=""),
+        customer("C6", region="UK", customer_email=None),
+        customer("C7", region="UK", customer_email="x.org"),
+        customer("C8", region="UK", date_of_birth=dt.date(2006, 1, 2)),
+        customer("C9", region="UK", date_of_birth=dt.date(1922, 12, 31)),
+        customer("C10", region="UK", date_of_birth=None),
+        customer("C11", region="UK", created_at=None),
+    ]
+    good = {"order_status": "Shipped", "region": "UK"}
+    sales = [
+        order("O1", "C5", **good),
+        order("O1", "C5", **good),
+        order(None, "C5", **good),
+        order(None, "C5", **good),
+        order("O3", "lost", **good),
+        order("O4", None, **good),
+        order("O5", "C5", **good | {"quantity": 0}),
+        order("O6", "C5", **good | {"quantity": None}),
+        order("O7", "C5", **good | {"unit_price": Decimal("-0.01")}),
+        order("O8", "C5", **good | {"unit_price": None}),
+        order("O9", "C5", **good | {"order_date": None}),
+        order("O10", "C5", **good | {"order_status": "Lost"}),
+        order("O11", "C5", **good | {"order_status": None}),
+        order("O12", "C5", **good | {"region": "uk "}),
+        order("O13", "C5", **good | {"region": None}),
+        order("O14", "C5", **good | {"unit_price": Decimal("0.01"), "quantity": 1}),
+        order("O15", "C5", **good | {"quantity": 1001}),
+    ]
+    tables = tables_of(customers, orders, people, sales)
+    declared = failures(q.run_checks(tables, suites.declared()))
+    assert declared == {
+        ("raw_customers", "customer_id", "unique"): 1,
+        ("raw_customers", "customer_id", "not_null"): 1,
+        ("raw_customers", "customer_email", "not_null"): 1,
+        ("raw_customers", "country", "not_null"): 1,
+        ("raw_customers", "region", "accepted_values"): 1,
+        ("raw_orders", "order_id", "unique"): 1,
+        ("raw_orders", "order_id", "not_null"): 2,
+        ("raw_orders", "customer_id", "relationship"): 1,
+        ("raw_orders", "quantity", "not_null"): 1,
+        ("raw_orders", "quantity", "accepted_range"): 1,
+        ("raw_orders", "unit_price", "not_null"): 1,
+        ("raw_orders", "unit_price", "accepted_range"): 1,
+        ("raw_orders", "region", "accepted_values"): 1,
+        ("stg_customers", "customer_id", "unique"): 1,
+        ("stg_customers", "customer_id", "not_null"): 1,
+        ("stg_customers", "region", "accepted_values"): 1,
+        ("stg_orders", "order_id", "unique"): 1,
+        ("stg_orders", "order_id", "not_null"): 2,
+        ("stg_orders", "customer_id", "not_null"): 1,
+        ("dim_customers", "customer_key", "unique"): 1,
+        ("dim_customers", "customer_id", "unique"): 1,
+        ("dim_customers", "customer_email", "not_null"): 1,
+        ("dim_customers", "region", "not_null"): 1,
+        ("dim_customers", "region", "accepted_values"): 1,
+        ("dim_customers", "customer_age", "accepted_range"): 2,
+        ("dim_customers", "country", "not_null"): 1,
+        ("dim_customers", "customer_since", "not_null"): 1,
+        ("fct_orders", "order_key", "unique"): 2,  # O1, and the two keys made from a null
+        ("fct_orders", "order_id", "unique"): 1,
+        ("fct_orders", "order_id", "not_null"): 2,
+        ("fct_orders", "order_status", "not_null"): 1,
+        ("fct_orders", "order_status", "accepted_values"): 1,
+        ("fct_orders", "quantity", "accepted_range"): 1,
+        ("fct_orders", "order_region", "not_null"): 1,
+    }
+    asserted = failures(q.run_checks(tables, suites.asserted()))
+    assert asserted == {
+        ("raw_customers", "customer_id", "all_different"): 1,
+        ("raw_customers", "customer_id", "not_null"): 1,
+        ("raw_customers", "customer_email", "contains"): 3,
+        ("raw_customers", "customer_email", "not_blank"): 2,
+        ("raw_customers", "region", "accepted_values_strict"): 2,
+        ("raw_customers", "country", "not_blank"): 2,
+        ("raw_orders", "order_id", "all_different"): 2,
+        ("raw_orders", "order_id", "not_null"): 2,
+        ("raw_orders", "quantity", "positive"): 2,
+        ("raw_orders", "unit_price", "non_negative"): 2,
+        ("raw_orders", "region", "accepted_values_strict"): 2,
+        ("raw_orders", "order_date", "not_null"): 1,
+        ("raw_orders", "order_status", "accepted_values_strict"): 2,
+        ("raw_orders", "customer_id", "relationship_strict"): 2,
+        ("dim_customers", "customer_key", "all_different"): 1,
+        ("dim_customers", "customer_id", "all_different"): 1,
+        ("dim_customers", "customer_age", "accepted_range_strict"): 3,
+        ("dim_customers", "region", "accepted_values_strict"): 2,
+        ("dim_customers", "customer_since", "not_null"): 1,
+        ("fct_orders", "order_key", "all_different"): 2,
+        ("fct_orders", "order_id", "all_different"): 2,
+        ("fct_orders", "tax_amount", "tax_rate"): 1,
+        ("fct_orders", "order_region", "accepted_values_strict"): 1,
+    }
+    rejected = rejected_orders(tables["raw_orders"]).collect()
+    assert sorted((r["order_id"], r["reject_reason"]) for r in rejected) == [
+        ("O5", "quantity"),
+        ("O6", "quantity"),
+        ("O7", "unit_price"),
+        ("O8", "unit_price"),
+        ("O9", "order_date"),
+    ]
+    assert tables["stg_orders"].count() + len(rejected) == len(sales)
+
+
+@pytest.mark.parametrize(
+    "total, fails", [("12.00", 0), ("12.02", 0), ("12.03", 1), ("11.97", 1), (None, 1)]
+)
+def test_total_is_sum(spark, total, fails):
+    row = [(Decimal("10.00"), Decimal("2.00"), total and Decimal(total))]
+    df = spark.createDataFrame(row, "g decimal(12,2), t decimal(12,2), a decimal(12,2)")
+    assert q.failing_rows(df, q.total_is_sum("a", "g", "t")).count() == fails
+
+
+@pytest.mark.parametrize(
+    "gross, tax, fails",
+    [
+        ("10.00", "2.00", 0),
+        ("10.00", "2.09", 0),
+        ("10.00", "2.10", 1),
+        ("10.00", "1.90", 1),
+        ("0.00", "5.00", 0),
+        ("0.01", "0.00", 1),
+        ("10.00", None, 1),
+    ],
+)
+def test_tax_rate(spark, gross, tax, fails):
+    row = [(Decimal(gross), tax and Decimal(tax))]
+    df = spark.createDataFrame(row, "g decimal(12,2), t decimal(12,2)")
+    assert q.failing_rows(df, q.tax_rate("t", "g")).count() == fails
+
+
+def test_empty_table(spark, customers):
+    checks = [q.TableChecks("raw_customers", [q.non_empty(), q.unique("customer_id"), q.not_null("region")])]
+    empty = customers(customer("C1")).filter(F.lit(False))
+    assert failures(q.run_checks({"raw_customers": empty}, checks)) == {
+        ("raw_customers", "*", "non_empty"): 1
+    }
+
+
+def test_summary(clean):
+    got = q.summary(q.run_checks(clean, suites.asserted())).orderBy("table_name").collect()
+    assert [tuple(r) for r in got] == [
+        ("dim_customers", 5, 5, 0),
+        ("fct_orders", 7, 7, 0),
+        ("raw_customers", 7, 7, 0),
+        ("raw_orders", 9, 9, 0),
+    ]
+
+
+def test_row_checks_of_a_table_share_one_pass(spark, tmp_path):
+    spark.range(100).withColumn("v", F.col("id")).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    checks = [q.not_null("id"), q.accepted_range("id", 0, 50), q.positive("id"), q.non_empty()]
+    report = q.run_checks({"t": stored}, [q.TableChecks("t", checks)])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_unique_checks_of_a_table_share_one_scan(spark, tmp_path):
+    spark.range(100).withColumn("v", F.col("id") % 10).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    checks = [q.unique("id"), q.unique("v"), q.all_different("v")]
+    report = q.run_checks({"t": stored}, [q.TableChecks("t", checks)])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert failures(report) == {("t", "v", "unique"): 10, ("t", "v", "all_different"): 90}
