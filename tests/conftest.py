@@ -84,3 +84,8 @@ def plan_of(df):
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
+
+
+def node_lines(plan):
+    """The tree of a formatted plan without the details below it."""
+    return plan[: plan.index("\n\n\n")] if "\n\n\n" in plan else plan
