@@ -183,14 +183,14 @@ def row_report(df: DataFrame, table: str, checks: Sequence[RowCheck | NonEmptyCh
 
 def key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per value of each of the columns, all in one scan and one shuffle."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-            for c in columns
-        ]
-    )
-    pairs = df.select(F.inline(pairs))
-    return pairs.groupBy("column_name", "value").agg(F.count("*").alias("rows"))
+    pairs = [
+        F.struct(F.lit(i).alias("position"), F.col(c).cast("string").alias("value"))
+        for i, c in enumerate(columns, start=1)
+    ]
+    pairs = df.select(F.inline(F.array(*pairs)))
+    counts = pairs.groupBy("position", "value").agg(F.count("*").alias("rows"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return counts.select(F.element_at(names, F.col("position")).alias("column_name"), "value", "rows")
 
 
 def unique_report(df: DataFrame, table: str, checks: Sequence[UniqueCheck]) -> DataFrame:

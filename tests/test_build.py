@@ -5,6 +5,7 @@ import pytest
 from conftest import customer, order, plan_of
 from pyspark.sql import functions as F
 
+from martwright.operators.joins import orphans
 from martwright.plans import build
 from martwright.plans.marts import build_dim_customers, build_fct_orders
 from martwright.plans.staging import stage_customers, stage_orders
@@ -108,26 +109,43 @@ def test_valid_orders_are_filtered_in_the_scan(spark, orders, tmp_path):
     assert "order_status" not in schema and "product_description" not in schema
 
 
-def test_a_hot_customer_is_split_in_the_join(spark, conf, tmp_path):
-    """With a third of the orders on one customer, adaptive execution splits that partition."""
+@pytest.fixture
+def small_partitions(conf):
+    """Partitions of kilobytes count as large, and nothing is broadcast."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20000")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     conf("spark.sql.shuffle.partitions", "16")
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_customer_is_split_in_the_join(spark, small_partitions):
+    """With a third of the orders on one customer, adaptive execution splits that partition."""
     people, sales = generate(spark, 1000, 40000)
     hot = F.when(F.crc32("order_id") % 3 == 0, "CUST-00007").otherwise(F.col("customer_id"))
     sales = sales.withColumn("customer_id", hot).repartition(8)
     dim = build_dim_customers(stage_customers(people, DAY))
     fct = build_fct_orders(stage_orders(sales), dim)
-    fct.write.parquet(str(tmp_path / "f"))
     joined = fct.select("order_id", "customer_key", "total_amount")
-    assert joined.count() == 40000
     rows = joined.collect()
-    assert len({r["order_id"] for r in rows}) == 40000
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "isFinalPlan=true" in plan
-    assert "skew=true" in plan or "AQEShuffleRead skewed" in plan or "coalesced and skewed" in plan
+    assert len(rows) == len({r["order_id"] for r in rows}) == 40000
+    assert "SortMergeJoin(skew=true)" in final_plan(joined)
+
+
+@pytest.mark.parametrize("hot", ["CUST-X", None])
+def test_a_hot_orphan_key_is_split_in_the_join(spark, small_partitions, hot):
+    people, sales = generate(spark, 1000, 40000)
+    lost = F.when(F.crc32("order_id") % 3 == 0, F.lit(hot)).otherwise(F.col("customer_id"))
+    sales = sales.withColumn("customer_id", lost).repartition(8)
+    got = orphans(sales, people, "customer_id", "customer_id").select("order_id")
+    rows = got.collect()
+    want = sales.filter(F.crc32("order_id") % 3 == 0).count()
+    assert len(rows) == len({r["order_id"] for r in rows}) == want
+    assert "SortMergeJoin(skew=true)" in final_plan(got)
 
 
 def test_small_dimensions_are_broadcast_without_a_hint_and_large_ones_are_not(spark, conf, customers, orders):
