@@ -154,31 +154,24 @@ def relationship(
 # Evaluation.
 
 
-def _result(table: str, check: Check, failed: Column) -> Column:
-    failed = F.coalesce(failed.cast("bigint"), F.lit(0))
-    return F.struct(
-        F.lit(check.name).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        failed.alias("failed_rows"),
-        F.when(failed == 0, "PASS").otherwise("FAIL").alias("status"),
+def _report(df: DataFrame, table: str, failures: Sequence[tuple[Check, Column]]) -> DataFrame:
+    """One aggregation with a count per check, turned into a row per check."""
+    counts = df.agg(*[failed.alias(f"n{i}") for i, (_, failed) in enumerate(failures)])
+    rows = ", ".join(
+        f"'{check.name}', '{table}', '{check.column}', coalesce(cast(n{i} AS bigint), 0L)"
+        for i, (check, _) in enumerate(failures)
     )
-
-
-def _report(df: DataFrame, results: list[Column]) -> DataFrame:
-    """One aggregation with a result per check, turned into a row per check."""
-    return df.agg(F.array(*results).alias("results")).select(F.inline("results"))
+    names = ", ".join(RESULT_COLUMNS[:-1])
+    return counts.selectExpr(f"stack({len(failures)}, {rows}) AS ({names})")
 
 
 def row_report(df: DataFrame, table: str, checks: Sequence[RowCheck | NonEmptyCheck]) -> DataFrame:
-    results = []
-    for check in checks:
+    def failed(check: RowCheck | NonEmptyCheck) -> Column:
         if isinstance(check, NonEmptyCheck):
-            failed = F.when(F.count("*") == 0, 1).otherwise(0)
-        else:
-            failed = F.count_if(check.broken)
-        results.append(_result(table, check, failed))
-    return _report(df, results)
+            return F.when(F.count("*") == 0, 1).otherwise(0)
+        return F.count_if(check.broken)
+
+    return _report(df, table, [(check, failed(check)) for check in checks])
 
 
 def key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -196,15 +189,14 @@ def key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def unique_report(df: DataFrame, table: str, checks: Sequence[UniqueCheck]) -> DataFrame:
     counts = key_counts(df, list(dict.fromkeys(c.column for c in checks)))
     rows, value = F.col("rows"), F.col("value")
-    results = []
-    for check in checks:
+
+    def failed(check: UniqueCheck) -> Column:
         here = F.col("column_name") == check.column
         if check.per_key:
-            failed = F.count_if(here & value.isNotNull() & (rows > 1))
-        else:
-            failed = F.sum(F.when(here, rows - 1))
-        results.append(_result(table, check, failed))
-    return _report(counts, results)
+            return F.count_if(here & value.isNotNull() & (rows > 1))
+        return F.sum(F.when(here, rows - 1))
+
+    return _report(counts, table, [(check, failed(check)) for check in checks])
 
 
 def reference_report(
@@ -214,10 +206,8 @@ def reference_report(
     column = checks[0].column
     lost = orphan_keys(child, parent, column, checks[0].parent_key)
     rows, has_key = F.col("rows"), F.col(column).isNotNull()
-    results = [
-        _result(table, c, F.sum(F.when(has_key, rows) if c.null_passes else rows)) for c in checks
-    ]
-    return _report(lost, results)
+    failures = [(c, F.sum(F.when(has_key, rows) if c.null_passes else rows)) for c in checks]
+    return _report(lost, table, failures)
 
 
 def _merged(suite: Sequence[TableChecks]) -> dict[str, list[Check]]:
@@ -225,7 +215,7 @@ def _merged(suite: Sequence[TableChecks]) -> dict[str, list[Check]]:
     merged: dict[str, dict] = {}
     for entry in suite:
         for check in entry.checks:
-            merged.setdefault(entry.table, {}).setdefault((check.name, check.column), check)
+            merged.setdefault(entry.table, {}).setdefault(repr(check), check)
     return {table: list(checks.values()) for table, checks in merged.items()}
 
 
@@ -249,7 +239,9 @@ def run_checks(tables: dict[str, DataFrame], suite: Sequence[TableChecks]) -> Da
             parts.append(unique_report(df, table, on_keys))
         for (_, parent, _), group in references.items():
             parts.append(reference_report(df, table, group, tables[parent]))
-    return reduce(DataFrame.unionByName, parts).select(*RESULT_COLUMNS)
+    report = reduce(DataFrame.unionAll, parts)
+    status = F.when(F.col("failed_rows") == 0, "PASS").otherwise("FAIL")
+    return report.withColumn("status", status)
 
 
 def failing_rows(df: DataFrame, check: RowCheck) -> DataFrame:

@@ -200,6 +200,13 @@ def test_empty_table(spark, customers):
     }
 
 
+def test_two_rules_of_one_kind_on_a_column_both_count(spark):
+    df = spark.range(10)
+    checks = [q.accepted_range("id", 0, 7), q.accepted_range("id", 0, 4), q.accepted_range("id", 0, 4)]
+    report = q.run_checks({"t": df}, [q.TableChecks("t", checks)])
+    assert sorted(r["failed_rows"] for r in report.collect()) == [2, 5]
+
+
 def test_summary(clean):
     got = q.summary(q.run_checks(clean, suites.asserted())).orderBy("table_name").collect()
     assert [tuple(r) for r in got] == [
