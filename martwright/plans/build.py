@@ -68,27 +68,40 @@ def add_raw(warehouse: Warehouse, customers: DataFrame, orders: DataFrame) -> No
         append_rows(fresh, warehouse.path(table))
 
 
-def staged(warehouse: Warehouse, as_of: dt.date | str, age: str) -> dict[str, DataFrame]:
+def staged(customers: DataFrame, orders: DataFrame, as_of: dt.date | str, age: str) -> dict:
     return {
-        "stg_customers": stage_customers(warehouse.read("raw_customers"), as_of, age),
-        "stg_orders": stage_orders(warehouse.read("raw_orders")),
+        "stg_customers": stage_customers(customers, as_of, age),
+        "stg_orders": stage_orders(orders),
     }
 
 
+def _staged_raw(warehouse: Warehouse, as_of: dt.date | str, age: str) -> dict:
+    return staged(warehouse.read("raw_customers"), warehouse.read("raw_orders"), as_of, age)
+
+
 def build_marts(
     warehouse: Warehouse, as_of: dt.date | str, age: str = "completed", keys: str = "hash"
 ) -> None:
     """Replace both marts. The fact reads the stored dimension, so that is computed once."""
-    stage = staged(warehouse, as_of, age)
+    stage = _staged_raw(warehouse, as_of, age)
     dim = build_dim_customers(stage["stg_customers"], keys)
     _store(warehouse, "dim_customers", dim)
     fct = build_fct_orders(stage["stg_orders"], warehouse.read("dim_customers"), keys)
     _store(warehouse, "fct_orders", fct)
 
 
-def add_to_marts(warehouse: Warehouse, as_of: dt.date | str, age: str = "completed") -> None:
-    """Append the customers and orders that the marts do not hold yet; hash keys only."""
-    stage = staged(warehouse, as_of, age)
+def add_to_marts(
+    warehouse: Warehouse,
+    as_of: dt.date | str,
+    age: str = "completed",
+    batch: tuple[DataFrame, DataFrame] | None = None,
+) -> None:
+    """Append the customers and orders that the marts do not hold yet; hash keys only.
+
+    All raw rows are looked at, or with ``batch`` only these customers and orders: then the stored
+    tables are read for their keys and a small batch is all that is staged, joined and shuffled.
+    """
+    stage = staged(*batch, as_of, age) if batch else _staged_raw(warehouse, as_of, age)
     dim = build_dim_customers(stage["stg_customers"])
     _add(warehouse, "dim_customers", dim, "customer_id", "customer_since")
     fct = build_fct_orders(stage["stg_orders"], warehouse.read("dim_customers"))
@@ -106,5 +119,5 @@ def _add(warehouse: Warehouse, table: str, df: DataFrame, key: str, order: str)
 
 def check(warehouse: Warehouse, as_of: dt.date | str, age: str = "completed") -> DataFrame:
     """The report of both suites over the stored tables and the staging views."""
-    tables = warehouse.tables() | staged(warehouse, as_of, age)
+    tables = warehouse.tables() | _staged_raw(warehouse, as_of, age)
     return run_checks(tables, declared() + asserted())

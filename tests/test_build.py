@@ -82,6 +82,14 @@ def test_whole_run(spark, warehouse):
     assert {n: t.count() for n, t in warehouse.tables().items()} == {
         "raw_customers": 310, "raw_orders": 2100, "dim_customers": 310, "fct_orders": 2100,
     }
+    # The same by way of the batch alone.
+    batch = generate(spark, 320, 2200)
+    build.add_raw(warehouse, *batch)
+    build.add_to_marts(warehouse, DAY, batch=batch)
+    build.add_to_marts(warehouse, DAY, batch=batch)
+    assert {n: t.count() for n, t in warehouse.tables().items()} == {
+        "raw_customers": 320, "raw_orders": 2200, "dim_customers": 320, "fct_orders": 2200,
+    }
     # A full refresh gives the same marts as adding did.
     before = {n: t.drop("created_at").collect() for n, t in warehouse.tables().items()}
     build.build_marts(warehouse, DAY)
