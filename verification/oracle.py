@@ -204,7 +204,7 @@ _CUSTOMER_OUT = f"""customer_id, customer_full_name, customer_email, customer_ph
   gender, {S('date_of_birth')} AS date_of_birth, {S('created_at')} AS created_at,
   {S('updated_at')} AS updated_at"""
 _ORDER_OUT = f"""order_id, customer_id, {S('order_date')} AS order_date, order_status, payment_method,
-  product_category, product_description, {I('quantity')} AS quantity,
+  product_category, product_description, {D('quantity')} AS quantity,
   {D('unit_price')} AS unit_price, region, {S('created_at')} AS created_at"""
 
 # Sources, sinks and loading.
@@ -244,7 +244,7 @@ ORACLE["insert_raw_customers"] = f"""{DIRTY}, old AS {_OLD}
       WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM old))
     WHERE r = 1)"""
 _DIM_OUT = f"""customer_key, customer_id, customer_full_name, customer_email, customer_phone,
-  country, region, gender, {I('customer_age')} AS customer_age,
+  country, region, gender, {D('customer_age')} AS customer_age,
   {S('customer_since')} AS customer_since"""
 ORACLE["insert_dim_customers"] = f"""{DIRTY}, old AS (
     SELECT md5(customer_id) AS customer_key, customer_id, customer_full_name, customer_email,
@@ -262,8 +262,8 @@ ORACLE["insert_fct_orders"] = f"""{DIRTY} SELECT DISTINCT order_key, order_id, c
   {_pounds('total_pence')} AS total_amount FROM fct_orders
   WHERE order_id IS NOT NULL
     AND order_id NOT IN (SELECT order_id FROM o0 WHERE order_date < DATE '{HISTORY_END}')"""
-ORACLE["default_timestamps"] = f"""{DIRTY} SELECT customer_id, {I('1')} AS filled,
-  CASE WHEN created_at IS NOT NULL THEN {I('1')} END AS kept FROM raw_customers"""
+ORACLE["default_timestamps"] = f"""{DIRTY} SELECT customer_id, {D('1')} AS filled,
+  CASE WHEN created_at IS NOT NULL THEN {D('1')} END AS kept FROM raw_customers"""
 ORACLE["synthetic_customers"] = (
     f"WITH g AS ({_customers('customer', 'c_custkey', '')}) SELECT {_CUSTOMER_OUT} FROM g"
 )
@@ -277,14 +277,14 @@ ORACLE["synthetic_orders"] = (
 
 ORACLE["stg_customers"] = f"""{DIRTY} SELECT customer_id, customer_full_name, customer_email_hash,
   customer_email_raw, customer_phone_hash, customer_phone_raw, country, region, gender,
-  {I('customer_age')} AS customer_age, {S('date_of_birth')} AS date_of_birth,
+  {D('customer_age')} AS customer_age, {S('date_of_birth')} AS date_of_birth,
   {S('created_at')} AS created_at, {S('updated_at')} AS updated_at FROM stg_customers"""
 ORACLE["stg_customers_calendar_age"] = f"""{DIRTY} SELECT customer_id,
-  {I(f"date_diff('year', date_of_birth, {TODAY})")} AS customer_age,
+  {D(f"date_diff('year', date_of_birth, {TODAY})")} AS customer_age,
   sha256('pepper' || customer_email) AS customer_email_hash,
   sha256('pepper' || customer_phone) AS customer_phone_hash FROM raw_customers"""
 _STG_ORDER_OUT = f"""order_id, customer_id, {S('order_date')} AS order_date, order_status,
-  payment_method, product_category, product_description, {I('quantity')} AS quantity,
+  payment_method, product_category, product_description, {D('quantity')} AS quantity,
   {D('unit_price')} AS unit_price, {_pounds('pence')} AS gross_amount,
   {_pounds('tax_pence')} AS tax_amount, {_pounds('total_pence')} AS total_amount,
   {S('created_at')} AS created_at"""
@@ -293,7 +293,7 @@ ORACLE["stg_orders_upper_status"] = f"""{DIRTY} SELECT order_id,
   upper(trim(order_status)) AS order_status, {_title('payment_method')} AS payment_method,
   upper(trim(region)) AS region FROM raw_orders
   WHERE quantity > 0 AND unit_price >= 0 AND order_date IS NOT NULL"""
-ORACLE["rejected_rows"] = f"""{DIRTY} SELECT order_id, {I('quantity')} AS quantity,
+ORACLE["rejected_rows"] = f"""{DIRTY} SELECT order_id, {D('quantity')} AS quantity,
   {D('unit_price')} AS unit_price, {S('order_date')} AS order_date, reject_reason FROM (
     SELECT *, CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'quantity'
       WHEN unit_price IS NULL OR unit_price < 0 THEN 'unit_price'
@@ -303,10 +303,10 @@ ORACLE["order_amounts"] = f"""{CLEAN} SELECT order_id, {_pounds('pence')} AS gro
   {_pounds('tax_pence')} AS tax_amount, {_pounds('total_pence')} AS total_amount FROM stg_orders"""
 _LEAP = "DATE '2021-02-28'"
 ORACLE["customer_ages"] = f"""{DIRTY} SELECT customer_id, {S('date_of_birth')} AS date_of_birth,
-  {I(_completed('date_of_birth', TODAY))} AS completed_2025,
-  {I(f"date_diff('year', date_of_birth, {TODAY})")} AS calendar_2025,
-  {I(_completed('date_of_birth', _LEAP))} AS completed_2021,
-  {I(f"date_diff('year', date_of_birth, {_LEAP})")} AS calendar_2021
+  {D(_completed('date_of_birth', TODAY))} AS completed_2025,
+  {D(f"date_diff('year', date_of_birth, {TODAY})")} AS calendar_2025,
+  {D(_completed('date_of_birth', _LEAP))} AS completed_2021,
+  {D(f"date_diff('year', date_of_birth, {_LEAP})")} AS calendar_2021
   FROM raw_customers WHERE date_of_birth IS NOT NULL"""
 ORACLE["email_addresses"] = """SELECT c_custkey, lower(c_mktsegment) || '.sorby.oz.' ||
   replace(lower(c_name), ' ', '.') || '_' || c_custkey || '@example.com' AS email FROM customer"""
@@ -325,7 +325,7 @@ ORACLE["sequence_keys_customers"] = f"""{CLEAN} SELECT
   {I('row_number() OVER (ORDER BY customer_id)')} AS customer_key, customer_id, region
   FROM dim_customers"""
 ORACLE["sequence_keys_orders"] = f"""{CLEAN} SELECT
-  {I('row_number() OVER (ORDER BY order_id)')} AS order_key, order_id, {I('quantity')} AS quantity
+  {I('row_number() OVER (ORDER BY order_id)')} AS order_key, order_id, {D('quantity')} AS quantity
   FROM raw_orders"""
 
 
@@ -431,7 +431,7 @@ def _by_region(where: str) -> str:
 
 def _top_customers(where: str) -> str:
     return f"""{CLEAN} SELECT d.customer_id, d.customer_full_name, d.country, d.region,
-  {I('d.customer_age')} AS customer_age, count(*) AS total_orders,
+  {D('d.customer_age')} AS customer_age, count(*) AS total_orders,
   {_pounds('sum(total_pence)')} AS total_spend,
   {_mean('sum(total_pence)', 'count(*)')} AS avg_order_value,
   {S('max(order_date)')} AS last_order_date
@@ -541,7 +541,7 @@ ORACLE["net_revenue_by_month_pivot"] = f"""{DIRTY} SELECT month,
       coalesce(sum(quantity * unit_price) FILTER (region = 'EU'), 0) AS eu
     FROM raw_orders GROUP BY 1)"""
 ORACLE["months"] = f"{CLEAN} SELECT DISTINCT strftime(order_date, '%Y-%m') AS month FROM raw_orders"
-ORACLE["quantity_histogram"] = f"""{CLEAN} SELECT {I('position')} AS position, bucket,
+ORACLE["quantity_histogram"] = f"""{CLEAN} SELECT {D('position')} AS position, bucket,
   count(*) AS orders FROM (
     SELECT CASE WHEN quantity <= 1 THEN '1' WHEN quantity <= 3 THEN '2-3'
         WHEN quantity <= 6 THEN '4-6' WHEN quantity <= 12 THEN '7-12'
@@ -563,7 +563,7 @@ ORACLE["failing_regions"] = f"""{DIRTY} SELECT customer_id, region FROM raw_cust
   WHERE region IS NULL OR region NOT IN ('UK', 'EU')"""
 ORACLE["failing_statuses"] = f"""{DIRTY} SELECT order_id, order_status FROM stg_orders
   WHERE order_status NOT IN ('Pending', 'Shipped', 'Delivered', 'Cancelled', 'Refunded')"""
-ORACLE["failing_ages"] = f"""{DIRTY} SELECT customer_id, {I('customer_age')} AS customer_age
+ORACLE["failing_ages"] = f"""{DIRTY} SELECT customer_id, {D('customer_age')} AS customer_age
   FROM dim_customers WHERE customer_age < 18 OR customer_age > 100"""
 _BAD_TOTAL = "coalesce(abs(total_pence - pence - tax_pence) >= 3, TRUE)"
 ORACLE["failing_totals"] = f"""{CLEAN}{SPOILT} SELECT order_id, {_pounds('pence')} AS gross_amount,
