@@ -1,4 +1,4 @@
-"""Run a step on a warehouse folder: ``spark-submit ... martwright/__main__.py build FOLDER``."""
+"""Run a step on a warehouse folder: ``python -m martwright build FOLDER``."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from martwright.sources.seeds import read_seed, with_load_times, write_seed
 from martwright.sources.synthetic import generate
 
 
-def main() -> None:
+def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="martwright")
     parser.add_argument("step", choices=["generate", "seed", "export", "build", "check", "report"])
     parser.add_argument("folder", help="warehouse folder")
@@ -22,7 +22,7 @@ def main() -> None:
     parser.add_argument("--orders", type=int, default=5000)
     parser.add_argument("--seeds", help="folder of the seed CSV files")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
-    args = parser.parse_args()
+    args = parser.parse_args(arguments)
 
     spark = configured(SparkSession.builder.appName("martwright")).getOrCreate()
     warehouse = Warehouse(spark, args.folder)

@@ -76,6 +76,16 @@ FCT_ORDERS = _schema(
 )
 
 
+TABLE_NOTES = {
+    "raw_customers": "Customers as the source systems deliver them, one row each",
+    "raw_orders": "Orders as the source systems deliver them, one row each",
+    "stg_customers": "Cleaned customers with hashed contact data and derived age",
+    "stg_orders": "Valid orders with clean labels and derived amounts",
+    "dim_customers": "Customer dimension, one row per customer; masked and filtered by role",
+    "fct_orders": "Order fact, one row per order; filtered by role",
+}
+
+
 def columns(schema: T.StructType) -> list[str]:
     return [field.name for field in schema]
 
@@ -87,14 +97,22 @@ def document(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per column: table, position, name, type and description, from the schemas alone."""
+    """One row per column: its table, position, name, type and descriptions, from the schemas."""
     rows = [
-        (table, position, f.name, f.dataType.simpleString(), f.metadata.get("comment"))
+        (
+            table,
+            TABLE_NOTES.get(table),
+            position,
+            f.name,
+            f.dataType.simpleString(),
+            f.metadata.get("comment"),
+        )
         for table, df in tables.items()
         for position, f in enumerate(df.schema, start=1)
     ]
     spark = next(iter(tables.values())).sparkSession
     return spark.createDataFrame(
         rows,
-        "table_name string, position int, column_name string, data_type string, description string",
+        "table_name string, table_description string, position int, column_name string,"
+        " data_type string, description string",
     )

@@ -40,7 +40,7 @@ def refresh_table(df: DataFrame, path: str, partition_by: str | None = None) ->
     """Replace the table. With ``partition_by`` a reader that filters on it opens only its folders.
 
     Rows go to the folders from the tasks that hold them: no shuffle by the folder column, which
-    would put a whole region into one task.
+    would put a whole region into one task. An empty string in that column comes back as null.
     """
     writer = df.write.mode("overwrite")
     if partition_by:

@@ -5,6 +5,7 @@ import pytest
 from conftest import customer, order, plan_of
 from pyspark.sql import functions as F
 
+from martwright.__main__ import main
 from martwright.operators.joins import orphans
 from martwright.plans import build
 from martwright.plans.marts import build_dim_customers, build_fct_orders
@@ -98,13 +99,31 @@ def test_whole_run(spark, warehouse):
         assert sorted(map(str, again)) == sorted(map(str, rows)), name
 
 
+def test_steps_from_the_shell(spark, tmp_path, capsys):
+    first, second, seeds = (str(tmp_path / name) for name in ("a", "b", "seeds"))
+    day = ["--as-of", DAY]
+    main(["generate", first, "--customers", "40", "--orders", "200"])
+    main(["build", first, *day])
+    main(["export", first, "--seeds", seeds])
+    main(["seed", second, "--seeds", seeds])
+    main(["build", second, *day])
+    main(["check", second, *day])
+    main(["report", second])
+    assert "fct_orders (mart)" in capsys.readouterr().out
+    one, two = (build.Warehouse(spark, folder) for folder in (first, second))
+    for name, df in one.tables().items():
+        rows = (sorted(map(str, t.collect())) for t in (df, two.read(name)))
+        assert next(rows) == next(rows), name
+
+
 def test_column_notes_are_stored_with_the_table(spark, warehouse):
     build.load_raw(warehouse, *generate(spark, 5, 5))
     build.build_marts(warehouse, DAY)
     notes = data_dictionary(warehouse.tables())
     assert notes.filter(F.col("description").isNull()).count() == 0
     row = notes.filter("table_name = 'fct_orders' AND column_name = 'total_amount'").first()
-    assert tuple(row) == ("fct_orders", 14, "total_amount", "decimal(12,2)", "Amount including VAT")
+    assert tuple(row)[2:] == (14, "total_amount", "decimal(12,2)", "Amount including VAT")
+    assert row["table_description"].startswith("Order fact")
 
 
 def test_valid_orders_are_filtered_in_the_scan(spark, orders, tmp_path):

@@ -107,7 +107,11 @@ def test_revenue_by_category_and_region(data):
 
 def test_customer_spend(data):
     people = data["people"]
-    groups = grouped(data["kept"], lambda r: (people[r["customer_id"]][4].upper(), people[r["customer_id"]][5]))
+
+    def home(r):
+        return people[r["customer_id"]][4].upper(), people[r["customer_id"]][5]
+
+    groups = grouped(data["kept"], home)
     want = []
     for (country, region), rows in groups.items():
         total = sum(r["total"] for r in rows)

@@ -71,7 +71,8 @@ def main() -> int:
         except Exception as error:  # noqa: BLE001
             found = f"{type(error).__name__}: {str(error)[:600]}"
         bad += found is not None
-        print(f"{'ok  ' if found is None else 'DIFF'} {time.time() - start:6.2f}s {name} {found or ''}", flush=True)
+        mark = "ok  " if found is None else "DIFF"
+        print(f"{mark} {time.time() - start:6.2f}s {name} {found or ''}", flush=True)
     print(f"{bad} of {len(sys.argv[2:] or QUERIES)} differ")
     return min(bad, 1)
 

@@ -440,9 +440,10 @@ def _top_customers(where: str) -> str:
 
 
 ORACLE["uk_analyst_revenue"] = _by_region("order_region = 'UK'")
+_INITIAL = "substr(d.customer_full_name, 1, 1) || '***' AS customer_full_name"
 ORACLE["eu_analyst_top_customers"] = _top_customers(
     "d.region = 'EU' AND f.order_region = 'EU'"
-).replace("d.customer_full_name, d.country", "substr(d.customer_full_name, 1, 1) || '***' AS customer_full_name, d.country")
+).replace("d.customer_full_name, d.country", f"{_INITIAL}, d.country")
 ORACLE["sql_over_secured_views"] = f"""{CLEAN} SELECT d.country, count(*) AS orders,
   {_pounds('sum(total_pence)')} AS spend
   FROM dim_customers d JOIN fct_orders f ON d.customer_key = f.customer_key
