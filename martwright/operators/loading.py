@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 def first_per_key(batch: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """One whole row per key: the first by ``order_by``, ties broken by the other columns.
 
+    A row without a value to order by counts as the latest, as a load time not given is now.
+
     An aggregate rather than a ranking window: every map task keeps one row per key before the
     shuffle, so a key with very many copies does not fill a single task. Rows without a key are
     left out, as a primary key admits none; the not-null checks count them.
     """
     rest = [c for c in batch.columns if c not in order_by]
-    row = F.struct(*order_by, *rest)
+    undated = [F.col(c).isNull().alias(f"_no_{c}") for c in order_by]
+    row = F.struct(*undated, *order_by, *rest)
     firsts = batch.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
     firsts = firsts.agg(F.min(row).alias("_row"))
     return firsts.select("_row.*").select(*batch.columns)

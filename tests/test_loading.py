@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -20,6 +21,13 @@ def test_first_per_key_keeps_the_whole_first_row(spark):
     assert sorted(map(tuple, got.collect())) == [("a", 1, "early"), ("b", 1, "only")]
 
 
+def test_first_per_key_takes_a_row_without_time_last(spark):
+    rows = [("a", None, "x"), ("a", 5, "y"), ("b", None, "z")]
+    df = spark.createDataFrame(rows, "k string, t int, v string")
+    got = first_per_key(df, "k", ["t"])
+    assert sorted(r["v"] for r in got.collect()) == ["y", "z"]
+
+
 def test_first_per_key_does_not_depend_on_partitioning(spark):
     rows = [("a", 1, str(i)) for i in range(50)]
     df = spark.createDataFrame(rows, "k string, t int, v string")
@@ -48,6 +56,30 @@ def test_insert_if_absent(spark):
     assert rows_to_insert(batch, after, "k", ["t"]).count() == 0
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_insert_against_plain_python(spark, conf, threshold):
+    """A third of the batch has one key; merge joins and broadcast joins agree with a dict."""
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    rng = random.Random(3)
+    schema = "k int, t int, v int"
+    target = [(k, 0, k) for k in rng.sample(range(200), 80)]
+    batch = [
+        (1000 if i % 3 == 0 else rng.choice([None, *range(200)]), rng.randrange(9), i)
+        for i in range(900)
+    ]
+    want = {k: (k, t, v) for k, t, v in target}
+    for k, t, v in sorted((r for r in batch if r[0] is not None), key=lambda r: r[1:]):
+        want.setdefault(k, (k, t, v))
+    after = insert_if_absent(
+        spark.createDataFrame(batch, schema).repartition(6),
+        spark.createDataFrame(target, schema),
+        "k",
+        ["t"],
+    )
+    rows = list(map(tuple, after.collect()))
+    assert sorted(rows) == sorted(want.values())
+
+
 def test_the_target_is_not_shuffled_for_a_small_batch(spark, tmp_path):
     target = spark.range(0, 1000000).withColumn("v", F.col("id"))
     target.write.parquet(str(tmp_path / "t"))

@@ -239,7 +239,7 @@ ORACLE["insert_raw_customers"] = f"""{DIRTY}, old AS {_OLD}
     SELECT * FROM old UNION ALL
     SELECT * EXCLUDE (r) FROM (
       SELECT {', '.join(CUSTOMER_COLUMNS)},
-        row_number() OVER (PARTITION BY customer_id ORDER BY created_at NULLS FIRST) AS r
+        row_number() OVER (PARTITION BY customer_id ORDER BY created_at NULLS LAST) AS r
       FROM raw_customers
       WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM old))
     WHERE r = 1)"""
@@ -255,7 +255,7 @@ ORACLE["insert_dim_customers"] = f"""{DIRTY}, old AS (
     SELECT * FROM old UNION ALL
     SELECT * EXCLUDE (r) FROM (
       SELECT * EXCLUDE (date_of_birth, updated_at),
-        row_number() OVER (PARTITION BY customer_id ORDER BY customer_since NULLS FIRST) AS r
+        row_number() OVER (PARTITION BY customer_id ORDER BY customer_since NULLS LAST) AS r
       FROM dim_customers WHERE customer_id NOT IN (SELECT customer_id FROM old))
     WHERE r = 1)"""
 ORACLE["insert_fct_orders"] = f"""{DIRTY} SELECT DISTINCT order_key, order_id, customer_id,
