@@ -7,6 +7,8 @@ import pytest
 import __spark_entry__ as entry_points
 from conftest import node_lines, plan_of
 from verification.compare import connect, difference
+from verification.oracle import ORACLE
+from verification.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "MapInArrow", "Window")
@@ -21,14 +23,19 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_all_queries_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = entry_points.queries()[name](spark, FOLDER)
     nodes = node_lines(plan_of(df))
