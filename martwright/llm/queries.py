@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 
-from martwright.llm import simhash
+from martwright.llm import bpe, decontaminate, exact_dedup, licences, pii, quality, sharding, simhash, token_store
 from martwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +23,45 @@ def query(run: Query) -> Query:
 @query
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder), words=3, bits=3)
+
+
+@query
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(documents(spark, folder), tokenizer_file("word_bpe_49k.json"))
+
+
+@query
+def op5_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    return token_store.crcs(documents(spark, folder), tokenizer_file("byte_bpe_50k.json"), end_id=2)
+
+
+@query
+def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, folder))
+
+
+@query
+def op6_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(documents(spark, folder), shards=8)
+
+
+@query
+def op7_quality_machine(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return quality.scores(docs, quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
+@query
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(documents(spark, folder))
+
+
+@query
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@query
+def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return licences.report(docs, licences.fit(docs))
