@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 
-from martwright.llm import bpe, decontaminate, exact_dedup, licences, pii, quality, sharding, simhash, token_store
+from martwright.llm import bpe, decontaminate, exact_dedup, licences, line_dedup, pii, quality, sharding, simhash, token_store
 from martwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,8 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     return licences.report(docs, licences.fit(docs))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(documents(spark, folder))

@@ -154,3 +154,44 @@ def exact_duplicates(rows):
         for place, doc_id in enumerate(ids):
             found.append((doc_id, keep, len(ids), doc_id == keep and ids.index(doc_id) == place, digest))
     return found
+
+
+def line_shingles(line, size=16):
+    starts = re.finditer(rf"(?<![a-z0-9ß-ɏ])(?=(\S.{{0,{size - 1}}}))", line)
+    return frozenset(m[1] for m in starts)
+
+
+def dropped_lines(rows, similar=0.8):
+    """{doc_id: numbers of the lines that go}; doc_ids are distinct and not null."""
+    places = defaultdict(list)
+    for doc_id, text in rows:
+        for n, line in enumerate((text or "").split("\n")):
+            line = re.sub("[\t\r]", " ", line).strip(" ").lower()
+            if line:
+                places[line].append((doc_id, n))
+    keys = list(places)
+    sets, of = [line_shingles(k) for k in keys], defaultdict(list)
+    root = list(range(len(keys)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, own in enumerate(sets):
+        common = defaultdict(int)
+        for s in own:
+            for j in of[s]:
+                common[j] += 1
+            of[s].append(i)
+        for j, n in common.items():
+            if n >= similar * (len(own) + len(sets[j]) - n):
+                root[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, k in enumerate(keys):
+        groups[find(i)] += places[k]
+    gone = defaultdict(list)
+    for members in groups.values():
+        for doc_id, n in sorted(members)[1:]:
+            gone[doc_id].append(n)
+    return {d: sorted(ns) for d, ns in gone.items()}
