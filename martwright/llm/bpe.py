@@ -121,7 +121,7 @@ def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, *columns: str) -> Iterator[tuple]:
     """The columns' values, the last of which is the text, and the text's ids."""
     for batch in batches:
-        found = tokens.encode_all(batch.column(columns[-1]).to_pylist(), path)
+        found = tokens.encode_all((t for (t,) in rows_of(batch, columns[-1])), path)
         for row, encoded in zip(rows_of(batch, *columns), found, strict=True):
             yield *row, encoded
 

@@ -52,5 +52,18 @@ def partitions(df: DataFrame, at_least: int = 1) -> int:
     return max(at_least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+ROWS_AT_ONCE = 512
+
+
 def rows_of(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
-    return zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+    """The columns' values, row by row; few rows at a time are Python objects."""
+    for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+        part = batch.slice(begin, ROWS_AT_ONCE)
+        yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
+
+
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(begin, ROWS_AT_ONCE)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import stored, texts, unused_name
+from martwright.llm.common import small, stored, texts, unused_name
 
 SIZE = 13
 BROADCAST_BYTES = 1 << 22
@@ -137,7 +137,7 @@ def _searched(docs: DataFrame, benchmark: DataFrame, size: int, broadcast_bytes:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             windows = shared.value
-            for batch in batches:
+            for batch in small(batches):
                 counts, hit, named = [], [], []
                 for value, before, known in zip(batch.column(text).to_pylist(), batch.column(spans).to_pylist(), batch.column(items).to_pylist(), strict=True):
                     own = words(value or "")

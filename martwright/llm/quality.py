@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import rows_of, texts
+from martwright.llm.common import rows_of, small, texts
 
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
@@ -191,7 +191,7 @@ def keep_good(docs: DataFrame, machine: Machine) -> DataFrame:
     shared, text = docs.sparkSession.sparkContext.broadcast(machine), docs.columns.index(docs.select("text").columns[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             good = [shared.value.score(t or "") >= THRESHOLD for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
 

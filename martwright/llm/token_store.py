@@ -142,7 +142,7 @@ def write_store(docs: DataFrame, path: str, to: str, end_id: int = 2, ranges: in
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, held = [], 0
         for batch in batches:
-            found = tokens.encode_all(batch.column("text").to_pylist(), path)
+            found = tokens.encode_all((t for (t,) in rows_of(batch, "text")), path)
             for row, ids in zip(rows_of(batch, "range", "doc_id", "tie"), found, strict=True):
                 done.append((*row, ids))
                 held += len(ids)

@@ -1,7 +1,14 @@
-"""Token ids of whole texts as the tokenizers library gives them, through a cache of text units."""
+"""Token ids of whole texts, as the tokenizers library gives them.
+
+Byte-level vocabularies whose merges are numbered in their order are run by a faster public encoder
+of the same kind, built from the tokenizer's own file. Others go through a cache of text units. Both
+give the ids of the library: the first text of every call is compared, and texts with very long
+unsplit runs, and vocabularies of another kind, are left to the library itself.
+"""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -18,6 +25,7 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 IS_WHITE = re.compile(f"[{WHITE}]").fullmatch
 CACHED_UNITS = 250_000  # of a generation, about 60 MB
+LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
 STOPS = ".,!?;:"
 TOGETHER = 1 << 20  # characters whose units are looked up together
 
@@ -48,7 +56,6 @@ class Units:
         self.tokenizer = tokenizer(path)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.bytes_of = _bytes_of(path)
 
     def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
         """The ids of the texts' units, all of them in the young generation now.
@@ -82,38 +89,70 @@ class Units:
         if not units:
             return []
         text = "".join(units)
-        if self.bytes_of is None:
-            found = self.tokenizer.encode(text, add_special_tokens=False)
-            ids, ends = np.array(found.ids, "<u4"), np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
-            places = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
-        else:  # every byte of the text is in one token, so places need not be tracked
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
-            places = np.cumsum(self.bytes_of[ids]) - 1
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        ids, ends = np.array(found.ids, "<u4"), np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+        places = np.fromiter((a for a, _ in found.offsets), np.int64, len(ids))
         cuts = np.concatenate(([0], np.searchsorted(places, ends))) * 4
         encoded, cuts = ids.tobytes(), cuts.tolist()
         return [encoded[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _bytes_of(path: str) -> np.ndarray | None:
-    """The bytes of each token, for vocabularies whose tokens are runs of a text's own bytes."""
-    loaded = tokenizer(path)
-    if loaded.normalizer is not None or "ByteLevel" not in str(loaded.decoder):
-        return None
-    sizes = np.zeros(loaded.get_vocab_size(), np.int64)
-    special = {i: len(t.content.encode()) for i, t in loaded.get_added_tokens_decoder().items()}
-    for token, i in loaded.get_vocab().items():
-        sizes[i] = special.get(i, len(token))
-    return sizes
-
-
 @lru_cache(maxsize=4)
 def units(path: str) -> Units:
     return Units(path)
 
 
+@lru_cache(maxsize=4)
+def ranked(path: str):
+    """The encoder for byte-level vocabularies, or None if the file's is of another kind."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    splits, vocabulary, special = made["pre_tokenizer"] or {}, made["model"]["vocab"], {t["content"]: t["id"] for t in made["added_tokens"]}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in made["model"].get("merges", [])]
+    merged = [vocabulary.get("".join(m), -1) for m in merges]
+    byte_level = splits.get("type") == "ByteLevel" and splits.get("use_regex") and not splits.get("add_prefix_space")
+    plain = not any(t[k] for t in made["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    if made["normalizer"] or not byte_level or not plain or merged != sorted(merged) or -1 in merged:
+        return None
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    shown = {c: b for b, c in _byte_names().items()}
+    ranks = {bytes(shown[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+def _byte_names() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable ones as they are, others from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def _by_library(text: str, path: str) -> bytes:
+    return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def encode_all(texts: Iterable[str], path: str) -> Iterator[bytes]:
-    """The ids of each text as bytes, by the units that texts share."""
+    """The ids of each text as little-endian unsigned 32-bit integers."""
+    return _by_units(texts, path) if ranked(path) is None else _by_ranks(texts, path)
+
+
+def _by_ranks(texts: Iterable[str], path: str) -> Iterator[bytes]:
+    encoder, agreed = ranked(path), None
+    for text in texts:
+        if agreed is False or LONG_RUN.search(text):
+            yield _by_library(text, path)
+            continue
+        ids = encoder.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        if agreed is None and text:
+            agreed = ids == (known := _by_library(text, path))
+            ids = known
+        yield ids
+
+
+def _by_units(texts: Iterable[str], path: str) -> Iterator[bytes]:
+    """By the units that texts share."""
     cache, held, size = units(path), [], 0
 
     def done() -> Iterator[bytes]:
