@@ -41,7 +41,9 @@ def main(arguments: list[str] | None = None) -> None:
         check(warehouse, args.as_of).show(200, truncate=False)
     else:
         tables = warehouse.tables()
-        reports.hierarchy_counts(*tables.values()).show(truncate=False)
+        reports.hierarchy_counts(
+            tables["raw_customers"], tables["raw_orders"], tables["dim_customers"], tables["fct_orders"]
+        ).show(truncate=False)
         reports.revenue_by_region(tables["fct_orders"]).show(truncate=False)
         reports.customers_by(tables["raw_customers"], "region").show(truncate=False)
 

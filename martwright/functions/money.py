@@ -18,16 +18,17 @@ def _goods_value(quantity: Column, unit_price: Column) -> Column:
 
 
 def gross_amount(quantity: Column, unit_price: Column) -> Column:
-    return F.round(_goods_value(quantity, unit_price), 2).cast(AMOUNT)
+    """Null if it does not fit, as are the other amounts; staging rejects such an order."""
+    return F.round(_goods_value(quantity, unit_price), 2).try_cast(AMOUNT)
 
 
 def tax_amount(quantity: Column, unit_price: Column) -> Column:
-    return F.round(_goods_value(quantity, unit_price) * F.lit(Decimal(VAT_RATE)), 2).cast(AMOUNT)
+    return F.round(_goods_value(quantity, unit_price) * F.lit(Decimal(VAT_RATE)), 2).try_cast(AMOUNT)
 
 
 def total_amount(quantity: Column, unit_price: Column) -> Column:
     """Rounded from the unrounded product, so it can differ by a penny from gross + tax."""
-    return F.round(_goods_value(quantity, unit_price) * F.lit(Decimal(VAT_FACTOR)), 2).cast(AMOUNT)
+    return F.round(_goods_value(quantity, unit_price) * F.lit(Decimal(VAT_FACTOR)), 2).try_cast(AMOUNT)
 
 
 def net_value(quantity: Column, unit_price: Column) -> Column:

@@ -103,23 +103,17 @@ def register_views(tables: dict[str, DataFrame], role: str, strict: bool = True)
 
 
 def policy_report(df: DataFrame, table: str, roles: Sequence[str]) -> DataFrame:
-    """How many rows and which regions each role sees: one pass over the table for all roles."""
-    region, n = F.col(ROW_POLICIES[table]), F.col("n")
-    by_region = df.groupBy(region).agg(F.count("*").alias("n"))
-
-    def seen_by(role: str) -> Column:
-        seen = may_see(region, role)
-        return F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(role).alias("role"),
-            F.coalesce(F.sum(F.when(seen, n)), F.lit(0)).alias("visible_rows"),
-            F.count_if(seen & region.isNotNull()).alias("regions"),
-            F.min(F.when(seen, region)).alias("first_region"),
-            F.max(F.when(seen, region)).alias("last_region"),
-        )
-
-    views = by_region.agg(F.array(*[seen_by(role) for role in roles]).alias("views"))
-    return views.select(F.inline("views"))
+    """Every region a role sees and its rows, one row each; one pass over the table for all roles.
+
+    A role that sees nothing has one row, without a region and with 0 rows.
+    """
+    region = F.col(ROW_POLICIES[table])
+    by_region = df.groupBy(region.alias(ROW_POLICIES[table])).agg(F.count("*").alias("visible_rows"))
+    seeing = F.filter(F.array(*[F.when(may_see(region, role), F.lit(role)) for role in roles]), F.isnotnull)
+    seen = by_region.select(F.explode(seeing).alias("role"), region.alias("region"), "visible_rows")
+    asked = df.sparkSession.createDataFrame([(table, role) for role in roles], "table_name string, role string")
+    found = asked.join(seen, "role", "left").select("table_name", "role", "region", "visible_rows")
+    return found.na.fill({"visible_rows": 0})
 
 
 def masked_sample(df: DataFrame, table: str, role: str, rows: int, order_by: str) -> DataFrame:

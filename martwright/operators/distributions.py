@@ -14,14 +14,16 @@ def count_by(df: DataFrame, label: Column, name: str, count: str = "n") -> DataF
     return grouped.orderBy(F.desc(count), name)
 
 
-def with_percent(groups: DataFrame, table: DataFrame, count: str, name: str) -> DataFrame:
-    """Add each group's share of the rows of ``table``, the table the groups were counted from.
+def with_percent(groups: DataFrame, count: str, name: str) -> DataFrame:
+    """Add each group's share of the sum of ``count``.
 
-    The total is a scalar subquery. A window over all groups would gather them in one task, which
-    is only small as long as the grouped column is clean.
+    The total is a scalar subquery over the groups. It keeps all their columns, so that both sides
+    need the same shuffle and Spark does it once. A window over all groups would gather them in one
+    task, which is only small as long as the grouped column is clean.
     """
-    total = table.agg(F.count("*")).scalar()
-    return groups.withColumn(name, percent(F.col(count), total))
+    kept = [F.max(c).alias(c) for c in groups.columns if c != count]
+    total = groups.agg(F.struct(F.sum(count).alias(count), *kept).alias("total")).scalar()
+    return groups.withColumn(name, percent(F.col(count), total.getField(count)))
 
 
 def top(df: DataFrame, by: str, tie_break: str, rows: int) -> DataFrame:

@@ -12,17 +12,23 @@ def first_per_key(batch: DataFrame, key: str, order_by: Sequence[str]) -> DataFr
     """One whole row per key: the first by ``order_by``, ties broken by the other columns.
 
     A row without a value to order by counts as the latest, as a load time not given is now.
+    Rows without a key are left out, as a primary key admits none; the not-null checks count them.
 
-    An aggregate rather than a ranking window: every map task keeps one row per key before the
-    shuffle, so a key with very many copies does not fill a single task. Rows without a key are
-    left out, as a primary key admits none; the not-null checks count them.
+    The keys are counted first, and only they are shuffled. Rows whose key occurs once pass through;
+    whole rows are compared only for the repeated keys, by an aggregate of which every map task
+    keeps one row per key, so a key with very many copies does not fill a single task. Repeated
+    keys are broadcast while their measured size allows.
     """
+    present = batch.filter(F.col(key).isNotNull())
+    counts = present.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"))
+    repeated = counts.filter("_rows > 1").select("_key")
+    on = present[key] == repeated["_key"]
     rest = [c for c in batch.columns if c not in order_by]
     undated = [F.col(c).isNull().alias(f"_no_{c}") for c in order_by]
     row = F.struct(*undated, *order_by, *rest)
-    firsts = batch.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
-    firsts = firsts.agg(F.min(row).alias("_row"))
-    return firsts.select("_row.*").select(*batch.columns)
+    copies = present.join(repeated, on, "left_semi").groupBy(F.col(key).alias("_key"))
+    firsts = copies.agg(F.min(row).alias("_row")).select("_row.*").select(*batch.columns)
+    return present.join(repeated, on, "left_anti").select(*batch.columns).unionByName(firsts)
 
 
 def rows_to_insert(
@@ -30,15 +36,15 @@ def rows_to_insert(
 ) -> DataFrame:
     """The rows of ``batch`` that an insert skipping existing keys would add to ``target``.
 
-    The target gives only its key column, and first only the keys that occur in the batch. For
-    the usual batch, far smaller than the table, Spark broadcasts the batch's keys if their
-    measured size allows, and the table is scanned without being shuffled. A large batch falls
-    back to sort-merge joins on the key.
+    The target gives only its key column, and first only the keys that occur in the batch; rows of
+    keys it has are left out before copies are compared. For the usual batch, far smaller than the
+    table, Spark broadcasts the batch's keys if their measured size allows, and the table is scanned
+    without being shuffled. A large batch falls back to sort-merge joins on the key.
     """
-    fresh = first_per_key(batch, key, order_by)
     asked = batch.select(key).filter(F.col(key).isNotNull()).distinct()
     present = target.select(key).join(asked, key, "left_semi")
-    return fresh.join(present, key, "left_anti").select(*batch.columns)
+    absent = batch.join(present, key, "left_anti").select(*batch.columns)
+    return first_per_key(absent, key, order_by)
 
 
 def insert_if_absent(

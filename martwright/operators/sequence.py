@@ -40,3 +40,16 @@ def with_sequence_key(
     numbered = stored.join(F.broadcast(offsets), "_part")
     position = F.col("_offset") + F.col("_row") + F.lit(start)
     return numbered.select(position.cast("bigint").alias(name), *df.columns)
+
+
+def with_shared_sequence_key(df: DataFrame, key: str, name: str, start: int = 1) -> DataFrame:
+    """Number the distinct values of ``key``; rows that share one share its number.
+
+    Rows without a key get 0. The numbers are joined to the rows by key, so no row is dropped or
+    doubled.
+    """
+    values = df.select(F.col(key).alias("_natural")).filter("_natural IS NOT NULL").distinct()
+    numbers = with_sequence_key(values, "_natural", "_number", start)
+    numbered = df.join(numbers, F.col(key) == F.col("_natural"), "left")
+    number = F.when(F.col(key).isNull(), F.lit(0).cast("bigint")).otherwise(F.col("_number"))
+    return numbered.select(number.alias(name), *(df[c] for c in df.columns))

@@ -5,7 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright.operators.loading import first_per_key, rows_to_insert
 from martwright.operators.quality import run_checks
@@ -28,7 +31,8 @@ SCHEMAS = {
     "dim_customers": DIM_CUSTOMERS,
     "fct_orders": FCT_ORDERS,
 }
-PARTITION_COLUMNS = {"dim_customers": "region", "fct_orders": "order_region"}
+SORTED_BY = {"dim_customers": ["region"], "fct_orders": ["order_region", "order_date"]}
+SURROGATE_KEYS = {"dim_customers": "customer_key", "fct_orders": "order_key"}
 
 
 @dataclass(frozen=True)
@@ -42,8 +46,17 @@ class Warehouse:
         return f"{self.folder.rstrip('/')}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        """The stored table, columns in their order and described; folders come last on disk."""
-        df, schema = read_table(self.spark, self.path(table)), SCHEMAS[table]
+        """The stored table with its descriptions; without rows if it was never stored.
+
+        The files say which of the optional columns it has, and of which type its keys are.
+        """
+        schema, path = SCHEMAS[table], self.path(table)
+        try:
+            df = read_table(self.spark, path)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            df = self.spark.createDataFrame([], schema)
         return document(df.select(*[c for c in columns(schema) if c in df.columns]), schema)
 
     def tables(self) -> dict[str, DataFrame]:
@@ -51,7 +64,12 @@ class Warehouse:
 
 
 def load_raw(warehouse: Warehouse, customers: DataFrame, orders: DataFrame) -> None:
-    """Replace the raw tables, keeping the first row of each key."""
+    """Replace all four tables: raw rows, the first of each key, and empty marts.
+
+    The marts are emptied first, so that none is read next to raw tables it was not built from.
+    """
+    for table in SORTED_BY:
+        _store_empty(warehouse, table, "hash")
     customers = first_per_key(customers, "customer_id", ["created_at"])
     orders = first_per_key(orders, "order_id", ["created_at"])
     refresh_table(document(customers, RAW_CUSTOMERS), warehouse.path("raw_customers"))
@@ -65,20 +83,16 @@ def add_raw(warehouse: Warehouse, customers: DataFrame, orders: DataFrame) -> No
         ("raw_orders", orders, "order_id"),
     ):
         fresh = rows_to_insert(batch, warehouse.read(table), key, ["created_at"])
-        append_rows(fresh, warehouse.path(table))
+        append_rows(document(fresh, SCHEMAS[table]), warehouse.path(table))
 
 
-def staged(customers: DataFrame, orders: DataFrame, as_of: dt.date | str, age: str) -> dict:
+def _staged_raw(warehouse: Warehouse, as_of: dt.date | str, age: str) -> dict:
     return {
-        "stg_customers": stage_customers(customers, as_of, age),
-        "stg_orders": stage_orders(orders),
+        "stg_customers": stage_customers(warehouse.read("raw_customers"), as_of, age),
+        "stg_orders": stage_orders(warehouse.read("raw_orders")),
     }
 
 
-def _staged_raw(warehouse: Warehouse, as_of: dt.date | str, age: str) -> dict:
-    return staged(warehouse.read("raw_customers"), warehouse.read("raw_orders"), as_of, age)
-
-
 def build_marts(
     warehouse: Warehouse, as_of: dt.date | str, age: str = "completed", keys: str = "hash"
 ) -> None:
@@ -90,34 +104,87 @@ def build_marts(
     _store(warehouse, "fct_orders", fct)
 
 
+def missing_customers(warehouse: Warehouse) -> DataFrame:
+    """Ids of stored customers that the dimension does not have; only ids are read."""
+    ids = warehouse.read("raw_customers").select("customer_id").filter("customer_id IS NOT NULL")
+    known = warehouse.read("dim_customers").select("customer_id")
+    return ids.distinct().join(known, "customer_id", "left_anti")
+
+
+def missing_orders(warehouse: Warehouse) -> DataFrame:
+    """Ids of stored orders that the fact does not have but whose customer the dimension has.
+
+    They are new, or older than their customer, or were left out by staging. Only ids are read.
+    """
+    raw = warehouse.read("raw_orders").select("order_id", "customer_id")
+    known = warehouse.read("dim_customers").select("customer_id")
+    absent = raw.join(warehouse.read("fct_orders").select("order_id"), "order_id", "left_anti")
+    absent = absent.join(known, "customer_id", "left_semi")
+    return absent.filter("order_id IS NOT NULL").select("order_id").distinct()
+
+
 def add_to_marts(
-    warehouse: Warehouse,
-    as_of: dt.date | str,
-    age: str = "completed",
-    batch: tuple[DataFrame, DataFrame] | None = None,
+    warehouse: Warehouse, as_of: dt.date | str, age: str = "completed", keys: str | None = None
 ) -> None:
-    """Append the customers and orders that the marts do not hold yet; hash keys only.
+    """Append the customers and orders that the marts do not hold yet.
 
-    All raw rows are looked at, or with ``batch`` only these customers and orders: then the stored
-    tables are read for their keys and a small batch is all that is staged, joined and shuffled.
+    All stored raw rows count, so an order that came before its customer is added once that is
+    there. The tables are compared by their ids; what is missing is all that is staged, joined and
+    keyed. ``keys`` is that of the stored marts, or "hash" for empty ones; integer keys go on from
+    the largest. Asking for another kind fails before anything is written.
     """
-    stage = staged(*batch, as_of, age) if batch else _staged_raw(warehouse, as_of, age)
-    dim = build_dim_customers(stage["stg_customers"])
-    _add(warehouse, "dim_customers", dim, "customer_id", "customer_since")
-    fct = build_fct_orders(stage["stg_orders"], warehouse.read("dim_customers"))
-    _add(warehouse, "fct_orders", fct, "order_id", "created_at")
+    kinds = {t: _key_kind(warehouse, t) for t in SURROGATE_KEYS}
+    keys = keys or next((k for k, _ in kinds.values() if k), "hash")
+    wrong = [t for t, (kind, _) in kinds.items() if kind not in (None, keys)]
+    if wrong:
+        raise ValueError(f"{', '.join(wrong)} not keyed by {keys}")
+    for table, (kind, _) in kinds.items():
+        if kind is None:  # what was stored without rows may have keys of the other type
+            _store_empty(warehouse, table, keys)
+    ids = missing_customers(warehouse)
+    new = warehouse.read("raw_customers").join(ids, "customer_id", "left_semi")
+    staged = stage_customers(new, as_of, age)
+    dim = first_per_key(build_dim_customers(staged, keys, start=kinds["dim_customers"][1]), "customer_id", ["customer_since"])
+    _add(warehouse, "dim_customers", dim)
+    ids = missing_orders(warehouse)
+    new = warehouse.read("raw_orders").join(ids, "order_id", "left_semi")
+    fct = build_fct_orders(stage_orders(new), warehouse.read("dim_customers"), keys, kinds["fct_orders"][1])
+    _add(warehouse, "fct_orders", first_per_key(fct, "order_id", ["created_at"]))
+
+
+def _key_kind(warehouse: Warehouse, table: str) -> tuple[str | None, int]:
+    """"hash" or "sequence", None for a table without rows, and the next number."""
+    keys = warehouse.read(table).select(SURROGATE_KEYS[table])
+    if keys.isEmpty():
+        return None, 1
+    if isinstance(keys.schema[0].dataType, T.StringType):
+        return "hash", 1
+    return "sequence", keys.agg(F.max(keys.columns[0])).first()[0] + 1
+
+
+def _sorted(table: str, df: DataFrame) -> DataFrame:
+    """Rows in the order of the usual filters inside each file, so scans skip by its statistics."""
+    return document(df, SCHEMAS[table]).sortWithinPartitions(*SORTED_BY[table])
 
 
 def _store(warehouse: Warehouse, table: str, df: DataFrame) -> None:
-    refresh_table(document(df, SCHEMAS[table]), warehouse.path(table), PARTITION_COLUMNS[table])
+    refresh_table(_sorted(table, df), warehouse.path(table))
+
+
+def _store_empty(warehouse: Warehouse, table: str, keys: str) -> None:
+    """The table without rows: its files still say which columns it has."""
+    key = T.StringType() if keys == "hash" else T.LongType()
+    surrogates = set(SURROGATE_KEYS.values())
+    fields = [f for f in SCHEMAS[table] if f.name != "date_of_birth"]
+    types = [T.StructField(f.name, key if f.name in surrogates else f.dataType) for f in fields]
+    _store(warehouse, table, warehouse.spark.createDataFrame([], T.StructType(types)))
 
 
-def _add(warehouse: Warehouse, table: str, df: DataFrame, key: str, order: str) -> None:
-    fresh = rows_to_insert(df, warehouse.read(table), key, [order])
-    append_rows(fresh, warehouse.path(table), PARTITION_COLUMNS[table])
+def _add(warehouse: Warehouse, table: str, df: DataFrame) -> None:
+    append_rows(_sorted(table, df), warehouse.path(table))
 
 
 def check(warehouse: Warehouse, as_of: dt.date | str, age: str = "completed") -> DataFrame:
-    """The report of both suites over the stored tables and the staging views."""
+    """The report of all suites over the stored tables and the staging views."""
     tables = warehouse.tables() | _staged_raw(warehouse, as_of, age)
     return run_checks(tables, declared() + asserted())

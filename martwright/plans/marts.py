@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from martwright.functions.keys import hash_key
 from martwright.operators.joins import lookup
-from martwright.operators.loading import first_per_key
-from martwright.operators.sequence import with_sequence_key
+from martwright.operators.sequence import with_shared_sequence_key
 from martwright.sources.schemas import DIM_CUSTOMERS, FCT_ORDERS, document
 
 
 def build_dim_customers(
-    stg_customers: DataFrame, keys: str = "hash", birth_date: bool = False
+    stg_customers: DataFrame, keys: str = "hash", birth_date: bool = False, start: int = 1
 ) -> DataFrame:
-    """One row per staged customer that has an id.
+    """A row for each staged customer that has an id.
 
-    ``keys="sequence"`` numbers the customers in id order instead of hashing the id. The birth
-    date is left out unless asked for, as the age is what the reports need.
+    ``keys="sequence"`` numbers the ids from ``start`` in their order instead of hashing them; the
+    rows are the same for both. The birth date is left out unless asked for, as the age is what the
+    reports need.
     """
     known = stg_customers.filter(F.col("customer_id").isNotNull()).select(
         "customer_id",
@@ -33,14 +33,14 @@ def build_dim_customers(
         F.to_date("created_at").alias("customer_since"),
         "updated_at",
     )
-    keyed = _keyed(known, "customer_id", "customer_key", keys, first_by="customer_since")
+    keyed = _keyed(known, "customer_id", "customer_key", keys, start)
     return document(keyed, DIM_CUSTOMERS)
 
 
 def build_fct_orders(
-    stg_orders: DataFrame, dim_customers: DataFrame, keys: str = "hash"
+    stg_orders: DataFrame, dim_customers: DataFrame, keys: str = "hash", start: int = 1
 ) -> DataFrame:
-    """One row per staged order whose customer is in the dimension.
+    """A row for each staged order and customer of its in the dimension.
 
     The region is kept on the fact, so a role's row filter needs no join.
     """
@@ -62,13 +62,12 @@ def build_fct_orders(
         "order_region",
         "created_at",
     )
-    return document(_keyed(found, "order_id", "order_key", keys, "created_at"), FCT_ORDERS)
+    return document(_keyed(found, "order_id", "order_key", keys, start), FCT_ORDERS)
 
 
-def _keyed(df: DataFrame, natural: str, name: str, keys: str, first_by: str) -> DataFrame:
+def _keyed(df: DataFrame, natural: str, name: str, keys: str, start: int) -> DataFrame:
     if keys == "sequence":
-        # Numbers are given to keys inserted once each, so copies of a key are dropped first.
-        return with_sequence_key(first_per_key(df, natural, [first_by]), natural, name)
+        return with_shared_sequence_key(df, natural, name, start)
     if keys != "hash":
         raise ValueError(f"keys must be 'hash' or 'sequence', not {keys!r}")
     return df.select(hash_key(F.col(natural)).alias(name), "*")

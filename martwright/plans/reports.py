@@ -73,14 +73,24 @@ def spend_per_customer(fct: DataFrame) -> DataFrame:
     )
 
 
+_PARTS = {"_orders": F.sum, "_spend": F.sum, "_amounts": F.sum, "_largest": F.max}
+
+
 def customer_spend(dim: DataFrame, fct: DataFrame) -> DataFrame:
-    """Spend per country and region."""
+    """Spend per country and region.
+
+    The joined rows lie by customer key already, so they are reduced to a row per customer without
+    a shuffle; a key stands for one customer id, so these rows are the distinct customers.
+    """
     spend = spend_per_customer(fct)
+    who = ["customer_key", "customer_id", "country", "region"]
     return (
-        lookup(spend, dim.select("customer_key", "customer_id", "country", "region"), "customer_key")
+        lookup(spend, dim.select(*who), "customer_key")
+        .groupBy(*who)
+        .agg(*(f(c).alias(c) for c, f in _PARTS.items()))
         .groupBy("country", "region")
         .agg(
-            F.countDistinct("customer_id").alias("unique_customers"),
+            F.count("customer_id").alias("unique_customers"),
             F.sum("_orders").alias("total_orders"),
             F.sum("_spend").cast("decimal(32,2)").alias("total_spend"),
             mean_amount(F.sum("_spend"), F.sum("_amounts")).alias("avg_spend_per_order"),
@@ -95,13 +105,14 @@ def top_customers(dim: DataFrame, fct: DataFrame, rows: int = 10) -> DataFrame:
     who = ["customer_id", "customer_full_name", "country", "region", "customer_age"]
     totals = (
         lookup(spend_per_customer(fct), dim.select("customer_key", *who), "customer_key")
-        .groupBy(*who)
+        .groupBy("customer_key", *who)
         .agg(
             F.sum("_orders").alias("total_orders"),
             F.sum("_spend").cast("decimal(32,2)").alias("total_spend"),
             mean_amount(F.sum("_spend"), F.sum("_amounts")).alias("avg_order_value"),
             F.max("_last").alias("last_order_date"),
         )
+        .drop("customer_key")
     )
     return top(totals, "total_spend", "customer_id", rows)
 
@@ -118,7 +129,7 @@ def status_distribution(fct: DataFrame) -> DataFrame:
     groups = fct.groupBy("order_status").agg(
         F.count("*").alias("order_count"), F.sum("total_amount").alias("revenue")
     )
-    shares = with_percent(groups, fct, "order_count", "pct_of_total")
+    shares = with_percent(groups, "order_count", "pct_of_total")
     return shares.select("order_status", "order_count", "pct_of_total", "revenue").orderBy(
         F.desc("order_count"), "order_status"
     )
@@ -157,7 +168,7 @@ def gender_shares(raw_customers: DataFrame) -> DataFrame:
     groups = raw_customers.groupBy(label(raw_customers, "gender").alias("gender")).agg(
         F.count("*").alias("customers")
     )
-    return with_percent(groups, raw_customers, "customers", "pct_of_total").orderBy(
+    return with_percent(groups, "customers", "pct_of_total").orderBy(
         F.desc("customers"), "gender"
     )
 

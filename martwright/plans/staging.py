@@ -50,13 +50,18 @@ def _dated() -> Column:
     return F.col("order_date").isNotNull()
 
 
+def _fits() -> Column:
+    """The total is the largest amount, so the others fit if it does."""
+    return total_amount(F.col("quantity"), F.col("unit_price")).isNotNull()
+
+
 def stage_orders(raw: DataFrame, status_case: str = "title") -> DataFrame:
     """Valid orders with clean labels and their amounts.
 
     ``status_case="title"`` gives the spelling the marts are checked against, ``"upper"`` capitals.
     """
     quantity, price = F.col("quantity"), F.col("unit_price")
-    return raw.filter(_valid_quantity() & _valid_price() & _dated()).select(
+    return raw.filter(_valid_quantity() & _valid_price() & _dated() & _fits()).select(
         "order_id",
         "customer_id",
         "order_date",
@@ -84,5 +89,6 @@ def rejected_orders(raw: DataFrame) -> DataFrame:
         F.when(fails(_valid_quantity()), "quantity")
         .when(fails(_valid_price()), "unit_price")
         .when(fails(_dated()), "order_date")
+        .when(fails(_fits()), "amount")
     )
     return raw.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())

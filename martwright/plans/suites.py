@@ -145,6 +145,7 @@ def asserted_marts() -> list[q.TableChecks]:
                 q.accepted_range("customer_age", MIN_AGE, MAX_AGE, null_fails=True),
                 q.accepted_values("region", REGIONS, null_fails=True),
                 q.not_null("customer_since"),
+                q.non_empty(),
             ],
         ),
         q.TableChecks(
@@ -157,8 +158,27 @@ def asserted_marts() -> list[q.TableChecks]:
                 q.total_is_sum("total_amount", "gross_amount", "tax_amount"),
                 q.tax_rate("tax_amount", "gross_amount"),
                 q.accepted_values("order_region", REGIONS, null_fails=True),
+                q.non_empty(),
+            ],
+        ),
+    ]
+
+
+def defined() -> list[q.TableChecks]:
+    """What the table definitions demand: columns that may not be null, and the longest texts."""
+    return [
+        q.TableChecks(
+            "raw_customers",
+            [q.not_null("customer_id"), q.not_null("customer_full_name"), q.max_length("customer_id", 50)],
+        ),
+        q.TableChecks(
+            "raw_orders",
+            [
+                q.not_null("order_id"),
+                *(q.max_length(c, n) for c, n in (("order_id", 50), ("customer_id", 50), ("order_status", 50), ("payment_method", 50))),
             ],
         ),
+        q.TableChecks("dim_customers", [q.not_null("customer_id"), q.max_length("customer_id", 50)]),
     ]
 
 

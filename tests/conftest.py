@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import sys
 from decimal import Decimal
 from pathlib import Path
@@ -13,7 +14,7 @@ from martwright.sources.schemas import RAW_CUSTOMERS, RAW_ORDERS  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4)
+    session = local_session(int(os.environ.get("TEST_CPUS", "4")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

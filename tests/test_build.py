@@ -9,7 +9,7 @@ from martwright.__main__ import main
 from martwright.operators.joins import orphans
 from martwright.plans import build
 from martwright.plans.marts import build_dim_customers, build_fct_orders
-from martwright.plans.staging import stage_customers, stage_orders
+from martwright.plans.staging import rejected_orders, stage_customers, stage_orders
 from martwright.sources.schemas import DIM_CUSTOMERS, FCT_ORDERS, columns, data_dictionary
 from martwright.sources.synthetic import generate
 
@@ -53,7 +53,9 @@ def test_mart_columns_and_types(customers, orders):
 def test_sequence_keys_number_each_customer_once(customers, orders):
     raw = customers(customer("C2"), customer("C1"), customer("C2"), customer(None))
     dim = build_dim_customers(stage_customers(raw, DAY), keys="sequence")
-    assert sorted((r["customer_id"], r["customer_key"]) for r in dim.collect()) == [("C1", 1), ("C2", 2)]
+    numbers = sorted((r["customer_id"], r["customer_key"]) for r in dim.collect())
+    assert numbers == [("C1", 1), ("C2", 2), ("C2", 2)]
+    dim = dim.dropDuplicates(["customer_id"])
     sales = orders(order("O9", "C2"), order("O1", "C1"), order("O5", "gone"))
     fct = build_fct_orders(stage_orders(sales), dim, keys="sequence")
     got = sorted((r["order_id"], r["order_key"], r["customer_key"]) for r in fct.collect())
@@ -83,11 +85,10 @@ def test_whole_run(spark, warehouse):
     assert {n: t.count() for n, t in warehouse.tables().items()} == {
         "raw_customers": 310, "raw_orders": 2100, "dim_customers": 310, "fct_orders": 2100,
     }
-    # The same by way of the batch alone.
-    batch = generate(spark, 320, 2200)
-    build.add_raw(warehouse, *batch)
-    build.add_to_marts(warehouse, DAY, batch=batch)
-    build.add_to_marts(warehouse, DAY, batch=batch)
+    # A batch whose keys are all new.
+    build.add_raw(warehouse, *generate(spark, 320, 2200))
+    build.add_to_marts(warehouse, DAY)
+    build.add_to_marts(warehouse, DAY)
     assert {n: t.count() for n, t in warehouse.tables().items()} == {
         "raw_customers": 320, "raw_orders": 2200, "dim_customers": 320, "fct_orders": 2200,
     }
@@ -99,6 +100,99 @@ def test_whole_run(spark, warehouse):
         assert sorted(map(str, again)) == sorted(map(str, rows)), name
 
 
+@pytest.mark.parametrize("keys", ["hash", "sequence"])
+def test_the_same_rows_whatever_the_keys(customers, orders, keys):
+    people = customers(customer("C1"), customer("C1"), customer("C2"), customer(None))
+    sales = orders(order("O1"), order("O1"), order("O2", "C2"), order(None, "C2"), order("O3", None))
+    dim = build_dim_customers(stage_customers(people, DAY), keys)
+    fct = build_fct_orders(stage_orders(sales), dim, keys)
+    assert dim.groupBy("customer_id").count().orderBy("customer_id").collect() == [("C1", 2), ("C2", 1)]
+    got = [tuple(r) for r in fct.groupBy("order_id").count().orderBy("order_id").collect()]
+    assert got == [(None, 1), ("O1", 4), ("O2", 1)]
+    pairs = fct.select("order_id", "order_key").distinct()
+    assert pairs.count() == pairs.select("order_key").distinct().count() == 3
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("keys", ["hash", "sequence"])
+@pytest.mark.parametrize("order_of", ["customers first", "orders first", "mixed"])
+def test_any_split_into_batches_ends_in_the_same_marts(spark, tmp_path, keys, order_of):
+    people, sales = generate(spark, 60, 300)
+    n = F.crc32(people["customer_id"]) % 3
+    m = F.crc32(sales["order_id"]) % 3
+    none_p, none_s = people.limit(0), sales.limit(0)
+    batches = {
+        "customers first": [(people, none_s), (none_p, sales)],
+        "orders first": [(none_p, sales), (people, none_s)],
+        "mixed": [(people.filter(n == i), sales.filter(m == i)) for i in range(3)],
+    }[order_of]
+    split = build.Warehouse(spark, str(tmp_path / "split"))
+    for batch in batches:
+        build.add_raw(split, *batch)
+        build.add_to_marts(split, DAY, keys=keys)
+    whole = build.Warehouse(spark, str(tmp_path / "whole"))
+    build.load_raw(whole, people, sales)
+    build.build_marts(whole, DAY, keys=keys)
+    drop = ["customer_key", "order_key"] if keys == "sequence" else []
+    for table in ("dim_customers", "fct_orders"):
+        assert rows(split.read(table).drop(*drop)) == rows(whole.read(table).drop(*drop)), table
+    if keys == "sequence":
+        dim, fct = split.read("dim_customers"), split.read("fct_orders")
+        numbers = sorted(r[0] for r in dim.select("customer_key").collect())
+        assert numbers == list(range(1, 61))
+        assert sorted(r[0] for r in fct.select("order_key").collect()) == list(range(1, 301))
+        assert fct.join(dim, ["customer_key", "customer_id"]).count() == 300
+
+
+def test_keys_of_another_kind_are_refused_before_any_write(spark, warehouse):
+    build.load_raw(warehouse, *generate(spark, 10, 20))
+    build.build_marts(warehouse, DAY)
+    build.add_raw(warehouse, *generate(spark, 12, 30))
+    with pytest.raises(ValueError, match="not keyed by sequence"):
+        build.add_to_marts(warehouse, DAY, keys="sequence")
+    assert warehouse.read("dim_customers").count() == 10
+    build.add_to_marts(warehouse, DAY)
+    assert warehouse.read("dim_customers").count() == 12
+
+
+def test_missing_rows_are_found_by_keys_alone(spark, warehouse):
+    build.load_raw(warehouse, *generate(spark, 10, 20))
+    build.build_marts(warehouse, DAY)
+    for found, names in ((build.missing_customers(warehouse), {"customer_id"}), (build.missing_orders(warehouse), {"order_id", "customer_id"})):
+        read = set()
+        for line in plan_of(found).splitlines():
+            if "ReadSchema" in line:
+                read |= {f.split(":")[0] for f in line.split("struct<")[1].rstrip(">").split(",")}
+        assert read == names
+
+
+def test_blank_regions_and_empty_tables_are_stored_as_they_are(spark, warehouse, customers, orders):
+    build.load_raw(warehouse, customers(customer("C1", region=""), customer("C2")), orders(order("O1", quantity=0)))
+    build.build_marts(warehouse, DAY)
+    assert sorted(r["region"] for r in warehouse.read("dim_customers").collect()) == ["", "UK"]
+    assert warehouse.read("fct_orders").columns == columns(FCT_ORDERS)
+    failed = build.check(warehouse, DAY).filter("status = 'FAIL' AND table_name = 'fct_orders'")
+    assert [r["check_name"] for r in failed.collect()] == ["non_empty"]
+
+
+def test_a_new_load_leaves_no_old_marts(spark, warehouse):
+    build.load_raw(warehouse, *generate(spark, 10, 20))
+    build.build_marts(warehouse, DAY)
+    build.load_raw(warehouse, *generate(spark, 5, 5))
+    assert {n: df.count() for n, df in warehouse.tables().items()} == {
+        "raw_customers": 5, "raw_orders": 5, "dim_customers": 0, "fct_orders": 0,
+    }
+
+
+def test_an_amount_that_does_not_fit_rejects_its_order_only(orders):
+    raw = orders(order("O1"), order("O2", quantity=2_000_000_000, unit_price=Decimal("99999999.99")))
+    assert [r["order_id"] for r in stage_orders(raw).collect()] == ["O1"]
+    assert [(r["order_id"], r["reject_reason"]) for r in rejected_orders(raw).collect()] == [("O2", "amount")]
+
+
 def test_steps_from_the_shell(spark, tmp_path, capsys):
     first, second, seeds = (str(tmp_path / name) for name in ("a", "b", "seeds"))
     day = ["--as-of", DAY]

@@ -4,11 +4,14 @@ import re
 from pathlib import Path
 
 import pytest
-from conftest import node_lines, plan_of
+from conftest import customer, node_lines, order, plan_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from martwright.operators.loading import first_per_key
 from martwright.plans import reports
+from martwright.plans.marts import build_dim_customers, build_fct_orders
+from martwright.plans.staging import stage_customers, stage_orders
 from martwright.sources.synthetic import generate
 from verification import tables as t
 
@@ -54,9 +57,42 @@ def test_reports_read_only_their_columns(spark, stored):
     )
 
 
-def test_the_share_of_a_stored_table_needs_no_second_read_of_columns(spark, stored):
-    plan = plan_of(reports.status_distribution(stored["fct_orders"]))
-    assert re.findall(r"ReadSchema: (struct<.*>)", plan).count("struct<>") == 1
+def final_nodes(df):
+    df.collect()
+    return [x.strip(" +-:*()0123456789") for x in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+
+
+def test_a_share_needs_no_second_derivation(spark, stored):
+    nodes = final_nodes(reports.status_distribution(stored["fct_orders"]))
+    assert sum(x.startswith("ReusedExchange") for x in nodes) >= 1
+
+
+def test_customer_reports_shuffle_no_more_than_they_must(spark, stored, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for report, most in ((reports.customer_spend, 4), (reports.top_customers, 2)):
+        plan = report(stored["dim_customers"], stored["fct_orders"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") <= most
+
+
+def test_distinct_customers_with_a_repeated_row(spark, customers, orders):
+    dim = build_dim_customers(stage_customers(customers(customer("C1"), customer("C1"), customer("C2")), "2024-01-01"))
+    fct = build_fct_orders(stage_orders(orders(order("O1"), order("O2", "C2"))), dim.dropDuplicates(["customer_id"]))
+    row = reports.customer_spend(dim, fct).first()
+    assert (row["unique_customers"], row["total_orders"]) == (2, 3)
+
+
+def test_copies_are_dropped_without_shuffling_rows(spark, tmp_path):
+    """Rows of keys that occur once are not shuffled while the repeated keys can be broadcast."""
+    spark.range(0, 20000).selectExpr("id DIV 1 AS k", "id AS t", "repeat('x', 50) AS wide").union(
+        spark.range(0, 5).selectExpr("id AS k", "id + 7 AS t", "'y' AS wide")
+    ).write.parquet(str(tmp_path / "t"))
+    got = first_per_key(spark.read.parquet(str(tmp_path / "t")), "k", ["t"])
+    assert got.count() == 20000
+    nodes = got.select("k", "wide")
+    nodes.collect()
+    plan = nodes._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
 
 
 def test_numbering_windows_see_one_row_per_partition(spark):

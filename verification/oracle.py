@@ -22,8 +22,8 @@ S = "CAST({} AS VARCHAR)".format
 # Drawing the raw tables.
 
 
-def _draw(number: str, stream: str, size: int) -> str:
-    return f"(({number} % {s.PRIME} + 1) * {s.STREAMS[stream]} % {s.PRIME} % {size})"
+def _draw(number: str, attribute: str, size: int) -> str:
+    return f"(CAST('0x' || substr(md5({number} || '/{attribute}'), 1, 8) AS BIGINT) % {size})"
 
 
 def _texts(values) -> str:
@@ -36,9 +36,9 @@ def _pick(values, number: str, stream: str) -> str:
 
 def _weighted(values, weights, number: str, stream: str) -> str:
     shown = ["'" + v + "'" if isinstance(v, str) else v for v in values]
-    cases = [f"WHEN p < {end} THEN {v}" for v, end in zip(shown, accumulate(weights))]
     drawn = _draw(number, stream, 100)
-    return "CASE " + " ".join(c.replace("WHEN p", f"WHEN {drawn}") for c in cases) + " END"
+    cases = [f"WHEN {drawn} < {end} THEN {v}" for v, end in zip(shown, accumulate(weights))]
+    return "CASE " + " ".join(cases) + " END"
 
 
 def _region(number: str) -> str:
@@ -54,10 +54,10 @@ def _customers(source: str, number: str, country: str) -> str:
     last = _either(_pick(s.UK_LAST, "n", "last"), _pick(s.EU_LAST, "n", "last"))
     mail = _either(_pick(s.UK_MAIL, "n", "mail"), _pick(s.EU_MAIL, "n", "mail"))
     drawn_country = _either(
-        _pick(domain.UK_COUNTRIES, "n", "country"), _pick(domain.EU_COUNTRIES, "n", "country")
+        *(_weighted(*zip(*c), "n", "country") for c in (s.UK_COUNTRIES, s.EU_COUNTRIES))
     )
     a, b = f"({_draw('n', 'phone_a', 900)} + 100)", f"({_draw('n', 'phone_b', 900)} + 100)"
-    c, prefix = f"({_draw('n', 'phone_c', 9000)} + 1000)", f"({_draw('n', 'country', 19)} + 31)"
+    c, prefix = f"({_draw('n', 'phone_c', 9000)} + 1000)", f"({_draw('n', 'prefix', 19)} + 31)"
     digits = f"{a} || ' ' || {b} || ' ' || {c}"
     phone = _either(f"'+44 7' || {digits}", f"'+' || {prefix} || ' ' || {digits}")
     born = (
@@ -78,20 +78,21 @@ def _customers(source: str, number: str, country: str) -> str:
           FROM (SELECT *, {number} AS n, {_region(number)} AS region FROM {source}))"""
 
 
-def _orders(source: str, number: str, customer: str, day: str) -> str:
-    pence = f"((125 + product * 397 % 1171) * ({_draw('n', 'price', 301)} + 900) + 500) // 1000"
+def _orders(source: str, number: str, customer: str, day: str, pence: str = "", status: str = "") -> str:
+    pence = pence or f"((125 + product * 397 % 1171) * ({_draw('n', 'price', 301)} + 900) + 500) // 1000"
+    status = status or _weighted(domain.ORDER_STATUSES, domain.ORDER_STATUS_WEIGHTS, "n", "status")
     category = f"{_texts(domain.PRODUCT_CATEGORIES)}[product // 6 + 1]"
     return f"""
     SELECT n, printf('ORD-%05d', n) AS order_id, printf('CUST-%05d', buyer) AS customer_id,
       order_date,
-      {_weighted(domain.ORDER_STATUSES, domain.ORDER_STATUS_WEIGHTS, 'n', 'status')} AS order_status,
+      {status} AS order_status,
       {_pick(domain.PAYMENT_METHODS, 'n', 'payment')} AS payment_method,
       {category} AS product_category,
       upper({category}) || ', ITEM ' || (product % 6 + 1) AS product_description,
       {_weighted(domain.QUANTITIES, domain.QUANTITY_WEIGHTS, 'n', 'quantity')} AS quantity,
       CAST(CAST({pence} AS DECIMAL(10,0)) * 0.01 AS DECIMAL(10,2)) AS unit_price,
       {_region('buyer')} AS region, CAST(order_date AS TIMESTAMP) AS created_at
-    FROM (SELECT {number} AS n, {customer} AS buyer, {day} AS order_date,
+    FROM (SELECT *, {number} AS n, {customer} AS buyer, {day} AS order_date,
             {_draw(number, 'product', 48)} AS product FROM {source})"""
 
 
@@ -132,6 +133,7 @@ def _completed(birth: str, day: str) -> str:
     )
 
 
+_FITS = "(CAST(quantity AS BIGINT) * CAST(unit_price * 100 AS BIGINT) * 120 + 50) // 100 < 1000000000000"
 TODAY = f"DATE '{t.AS_OF}'"
 
 
@@ -140,7 +142,12 @@ def _with(dirty: bool) -> str:
     customers = _customers(
         "customer JOIN nation ON c_nationkey = n_nationkey", "c_custkey", "n_name"
     )
-    orders = _orders("orders", "o_orderkey", "o_custkey", "CAST(o_orderdate AS DATE)")
+    orders = _orders(
+        "orders", "o_orderkey", "o_custkey", "CAST(o_orderdate AS DATE)",
+        "CAST(floor(o_totalprice / 10) AS BIGINT)",
+        "CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'O' THEN 'Pending'"
+        " WHEN 'P' THEN 'Shipped' ELSE o_orderstatus END",
+    )
     if dirty:
         customer_rows = _spoilt("c0", CUSTOMER_COLUMNS, t.CUSTOMER_DEFECTS, t.CUSTOMER_CYCLE)
         order_rows = _spoilt("o0", ORDER_COLUMNS, t.ORDER_DEFECTS, t.ORDER_CYCLE)
@@ -165,7 +172,7 @@ stg_orders AS (
     upper(trim(region)) AS region, created_at
   FROM (SELECT *, CAST(quantity * CAST(unit_price * 100 AS BIGINT) AS BIGINT) AS pence
         FROM raw_orders)
-  WHERE quantity > 0 AND unit_price >= 0 AND order_date IS NOT NULL),
+  WHERE quantity > 0 AND unit_price >= 0 AND order_date IS NOT NULL AND {_FITS}),
 dim_customers AS (
   SELECT md5(customer_id) AS customer_key, customer_id, customer_full_name,
     customer_email_raw AS customer_email, customer_phone_raw AS customer_phone, country, region,
@@ -258,10 +265,6 @@ ORACLE["insert_dim_customers"] = f"""{DIRTY}, old AS (
         row_number() OVER (PARTITION BY customer_id ORDER BY customer_since NULLS LAST) AS r
       FROM dim_customers WHERE customer_id NOT IN (SELECT customer_id FROM old))
     WHERE r = 1)"""
-ORACLE["insert_fct_orders"] = f"""{DIRTY} SELECT DISTINCT order_key, order_id, customer_id,
-  {_pounds('total_pence')} AS total_amount FROM fct_orders
-  WHERE order_id IS NOT NULL
-    AND order_id NOT IN (SELECT order_id FROM o0 WHERE order_date < DATE '{HISTORY_END}')"""
 ORACLE["default_timestamps"] = f"""{DIRTY} SELECT customer_id, {D('1')} AS filled,
   CASE WHEN created_at IS NOT NULL THEN {D('1')} END AS kept FROM raw_customers"""
 ORACLE["synthetic_customers"] = (
@@ -292,12 +295,13 @@ ORACLE["stg_orders"] = f"{DIRTY} SELECT {_STG_ORDER_OUT}, region FROM stg_orders
 ORACLE["stg_orders_upper_status"] = f"""{DIRTY} SELECT order_id,
   upper(trim(order_status)) AS order_status, {_title('payment_method')} AS payment_method,
   upper(trim(region)) AS region FROM raw_orders
-  WHERE quantity > 0 AND unit_price >= 0 AND order_date IS NOT NULL"""
+  WHERE quantity > 0 AND unit_price >= 0 AND order_date IS NOT NULL AND {_FITS}"""
 ORACLE["rejected_rows"] = f"""{DIRTY} SELECT order_id, {D('quantity')} AS quantity,
   {D('unit_price')} AS unit_price, {S('order_date')} AS order_date, reject_reason FROM (
     SELECT *, CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'quantity'
       WHEN unit_price IS NULL OR unit_price < 0 THEN 'unit_price'
-      WHEN order_date IS NULL THEN 'order_date' END AS reject_reason FROM raw_orders)
+      WHEN order_date IS NULL THEN 'order_date'
+      WHEN NOT {_FITS} THEN 'amount' END AS reject_reason FROM raw_orders)
   WHERE reject_reason IS NOT NULL"""
 ORACLE["order_amounts"] = f"""{CLEAN} SELECT order_id, {_pounds('pence')} AS gross_amount,
   {_pounds('tax_pence')} AS tax_amount, {_pounds('total_pence')} AS total_amount FROM stg_orders"""
@@ -372,6 +376,23 @@ for _query, _column in (
 
 # Access by role.
 
+_FCT_OUT = f"order_key, customer_key, {_STG_ORDER_OUT}, order_region"
+ORACLE["insert_fct_orders"] = f"""{DIRTY} SELECT {_FCT_OUT} FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_date, created_at) AS r
+    FROM fct_orders WHERE order_id IS NOT NULL
+      AND order_id NOT IN (SELECT order_id FROM o0 WHERE order_date < DATE '{HISTORY_END}'))
+  WHERE r = 1"""
+ORACLE["insert_late_orders"] = f"{CLEAN} SELECT {_FCT_OUT} FROM fct_orders"
+ORACLE["insert_sequence_keys"] = f"""{CLEAN}, first AS (
+    SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS k FROM raw_customers
+    WHERE created_at < TIMESTAMP '{SINCE_END}'),
+  later AS (
+    SELECT customer_id, (SELECT count(*) FROM first) + row_number() OVER (ORDER BY customer_id) AS k
+    FROM raw_customers WHERE created_at >= TIMESTAMP '{SINCE_END}')
+  SELECT {I('k')} AS customer_key, customer_id, total_orders FROM
+    (SELECT * FROM first UNION ALL SELECT * FROM later) LEFT JOIN
+    (SELECT customer_id, count(*) AS total_orders FROM stg_orders GROUP BY 1) USING (customer_id)
+  WHERE total_orders IS NOT NULL"""
 _VISIBLE = dict(zip(SHORT_ROLES, ("TRUE", "{} = 'UK'", "{} = 'EU'", "FALSE")))
 
 
@@ -385,19 +406,23 @@ def _dim_as(short: str, masks: dict[str, str]) -> str:
 
 for _short in SHORT_ROLES:
     ORACLE[f"dim_customers_as_{_short}"] = _dim_as(_short, _STRICT)
-    ORACLE[f"fct_orders_as_{_short}"] = f"""{DIRTY} SELECT order_id, customer_key, order_region,
-  {_pounds('total_pence')} AS total_amount FROM fct_orders
+    ORACLE[f"fct_orders_as_{_short}"] = f"""{DIRTY} SELECT {_FCT_OUT} FROM fct_orders
   WHERE {_VISIBLE[_short].format('order_region')}"""
 ORACLE["dim_customers_loose_masks"] = _dim_as("uk_analyst", _LOOSE)
 
 
 def _policy_report(table: str, region: str) -> str:
-    parts = [
-        f"""SELECT '{table}' AS table_name, '{role}' AS role, count(*) AS visible_rows,
-    count(DISTINCT {region}) AS regions, min({region}) AS first_region,
-    max({region}) AS last_region FROM {table} WHERE {_VISIBLE[short].format(region)}"""
-        for short, role in SHORT_ROLES.items()
-    ]
+    """What each role can select, region by region; a role that can select nothing gets a 0."""
+    parts = []
+    for short, role in SHORT_ROLES.items():
+        allowed = f"FROM {table} WHERE {_VISIBLE[short].format(region)}"
+        parts.append(
+            f"""SELECT '{table}' AS table_name, '{role}' AS role, {region} AS region,
+    count(*) AS visible_rows {allowed} GROUP BY {region}"""
+        )
+        parts.append(
+            f"SELECT '{table}', '{role}', NULL, 0 WHERE NOT EXISTS (SELECT 1 {allowed})"
+        )
     return DIRTY + " UNION ALL ".join(parts)
 
 
@@ -453,8 +478,7 @@ ORACLE["sql_over_secured_views"] = f"""{CLEAN} SELECT d.country, count(*) AS ord
 
 ORACLE["dim_customers"] = f"""{DIRTY} SELECT {_DIM_OUT}, {S('date_of_birth')} AS date_of_birth,
   {S('updated_at')} AS updated_at FROM dim_customers"""
-ORACLE["fct_orders"] = f"""{DIRTY} SELECT order_key, customer_key, {_STG_ORDER_OUT}, order_region
-  FROM fct_orders"""
+ORACLE["fct_orders"] = f"{DIRTY} SELECT {_FCT_OUT} FROM fct_orders"
 ORACLE["orphan_raw_orders"] = f"""{DIRTY} SELECT order_id, customer_id, {S('order_date')} AS order_date
   FROM raw_orders o WHERE NOT EXISTS
     (SELECT 1 FROM raw_customers c WHERE c.customer_id = o.customer_id)"""
@@ -717,6 +741,8 @@ def _asserted_marts(fact: str) -> list[str]:
         ),
         _check("accepted_values_strict", "dim_customers", "region", f"region IS NULL OR region {_REGION}"),
         *_missing("dim_customers", "customer_since"),
+        _empty("dim_customers"),
+        _empty("fct_orders"),
         _different("fct_orders", "order_key"),
         _different("fct_orders", "order_id"),
         _reference("relationship_strict", "fct_orders", "customer_key", "dim_customers", "TRUE"),

@@ -1,7 +1,7 @@
 """Raw customers and orders, derived from the provided ``customer``, ``nation`` and ``orders``.
 
-Keys, the buyer of an order, the order date, and a customer's country come from the tables; the
-attributes these do not have are drawn from the keys. ``dirty=True`` puts in defects by a rule
+Keys, the buyer of an order, its date, status and price, and a customer's country come from the
+tables; the attributes these do not have are drawn from the keys. ``dirty=True`` puts in defects by a rule
 on the key; the expressions below are SQL that Spark and DuckDB read alike.
 """
 
@@ -56,12 +56,13 @@ ORDER_DEFECTS = {
     "payment_method": [(29, "' apple-pay '"), (30, "NULL")],
     "product_category": [(33, "NULL")],
     "product_description": [(34, "'CUSHION, \"RED\"'"), (36, "''"), (38, "' padded '")],
-    "quantity": [(3, "0"), (5, "NULL"), (6, "1001")],
+    "quantity": [(3, "0"), (5, "NULL"), (6, "1001"), (83, "2000000")],
     "unit_price": [
         (7, "CAST(-0.01 AS DECIMAL(10,2))"),
         (11, "NULL"),
         (41, "CAST(0.01 AS DECIMAL(10,2))"),
         (42, "CAST(0.00 AS DECIMAL(10,2))"),
+        (83, "CAST(99999999.99 AS DECIMAL(10,2))"),  # no amount can hold the total
     ],
     "region": [(31, "'eu '"), (37, "'US'"), (39, "NULL")],
 }
@@ -72,6 +73,7 @@ FACT_DEFECTS = {
         (4, "NULL"),
     ],
 }
+STATUS_OF = {"F": "Delivered", "O": "Pending", "P": "Shipped"}
 DUPLICATE_REMAINDER = 59  # rows with this remainder come twice, a day apart
 
 
@@ -95,7 +97,7 @@ def _spoil(df: DataFrame, defects: dict, number: str, cycle: int) -> DataFrame:
 SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
     "nation": "n_nationkey int, n_name string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
 }
 
 
@@ -113,7 +115,7 @@ def raw_customers(spark: SparkSession, folder: str, dirty: bool = False) -> Data
 
 
 def raw_orders(spark: SparkSession, folder: str, dirty: bool = False) -> DataFrame:
-    orders = scan(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    orders = scan(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     if not dirty:
         return _orders(orders)
     return _spoiled(orders, "o_orderkey", ORDER_DEFECTS, ORDER_CYCLE, _orders)
@@ -124,8 +126,11 @@ def _customers(numbers: DataFrame, *keep: str) -> DataFrame:
 
 
 def _orders(numbers: DataFrame, *keep: str) -> DataFrame:
-    day = F.to_date("o_orderdate")
-    return orders_from(numbers, "o_orderkey", F.col("o_custkey"), day, keep=keep)
+    """Buyer, day, status and a thousandth of the price come from the table."""
+    day, given = F.to_date("o_orderdate"), F.col("o_orderstatus")
+    status = F.coalesce(*(F.when(given == k, v) for k, v in STATUS_OF.items()), given)
+    pence = F.floor(F.col("o_totalprice") / 10)
+    return orders_from(numbers, "o_orderkey", F.col("o_custkey"), day, keep=keep, status=status, pence=pence)
 
 
 def _spoiled(numbers: DataFrame, number: str, defects: dict, cycle: int, build) -> DataFrame:
