@@ -110,7 +110,9 @@ class Machine:
 def train(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 7) -> Machine:
     """Logistic loss, in small batches, with steps that shrink for frequent features."""
     machine, random = Machine(), np.random.default_rng(seed)
-    good = float(labels.mean()) if len(labels) else 0.5
+    if not len(labels):
+        return machine
+    good = float(labels.mean())
     machine.bias = float(np.log(good / (1 - good))) if 0 < good < 1 else 30.0 * (good > 0.5) - 30.0 * (good < 0.5)
     if not 0 < good < 1:
         return machine

@@ -17,6 +17,7 @@ are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -63,24 +64,42 @@ def first_map(shards: int, slots: int = SLOTS) -> list[int]:
 
 
 def rebalanced(current: list[int], sizes: dict[int, int], shards: int) -> list[int]:
-    """The map after slots were moved from the fullest shard to the emptiest, while that helps."""
+    """The map after slots went from the fullest shard to the emptiest, alone or against a smaller one.
+
+    Each step narrows the gap between the two as far as one slot or one exchange can.
+    """
     edited, loads = list(current), [0] * shards
     members: list[set[int]] = [set() for _ in range(shards)]
     for slot, shard in enumerate(edited):
-        loads[shard] += sizes.get(slot, 0)
-        if sizes.get(slot, 0):
+        if size := sizes.get(slot, 0):
+            loads[shard] += size
             members[shard].add(slot)
     while True:
         full, spare = max(range(shards), key=loads.__getitem__), min(range(shards), key=loads.__getitem__)
         gap = loads[full] - loads[spare]
-        slot = min((s for s in members[full] if sizes[s] < gap), key=lambda s: (abs(gap - 2 * sizes[s]), s), default=None)
-        if slot is None or gap <= 1:
+        found = _narrowing(members[full], members[spare], sizes, gap)
+        if found is None:
             return edited
-        members[full].remove(slot)
-        members[spare].add(slot)
-        edited[slot] = spare
-        loads[full] -= sizes[slot]
-        loads[spare] += sizes[slot]
+        for slot, old, new in ((found[0], full, spare), (found[1], spare, full)):
+            if slot is not None:
+                members[old].remove(slot)
+                members[new].add(slot)
+                edited[slot] = new
+                loads[old] -= sizes[slot]
+                loads[new] += sizes[slot]
+
+
+def _narrowing(full: set[int], spare: set[int], sizes: dict[int, int], gap: int) -> tuple[int, int | None] | None:
+    """The slot to move, and the one to take back, that leave the smallest gap; None if none helps."""
+    back = sorted((sizes[s], s) for s in spare)
+    best, least = None, gap
+    for slot in sorted(full):
+        at = bisect_left(back, (sizes[slot] - gap // 2, -1))
+        for size, other in ((0, None), *back[max(0, at - 1) : at + 1]):
+            left = abs(gap - 2 * (sizes[slot] - size))
+            if left < least:
+                best, least = (slot, other), left
+    return best
 
 
 def grown(current: list[int], sizes: dict[int, int], shards: int) -> list[int]:

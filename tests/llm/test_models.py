@@ -1,0 +1,158 @@
+"""Quality, licences and personal data."""
+
+import random
+import time
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import docs, odd_rows  # noqa: F401
+
+from martwright.llm import licences, pii, quality
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_a_score_is_the_sum_over_all_pairs():
+    rng = np.random.default_rng(2)
+    machine = quality.Machine(0.3, vectors=rng.normal(0, 0.3, (quality.BUCKETS + quality.STATISTICS, quality.RANK)), weights=rng.normal(0, 0.3, quality.BUCKETS + quality.STATISTICS))
+    at, x = machine.row(*quality.features("some words, and some more words"))
+    pairs = sum(machine.vectors[at[i]] @ machine.vectors[at[j]] * x[i] * x[j] for i in range(len(at)) for j in range(i))
+    assert machine.margin(at, x) == pytest.approx(0.3 + machine.weights[at] @ x + pairs, abs=1e-5)
+
+
+@pytest.mark.parametrize("text", ["", " \n\t", "x" * 100_000, "word " * 50_000, "😀".encode("utf-16", "surrogatepass").decode("utf-16")])
+def test_any_text_has_a_score(text):
+    assert 0 <= quality.Machine().score(text) <= 1
+
+
+def test_scores_of_odd_tables(spark, docs, odd_rows):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (6, None), (7, 1), (7, 0)], "doc_id long, quality int")
+    machine = quality.fit(docs(odd_rows), labels)
+    got = quality.scores(docs(odd_rows), machine).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(d for d, _ in odd_rows)
+    for r in got:
+        assert r["predicted"] == (r["score"] >= 0.3)
+    texts = {}
+    for (_, text), r in zip(odd_rows, odd_rows, strict=True):
+        texts.setdefault(text or "", r)
+    for none in (labels.limit(0), labels.where("quality = 1")):
+        alone = {r["score"] for r in quality.scores(docs(odd_rows), quality.fit(docs(odd_rows), none)).collect()}
+        assert len(alone) == 1
+    assert quality.scores(docs([]), machine).count() == 0
+    table = docs(odd_rows)
+    kept = quality.keep_good(table, machine)
+    assert kept.columns == table.columns and kept.count() == sum(machine.score(t or "") >= 0.3 for _, t in odd_rows)
+
+
+def test_the_held_out_fold(spark):
+    import zlib
+
+    got = spark.range(300).select("id", quality.held_out("id").alias("h")).collect()
+    assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in got)
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.scores(docs, quality.fit(docs, labels)).join(labels, "doc_id").where("held_out").collect()
+    good = [r["score"] for r in found if r["quality"] == 1]
+    bad = [r["score"] for r in found if r["quality"] == 0]
+    ranked = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert ranked > 0.95 and sum(r["predicted"] == r["quality"] for r in found) / len(found) > 0.9
+
+
+def pairs_of(text):
+    return [(t, 1) for t in text]
+
+
+@pytest.fixture(scope="module")
+def scanner(spark):
+    return licences.fit(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+
+
+LICENSED = [
+    (1, "Some prose.\nLicensed under the Apache License, Version 2.0.\nMore prose.", "apache"),
+    (2, "x\nThis file: Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"),
+    (3, "This work is licensed under the GNU General Public License, version 3.\nReleased under the MIT License.", "gpl,mit"),
+    (4, "Licensed under CC BY-NC 4.0.", "cc-by-nc"),
+    (5, "SPDX-License-Identifier: BSD-3-Clause", "bsd"),
+    (6, "He lost his driving license under the bridge.\nThe general public saw version 3 of the play.", ""),
+    (7, "", ""),
+    (8, None, ""),
+]
+
+
+def test_licences_are_named_and_talk_of_them_is_not(docs, scanner):
+    got = {r["doc_id"]: r["licences"] for r in licences.report(docs([r[:2] for r in LICENSED]), scanner).collect()}
+    assert got == {d: f for d, _, f in LICENSED}
+    assert licences.report(docs([]), scanner).count() == 0
+
+
+def test_rows_with_one_id_are_one_document(docs, scanner):
+    rows = [(1, "Released under the MIT License."), (1, "nothing"), (None, "Licensed under CC BY 4.0."), (None, None)]
+    got = Counter((r["doc_id"], r["licences"]) for r in licences.report(docs(rows), scanner).collect())
+    assert got == Counter({(1, "mit"): 2, (None, "cc-by"): 2})
+
+
+def test_most_planted_licences_are_found(spark, scanner):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = {r["doc_id"]: r["licences"].split(",") for r in licences.report(docs, scanner).collect()}
+    names = {"Apache License, Version 2.0": "apache", "the MIT License": "mit", "GNU General Public License, version 3": "gpl", "CC BY-NC 4.0": "cc-by-nc"}
+    for part, family in names.items():
+        lines = docs.where(F.col("text").contains(part)).select("doc_id").collect()
+        assert lines and all(family in got[r[0]] for r in lines)
+
+
+IBAN = "DE89370400440532013000"
+PERSONAL = [
+    (1, "Mail a.b@c-d.example.com, or ..x@y.z@q.r and a@b"),
+    (2, "card 4111 1111 1111 1111 then 4111-1111-1111-1112, 4041894974608795."),
+    (3, "ip 1.2.3.4 and 256.1.1.1 and 1.2.3.4.5 007.0.0.1 0000000000000000000255.1.1.1"),
+    (4, "call +1 (988) 555-2485 or +44 20 7946 0958, +12, + 1 555"),
+    (5, "é😀 x@y.zz 中 1.1.1.1"),
+    (6, f"My IBAN is {IBAN}, not DE89370400440532013001; GB82 WEST 1234 5698 7654 32."),
+    (7, "ssn 123-45-6789 but 123-45-6780 far away from that word, really far away from it all"),
+    (8, None),
+    (9, ""),
+    (None, "a@b.c"),
+    (10, "a@b.c_d@e.f%g@h.i a@b.c.d.@e.f"),
+]
+
+
+def test_base_spans(docs, odd_rows):
+    rows = [*PERSONAL, *odd_rows]
+    names = ("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+    got = Counter(map(tuple, pii.report(docs(rows)).select(*names).collect()))
+    assert got == Counter(brute.personal(rows))
+    assert pii.report(docs([])).count() == 0
+
+
+def test_random_base_spans(docs):
+    rng = random.Random(7)
+    parts = ["a", "B9", "@", ".", "-", "_", "+", " ", "1", "23", "4", "(", ")", "255", "256", "é", "😀", "4111111111111111", "x@y.z", "1.2.3.4", "+1 555 123 4567"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randrange(40)))) for i in range(3000)]
+    names = ("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+    assert Counter(map(tuple, pii.report(docs(rows)).select(*names).collect())) == Counter(brute.personal(rows))
+
+
+def test_added_spans(docs):
+    got = {r["doc_id"]: r["spans"].split(",") for r in pii.report(docs(PERSONAL)).collect()}
+    assert [s.split(":")[0] for s in got[6]] == ["iban", "iban"]
+    start = PERSONAL[5][1].index(IBAN)
+    assert got[6][0] == f"iban:{start}:{start + len(IBAN)}"
+    assert [s.split(":")[0] for s in got[7]] == ["ssn"]
+
+
+def test_long_runs_take_linear_time(docs):
+    rows = [(1, "a" * 300_000), (2, "1" * 300_000), (3, "1." * 100_000), (4, "+1" + " " * 200_000), (5, "@".join(["a" * 1000] * 200)), (6, "1 " * 100_000)]
+    started = time.time()
+    got = pii.report(docs(rows)).collect()
+    assert len(got) == 6 and time.time() - started < 60
+
+
+def test_masking(docs):
+    got = {r["doc_id"]: r["text"] for r in pii.masked(docs(PERSONAL)).collect()}
+    assert got[5] == "é😀 [email] 中 [ip]" and got[9] == "" and got[8] == ""
