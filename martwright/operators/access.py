@@ -10,6 +10,7 @@ files, or run Python in the same session, can read everything. Grant file access
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,6 +103,37 @@ def register_views(tables: dict[str, DataFrame], role: str, strict: bool = True)
     return opened
 
 
+def layer_report(tables: dict[str, DataFrame], roles: Sequence[str]) -> DataFrame:
+    """Whether each role may read each table, and how many rows it sees; one pass over each table.
+
+    A table that is closed to a role shows it 0 rows.
+    """
+    parts = []
+    for table, df in tables.items():
+        region = F.col(ROW_POLICIES[table]) if table in ROW_POLICIES else F.lit(None)
+        seen = []
+        for role in roles:
+            try:
+                check_layer(table, role)
+            except AccessDenied:
+                seen.append((role, False, F.lit(False)))
+            else:
+                shown = may_see(region, role) if table in ROW_POLICIES else F.lit(True)
+                seen.append((role, True, shown))
+        counts = df.agg(*(F.count_if(shown).alias(f"n{i}") for i, (_, _, shown) in enumerate(seen)))
+        rows = [
+            F.struct(
+                F.lit(table).alias("table_name"),
+                F.lit(role).alias("role"),
+                F.lit(allowed).alias("allowed"),
+                F.col(f"n{i}").alias("visible_rows"),
+            )
+            for i, (role, allowed, _) in enumerate(seen)
+        ]
+        parts.append(counts.select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def policy_report(df: DataFrame, table: str, roles: Sequence[str]) -> DataFrame:
     """Every region a role sees and its rows, one row each; one pass over the table for all roles.
 

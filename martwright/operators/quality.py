@@ -110,6 +110,10 @@ def non_negative(column: str) -> RowCheck:
     return RowCheck("non_negative", column, _breaks(F.col(column) < 0, True))
 
 
+def max_length(column: str, length: int) -> RowCheck:
+    return RowCheck("max_length", column, F.length(column) > length)
+
+
 def contains(column: str, part: str) -> RowCheck:
     return RowCheck("contains", column, _breaks(~F.col(column).contains(part), True))
 
@@ -157,12 +161,12 @@ def relationship(
 def _report(df: DataFrame, table: str, failures: Sequence[tuple[Check, Column]]) -> DataFrame:
     """One aggregation with a count per check, turned into a row per check."""
     counts = df.agg(*[failed.alias(f"n{i}") for i, (_, failed) in enumerate(failures)])
-    rows = ", ".join(
-        f"'{check.name}', '{table}', '{check.column}', coalesce(cast(n{i} AS bigint), 0L)"
+    rows = [
+        F.struct(*map(F.lit, (check.name, table, check.column)), F.coalesce(F.col(f"n{i}").cast("bigint"), F.lit(0)))
         for i, (check, _) in enumerate(failures)
-    )
-    names = ", ".join(RESULT_COLUMNS[:-1])
-    return counts.selectExpr(f"stack({len(failures)}, {rows}) AS ({names})")
+    ]
+    shape = ", ".join(f"{name} {kind}" for name, kind in zip(RESULT_COLUMNS[:-1], ("string", "string", "string", "bigint"), strict=True))
+    return counts.select(F.inline(F.array(*rows).cast(f"array<struct<{shape.replace(' ', ':')}>>".replace(",:", ","))))
 
 
 def row_report(df: DataFrame, table: str, checks: Sequence[RowCheck | NonEmptyCheck]) -> DataFrame:

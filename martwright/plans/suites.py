@@ -164,21 +164,32 @@ def asserted_marts() -> list[q.TableChecks]:
     ]
 
 
+# What the table definitions demand. Columns that may not be null, and the longest texts.
+DEFINED = {
+    "raw_customers": (
+        ("customer_id", "customer_full_name", "customer_email", "country", "region"),
+        {"customer_id": 20, "region": 4, "gender": 4},
+    ),
+    "raw_orders": (
+        ("order_id", "customer_id", "order_date", "order_status", "quantity", "unit_price", "region"),
+        {"order_id": 20, "customer_id": 20, "order_status": 20, "payment_method": 20, "product_category": 50, "region": 4},
+    ),
+    "dim_customers": (("customer_id",), {"customer_id": 20, "region": 4, "gender": 4}),
+    "fct_orders": (
+        (
+            "order_id customer_id order_date order_status quantity unit_price gross_amount tax_amount "
+            "total_amount order_region"
+        ).split(),
+        {"order_id": 20, "customer_id": 20, "order_status": 20, "payment_method": 20, "product_category": 50, "order_region": 4},
+    ),
+}
+
+
 def defined() -> list[q.TableChecks]:
-    """What the table definitions demand: columns that may not be null, and the longest texts."""
+    """The rules that the tables' definitions would enforce in a database."""
     return [
-        q.TableChecks(
-            "raw_customers",
-            [q.not_null("customer_id"), q.not_null("customer_full_name"), q.max_length("customer_id", 50)],
-        ),
-        q.TableChecks(
-            "raw_orders",
-            [
-                q.not_null("order_id"),
-                *(q.max_length(c, n) for c, n in (("order_id", 50), ("customer_id", 50), ("order_status", 50), ("payment_method", 50))),
-            ],
-        ),
-        q.TableChecks("dim_customers", [q.not_null("customer_id"), q.max_length("customer_id", 50)]),
+        q.TableChecks(table, [q.not_null(c) for c in needed] + [q.max_length(c, n) for c, n in longest.items()])
+        for table, (needed, longest) in DEFINED.items()
     ]
 
 

@@ -36,6 +36,31 @@ def read_jdbc(
     )
 
 
+def range_predicates(column: str, bounds: Sequence) -> list[str]:
+    """Conditions that split a table by the values of a text, date or number column.
+
+    ``bounds`` ascend; they give one range more than there are bounds, and rows without a value go
+    to the first. Every row meets exactly one condition.
+    """
+
+    def literal(value) -> str:
+        return str(value) if isinstance(value, int | float) else "'" + str(value).replace("'", "''") + "'"
+
+    name = '"' + column.replace('"', '""') + '"'
+    marks = [literal(b) for b in bounds]
+    if not marks:
+        return ["1 = 1"]
+    inner = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(marks, marks[1:])]
+    return [f"{name} < {marks[0]} OR {name} IS NULL", *inner, f"{name} >= {marks[-1]}"]
+
+
+def read_jdbc_ranges(
+    spark: SparkSession, url: str, table: str, column: str, bounds: Sequence, properties: dict[str, str] | None = None
+) -> DataFrame:
+    """Scan a database table in parallel ranges of a column of any type, such as a text key."""
+    return spark.read.jdbc(url, table, predicates=range_predicates(column, bounds), properties=properties)
+
+
 def refresh_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace the table. With ``partition_by`` a reader that filters on it opens only its folders.
 

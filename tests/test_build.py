@@ -216,7 +216,7 @@ def test_column_notes_are_stored_with_the_table(spark, warehouse):
     notes = data_dictionary(warehouse.tables())
     assert notes.filter(F.col("description").isNull()).count() == 0
     row = notes.filter("table_name = 'fct_orders' AND column_name = 'total_amount'").first()
-    assert tuple(row)[2:] == (14, "total_amount", "decimal(12,2)", "Amount including VAT")
+    assert tuple(row)[2:] == (14, "total_amount", "decimal(12,2)", "Price with tax, rounded once from the unrounded product")
     assert row["table_description"].startswith("Order fact")
 
 

@@ -1,7 +1,9 @@
 import datetime as dt
 import random
+from collections import Counter
 from decimal import Decimal
 
+import duckdb
 import pytest
 from conftest import customer, moment, order
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from martwright.operators.loading import first_per_key, insert_if_absent, rows_t
 from martwright.operators.sequence import with_sequence_key
 from martwright.sources.seeds import read_seed, with_load_times, write_seed
 from martwright.sources.synthetic import generate
-from martwright.sources.tables import ensure_checkpoint_dir, refresh_table, table_counts
+from martwright.sources.tables import ensure_checkpoint_dir, range_predicates, refresh_table, table_counts
 
 
 def test_first_per_key_keeps_the_whole_first_row(spark):
@@ -214,3 +216,39 @@ def test_refresh_and_counts(spark, customers, tmp_path):
     stored = spark.read.parquet(path)
     assert [r["customer_id"] for r in stored.collect()] == ["C3"]
     assert [tuple(r) for r in table_counts({"t": stored, "a": stored}).collect()] == [("a", 1), ("t", 1)]
+
+
+def test_ranges_of_a_text_key_cover_every_row_once():
+    found = range_predicates("order_id", ["B", "O'x"])
+    assert found == [
+        "\"order_id\" < 'B' OR \"order_id\" IS NULL",
+        "\"order_id\" >= 'B' AND \"order_id\" < 'O''x'",
+        "\"order_id\" >= 'O''x'",
+    ]
+    assert range_predicates("n", []) == ["1 = 1"]
+    rows = [("A",), ("B",), ("C",), ("O'x",), ("Z",), (None,)]
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE t (order_id VARCHAR)")
+        db.executemany("INSERT INTO t VALUES (?)", rows)
+        counts = [db.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in found]
+    assert counts == [2, 2, 2]
+
+
+def test_drawn_attributes_are_independent(spark):
+    people, sales = generate(spark, 6000, 6000)
+    names = people.groupBy("region").agg(F.countDistinct("customer_full_name").alias("n"))
+    assert {r["n"] for r in names.collect()} == {64}
+    pairs = sales.groupBy("order_status", "quantity").count().collect()
+    by_status, by_quantity = Counter(), Counter()
+    for status, quantity, n in pairs:
+        by_status[status] += n
+        by_quantity[quantity] += n
+    for status, quantity, n in pairs:
+        expected = by_status[status] * by_quantity[quantity] / 6000
+        assert abs(n - expected) < 5 * expected**0.5 + 5
+
+
+def test_a_hot_buyer_can_be_asked_for(spark):
+    _, sales = generate(spark, 100, 3000, hot_percent=33)
+    share = sales.filter("customer_id = 'CUST-00001'").count() / 3000
+    assert 0.3 < share < 0.38

@@ -46,13 +46,13 @@ def test_suites_have_the_expected_number_of_checks():
     assert size(suites.declared_sources()) == 13
     assert size(suites.declared_staging()) == 8
     assert size(suites.declared_marts()) == 28
-    assert [len(t.checks) for t in suites.asserted()] == [7, 9, 5, 7]
+    assert [len(t.checks) for t in suites.asserted()] == [7, 9, 6, 8]
 
 
 def test_clean_tables_pass(clean):
     report = q.run_checks(clean, suites.declared() + suites.asserted())
     assert failures(report) == {}
-    assert report.count() == 49 + 28 - 3  # checks that both suites share run once
+    assert report.count() == 49 + 30 - 3  # checks that both suites share run once
 
 
 def test_defects_are_counted(customers, orders):

@@ -265,3 +265,21 @@ def test_kpis(data):
     ]
     none = data["raw_orders"].filter(F.lit(False))
     assert tuples(reports.kpis(data["raw_customers"], none)) == [(40, 0, Decimal(0), Decimal(0))]
+
+
+REPORT_TYPES = {
+    "revenue_by_region": "order_region string, total_orders bigint, total_items_sold bigint, gross_revenue decimal(22,2), tax_collected decimal(22,2), total_revenue decimal(22,2), avg_order_value decimal(14,2)",
+    "monthly_revenue": "month string, order_region string, orders bigint, revenue decimal(22,2)",
+    "status_distribution": "order_status string, order_count bigint, pct_of_total decimal(6,1), revenue decimal(22,2)",
+    "customer_spend": "country string, region string, unique_customers bigint, total_orders bigint, total_spend decimal(32,2), avg_spend_per_order decimal(14,2), largest_order decimal(12,2)",
+    "top_customers": "customer_id string, customer_full_name string, country string, region string, customer_age int, total_orders bigint, total_spend decimal(32,2), avg_order_value decimal(14,2), last_order_date date",
+}
+
+
+@pytest.mark.parametrize("name", REPORT_TYPES)
+def test_report_types(customers, orders, name):
+    dim = build_dim_customers(stage_customers(customers(customer("C1")), "2024-01-01"))
+    fct = build_fct_orders(stage_orders(orders(order("O1"))), dim)
+    needed = [dim, fct] if name in ("customer_spend", "top_customers") else [fct]
+    got = getattr(reports, name)(*needed)
+    assert ", ".join(f"{c} {kind}" for c, kind in got.dtypes) == REPORT_TYPES[name]

@@ -766,6 +766,54 @@ ORACLE["declared_mart_checks"] = _BOTH + " UNION ALL ".join(_MART_CHECKS)
 ORACLE["asserted_raw_checks"] = DIRTY + " UNION ALL ".join(_ASSERTED_RAW)
 ORACLE["asserted_mart_checks"] = _BOTH + " UNION ALL ".join(_asserted_marts("spoilt"))
 ORACLE["clean_mart_checks"] = CLEAN + " UNION ALL ".join(_asserted_marts("fct_orders"))
+_DEFINED = {
+    "raw_customers": (
+        "customer_id customer_full_name customer_email country region", "customer_id=20 region=4 gender=4"
+    ),
+    "raw_orders": (
+        "order_id customer_id order_date order_status quantity unit_price region",
+        "order_id=20 customer_id=20 order_status=20 payment_method=20 product_category=50 region=4",
+    ),
+    "dim_customers": ("customer_id", "customer_id=20 region=4 gender=4"),
+    "fct_orders": (
+        "order_id customer_id order_date order_status quantity unit_price order_region",
+        "order_id=20 customer_id=20 order_status=20 payment_method=20 product_category=50 order_region=4",
+    ),
+}
+_DEFINED_CHECKS = [
+    check
+    for table, (needed, longest) in _DEFINED.items()
+    for check in _missing(table, *needed.split())
+    + [
+        _check("max_length", table, c, f"length({c}) > {n}")
+        for c, n in (pair.split("=") for pair in longest.split())
+    ]
+] + [
+    _check("not_null", "fct_orders", f"{shown}_amount", f"{pence} IS NULL", "spoilt")
+    for shown, pence in (("gross", "pence"), ("tax", "tax_pence"), ("total", "total_pence"))
+]
+ORACLE["defined_checks"] = _BOTH + " UNION ALL ".join(_DEFINED_CHECKS)
+_ROLES_SEE = {"engineer": "TRUE", "uk_analyst": "{} = 'UK'", "eu_analyst": "{} = 'EU'", "other_role": "FALSE"}
+_LAYERS = {
+    "raw_customers": None, "raw_orders": None, "stg_customers": None, "stg_orders": None,
+    "dim_customers": "region", "fct_orders": "order_region",
+}
+ORACLE["layer_gate"] = DIRTY + " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{SHORT_ROLES[short]}' AS role, {allowed} AS allowed, {rows} AS visible_rows"
+    for table, region in _LAYERS.items()
+    for short, sees in _ROLES_SEE.items()
+    for allowed in [str(region is not None or short == "engineer").upper()]
+    for rows in [
+        f"(SELECT count(*) FROM {table} WHERE {sees.format(region) if region else 'TRUE'})" if allowed == "TRUE" else "0"
+    ]
+)
+_DICTIONARY = {"raw_customers": CUSTOMER_COLUMNS, "raw_orders": ORDER_COLUMNS}
+ORACLE["data_dictionary"] = DIRTY + " UNION ALL ".join(
+    f"""SELECT '{table}' AS table_name, {D(str(i))} AS position, '{c}' AS column_name,
+  (SELECT count({c}) FROM {table}) AS known_rows"""
+    for table, names in _DICTIONARY.items()
+    for i, c in enumerate(names, 1)
+)
 _ALL = dict.fromkeys(
     _SOURCE_CHECKS + _STAGING_CHECKS + _MART_CHECKS + _ASSERTED_RAW + _asserted_marts("spoilt")
 )

@@ -15,9 +15,11 @@ from martwright.operators.joins import orphan_keys, orphans
 from martwright.operators.loading import first_per_key, insert_if_absent, rows_to_insert
 from martwright.operators.sequence import with_sequence_key
 from martwright.plans import reports, suites
-from martwright.plans.build import Warehouse, add_raw, add_to_marts, build_marts, load_raw
+from martwright.plans.build import SCHEMAS, Warehouse, add_raw, add_to_marts, build_marts, load_raw
 from martwright.plans.marts import build_dim_customers, build_fct_orders
 from martwright.plans.staging import rejected_orders, stage_customers, stage_orders
+from martwright.sources import schemas
+from martwright.sources.schemas import document
 from martwright.sources.seeds import read_seed, with_load_times, write_seed
 from martwright.sources.synthetic import customers_from, orders_from
 from martwright.sources.tables import read_table, refresh_table, scratch_path
@@ -371,6 +373,23 @@ def masked_samples(spark, folder):
     return shown[0].unionByName(shown[1]).unionByName(shown[2]).unionByName(shown[3])
 
 
+@query
+def layer_gate(spark, folder):
+    """Which tables each role may read, and the rows it then sees."""
+    tables = t.raw(spark, folder, dirty=True) | t.staging(spark, folder, dirty=True)
+    return access.layer_report(tables | t.marts(spark, folder, dirty=True), ROLES)
+
+
+@query
+def data_dictionary(spark, folder):
+    """The described columns of the raw tables, with the rows that have a value."""
+    tables = {n: document(df, SCHEMAS[n]) for n, df in t.raw(spark, folder, dirty=True).items()}
+    described = schemas.data_dictionary(tables).filter("description IS NOT NULL")
+    known = schemas.known_rows(tables)
+    found = described.join(known, ["table_name", "column_name"])
+    return found.select("table_name", "position", "column_name", "known_rows")
+
+
 @query
 def uk_analyst_revenue(spark, folder):
     fct = access.secure(t.marts(spark, folder)["fct_orders"], "fct_orders", "DATA_ANALYST_UK")
@@ -621,6 +640,7 @@ _suite("declared_staging_checks", suites.declared_staging)
 _suite("declared_mart_checks", suites.declared_marts)
 _suite("asserted_raw_checks", suites.asserted_raw)
 _suite("asserted_mart_checks", suites.asserted_marts)
+_suite("defined_checks", suites.defined)
 _suite("clean_mart_checks", suites.asserted_marts, dirty=False)
 
 
