@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +17,26 @@ from martwright.sources.tables import ensure_checkpoint_dir, scratch_path
 DOCUMENT_COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def on_workers(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``run(spark, ...)`` with Python workers that find this package where the driver has it.
+
+    That is enough on one machine; on a cluster the package is sent along with ``--py-files``.
+    """
+
+    @wraps(run)
+    def call(spark: SparkSession, *rest) -> DataFrame:
+        environment = spark.sparkContext.environment
+        known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if ROOT not in known:
+            environment["PYTHONPATH"] = os.pathsep.join([ROOT, *known])
+        return run(spark, *rest)
+
+    return call
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

@@ -8,15 +8,17 @@ from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.llm import bpe, decontaminate, exact_dedup, licences, line_dedup, pii, quality, sharding, simhash, token_store
-from martwright.llm.common import documents
+from martwright.llm.common import documents, on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# XXH64, CRC-32, tokenizers and fitted models are beyond the SQL engine; tests/llm has plain loops for
+# the operators without SQL.
 ORACLE: dict[str, str] = {}
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    QUERIES[run.__name__] = on_workers(run)
     return run
 
 
@@ -70,3 +72,30 @@ def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(documents(spark, folder))
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+ORACLE["op9_decontaminate"] = f"""WITH
+doc AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+item AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(13, len(ws)) AS n, list_slice(ws, p, p + least(13, len(ws)) - 1) AS win
+  FROM item, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) t(p) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, p, n, list_slice(ws, p, p + n - 1) AS win
+  FROM doc, sizes, unnest(range(1, len(ws) - n + 2)) t(p) WHERE len(ws) >= n),
+hits AS (SELECT doc_id, p, n, item FROM places JOIN windows USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT p + k) AS n_hit FROM hits, unnest(range(0, n)) t(k) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+ORACLE["op10_exact_dedup"] = """SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM (SELECT *, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size
+      FROM documents WINDOW same AS (PARTITION BY coalesce(text, '')))"""

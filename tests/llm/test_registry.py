@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from martwright.llm import quality
-from martwright.llm.queries import QUERIES
+from martwright.llm.queries import ORACLE, QUERIES
+from verification.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -47,6 +48,12 @@ def test_decontamination_against_plain_loops(spark):
     assert Counter(map(tuple, got)) == Counter(brute.contaminated(rows(spark), items))
 
 
+@pytest.mark.parametrize("name", ORACLE)
+def test_query_against_its_sql(spark, name):
+    with connect(FOLDER) as duck:
+        assert difference(QUERIES[name](spark, FOLDER), duck, ORACLE[name]) is None
+
+
 def test_lines_against_plain_loops(spark):
     got = QUERIES["op3_line_dedup"](spark, FOLDER).collect()
     found = {r["doc_id"]: [int(x) for x in r["dropped"].split(",")] for r in got if r["n_dropped"]}
