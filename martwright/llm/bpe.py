@@ -177,9 +177,27 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
+def transcode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
+    """(doc_id, ids, text) of every row: what ``decode`` gives for ``encode``.
+
+    Texts of one leaf are decoded by the process that has encoded them, so that a core holds one
+    tokenizer.
+    """
+    docs = texts(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("text", pa.string())])
+        decoded = tokens.tokenizer(path).decode
+        rows = _encoded(batches, path, "doc_id", "text")
+        yield from _batches(((d, i, decoded(tokens.ids(i).tolist(), skip_special_tokens=False)) for d, _, i in rows), schema)
+
+    short = docs.where(F.char_length("text") <= leaf).mapInArrow(run, "doc_id long, ids binary, text string")
+    return short.union(decode(_long(docs, path, leaf), path))
+
+
 def digests(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, encoded and decoded."""
-    return decode(encode(docs, path, leaf), path).select(
+    return transcode(docs, path, leaf).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

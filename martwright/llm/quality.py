@@ -41,7 +41,7 @@ RATE = 0.05
 DECAY = 1e-5
 THRESHOLD = 0.3
 FOLDS = 5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 LETTERS = np.array([chr(i).isalpha() for i in range(128)] + [True] * 128)
 KINDS = {
     "upper": np.array([65 <= i <= 90 for i in range(256)]),
