@@ -17,13 +17,16 @@ from martwright.sources.tables import ensure_checkpoint_dir, scratch_path
 DOCUMENT_COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
+BATCH_ROWS, TEXTS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def on_workers(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """``run(spark, ...)`` with Python workers that find this package where the driver has it.
 
-    That is enough on one machine; on a cluster the package is sent along with ``--py-files``.
+    That is enough on one machine; on a cluster the package is sent along with ``--py-files``. Rows
+    hold whole texts, so fewer than Spark's default of 10,000 go to a worker at a time, unless the
+    session says otherwise; their buffers lie outside the heap.
     """
 
     @wraps(run)
@@ -32,6 +35,8 @@ def on_workers(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
         if ROOT not in known:
             environment["PYTHONPATH"] = os.pathsep.join([ROOT, *known])
+        if spark.conf.get(BATCH_ROWS) == "10000":
+            spark.conf.set(BATCH_ROWS, str(TEXTS_PER_BATCH))
         return run(spark, *rest)
 
     return call
