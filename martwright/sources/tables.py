@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -81,13 +83,17 @@ def append_rows(df: DataFrame, path: str, partition_by: str | None = None) -> No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only on a local master without a setting."""
+    """The cluster's checkpoint folder.
+
+    On a local master without a setting a temporary one, which goes when the program ends.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="martwright-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
