@@ -32,7 +32,7 @@ from martwright.llm.common import rows_of, texts
 LEAF = 1 << 15  # characters; longer texts are cut
 WINDOW = 64  # characters on each side of a cut, to begin with
 SHARED = 3  # tokens around a splice inside a word
-OUTPUT_BYTES = 1 << 22  # a batch is handed on when its values reach this size
+OUTPUT_BYTES = 1 << 20  # a batch is handed on when its values reach this size
 
 
 def cut_text(text: str, leaf: int = LEAF) -> list[str]:

@@ -32,8 +32,8 @@ from martwright.sources.tables import scratch_path
 CHUNK_BITS = 8
 LEVELS = 4  # of 8 bits: every unsigned 32-bit id
 RANK_BLOCK = 512
-SEGMENT_TOKENS = 1 << 20
-BATCH_BYTES = 1 << 22
+SEGMENT_TOKENS = 1 << 17
+BATCH_BYTES = 1 << 20
 STORE_SCHEMA = "range int, segment int, n_docs long, n_tokens long, doc_ids array<bigint>, lengths array<bigint>, chunks array<binary>, bitmaps array<binary>, ranks array<binary>"
 
 
