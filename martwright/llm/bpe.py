@@ -124,6 +124,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, *columns: str) -> Ite
         found = tokens.encode_all((t for (t,) in rows_of(batch, columns[-1])), path)
         for row, encoded in zip(rows_of(batch, *columns), found, strict=True):
             yield *row, encoded
+    tokens.units.cache_clear()  # a worker that other tasks use next need not hold the units
 
 
 def _long(docs: DataFrame, path: str, leaf: int) -> DataFrame:

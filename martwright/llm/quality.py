@@ -183,6 +183,7 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
         for batch in batches:
             found = [shared.value.score(t) for (t,) in rows_of(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
+        bucket.cache_clear()
 
     scored = texts(docs).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
@@ -196,5 +197,6 @@ def keep_good(docs: DataFrame, machine: Machine) -> DataFrame:
         for batch in small(batches):
             good = [shared.value.score(t or "") >= THRESHOLD for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
+        bucket.cache_clear()
 
     return docs.mapInArrow(run, docs.schema)
