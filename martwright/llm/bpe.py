@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm import tokens
-from martwright.llm.common import rows_of, texts
+from martwright.llm.common import release, rows_of, texts
 
 LEAF = 1 << 15  # characters; longer texts are cut
 WINDOW = 64  # characters on each side of a cut, to begin with
@@ -125,6 +125,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, *columns: str) -> Ite
         for row, encoded in zip(rows_of(batch, *columns), found, strict=True):
             yield *row, encoded
     tokens.units.cache_clear()  # a worker that other tasks use next need not hold the units
+    release()
 
 
 def _long(docs: DataFrame, path: str, leaf: int) -> DataFrame:

@@ -17,7 +17,7 @@ from martwright.sources.tables import ensure_checkpoint_dir, scratch_path
 DOCUMENT_COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-BATCH_ROWS, TEXTS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+BATCH_ROWS, TEXTS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -95,3 +95,8 @@ def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
             yield batch.slice(begin, ROWS_AT_ONCE)
+
+
+def release() -> None:
+    """Give the buffers of a task's batches back; Python workers live on and serve other tasks."""
+    pa.default_memory_pool().release_unused()

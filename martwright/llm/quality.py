@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import rows_of, small, texts
+from martwright.llm.common import release, rows_of, small, texts
 
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
@@ -184,6 +184,7 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
             found = [shared.value.score(t) for (t,) in rows_of(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
         bucket.cache_clear()
+        release()
 
     scored = texts(docs).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
@@ -198,5 +199,6 @@ def keep_good(docs: DataFrame, machine: Machine) -> DataFrame:
             good = [shared.value.score(t or "") >= THRESHOLD for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
         bucket.cache_clear()
+        release()
 
     return docs.mapInArrow(run, docs.schema)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import rows_of, stored, texts, unused_name
+from martwright.llm.common import release, rows_of, stored, texts, unused_name
 from martwright.llm.components import connected_components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -70,6 +70,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             found = [simhash(t, words) for (t,) in rows_of(batch, "text")]
             fp = pa.array(np.array(found, "u8").view("i8"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fp], ["doc_id", "fp"])
+        release()
 
     return texts(docs).mapInArrow(run, "doc_id long, fp long")
 

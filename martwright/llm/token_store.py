@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwright.llm import tokens
-from martwright.llm.common import partitions, rows_of, texts
+from martwright.llm.common import partitions, release, rows_of, texts
 from martwright.sources.tables import scratch_path
 
 CHUNK_BITS = 8
@@ -131,6 +131,7 @@ def _segments(batches: Iterator[pa.RecordBatch], end_id: int) -> Iterator[pa.Rec
             size += len(encoded) // 4 + 1
     if held:
         yield row(at, held)
+    release()
 
 
 def write_store(docs: DataFrame, path: str, to: str, end_id: int = 2, ranges: int | None = None) -> None:
