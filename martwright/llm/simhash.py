@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import release, rows_of, stored, texts, unused_name
+from martwright.llm.common import release, rows_of, stored, text_of, texts, unused_name
 from martwright.llm.components import connected_components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -64,15 +64,21 @@ def simhash(text: str, words: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit number."""
+    return _named_fingerprints(docs, words).select("doc_id", "fp")
+
+
+def _named_fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, text_hash, fp) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [simhash(t, words) for (t,) in rows_of(batch, "text")]
             fp = pa.array(np.array(found, "u8").view("i8"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fp], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), fp], ["doc_id", "text_hash", "fp"])
         release()
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    hashed = texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    return hashed.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def covering(size: int, bits: int) -> list[tuple[int, ...]]:
@@ -178,23 +184,31 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame
 
     Rows with equal fingerprints are one node; nodes link at ``bits`` or fewer differing bits.
     """
-    found = stored(fingerprints(docs, words), "fingerprints")
+    found = _grouped(docs, words, bits)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id", "component_size")
+
+
+def _grouped(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """(fp, doc_id, text_hash, component_id, component_size) of every row."""
+    found = stored(_named_fingerprints(docs, words), "fingerprints")
     nodes = found.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
     parts = connected_components(links(nodes.select("fp"), bits))
     placed = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
     placed = placed.withColumn("component", F.coalesce("component", "fp"))
     heads = placed.groupBy("component").agg(F.min("first").alias("component_id"), F.sum("rows").alias("component_size"))
-    named = placed.select("fp", "component").join(heads, "component").drop("component")
-    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return found.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id", "component_size")
+    return found.join(placed.select("fp", "component").join(heads, "component").drop("component"), "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3) -> DataFrame:
     """The rows whose doc_id is the smallest of their component; all columns are kept.
 
-    Of components without any doc_id all rows stay, as do further rows with the smallest doc_id.
+    A row goes by its doc_id and text together, so another text under the same doc_id is judged by its
+    own component. Of components without any doc_id all rows stay, as do rows without a doc_id and
+    further rows with the smallest doc_id.
     """
-    found = near_duplicates(docs, words, bits)
-    key = unused_name(docs)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped[key], "left_anti")
+    found = _grouped(docs, words, bits).where(F.col("doc_id") != F.col("component_id"))
+    key, name = unused_name(docs), unused_name(docs)
+    dropped = found.select(F.col("doc_id").alias(key), F.col("text_hash").alias(name)).distinct()
+    own = (docs["doc_id"].cast("long") == dropped[key]) & (F.xxhash64(text_of(docs)) == dropped[name])
+    return docs.join(dropped, own, "left_anti")

@@ -17,3 +17,10 @@ def test_a_notice_whose_words_are_frequent_is_scored(docs):
     assert not {"copyright", "all", "rights", "reserved"} & set(found.cues)
     found.least = 0.0  # whether it is looked at, not how likely it is
     assert [r["doc_id"] for r in licences.scan(table, found).where("doc_id = 900").collect()] == [900]
+
+
+def test_another_text_under_a_repeated_id_stays(docs):
+    """One text of doc_id 5 is a copy of doc_id 1; the other is nobody's copy."""
+    text, other = (" ".join(f"{c}{i}" for i in range(80)) for c in "wv")
+    got = simhash.drop_near_duplicates(docs([(1, text), (5, text), (5, other), (6, other)]))
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == [(1, text), (5, other)]
