@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 
-from martwright.llm import bpe, decontaminate, exact_dedup, licences, line_dedup, pii, quality, sharding, simhash, token_store
+from martwright.llm import bpe, decontaminate, exact_dedup, licences, line_dedup, pii, quality, sharding, simhash, token_counts, token_store, vector_codes
 from martwright.llm.common import documents, on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,16 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(documents(spark, folder))
 
 
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compressed(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
+
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 ORACLE["op9_decontaminate"] = f"""WITH
