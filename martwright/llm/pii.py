@@ -2,13 +2,15 @@
 
 Base kinds are e-mail addresses, IPv4 addresses, card numbers (Luhn) and international phone
 numbers: leftmost matches that do not overlap, per kind; a match that its rule rejects is dropped and
-not tried shorter. Added kinds are bank accounts (IBAN, mod 97) and two without a checksum, national
-phone numbers and social security numbers, which count only where a word nearby speaks for them.
+not tried shorter. Added kinds are bank accounts (IBAN, mod 97); access keys and assigned credentials, which have a digit; and
+two more without a checksum, national phone numbers and social security numbers, which count only where
+a word nearby speaks for them.
 Added spans do not overlap base spans, and base spans stay whatever their score.
 
 Built-in functions throughout. Positions are in code points, from the lengths of the text between
 matches. Where a pattern could be tried over and over inside one run of characters, a look back
-ties it to the run's start, and repetitions do not give back, so a text is passed in linear time.
+ties it to the run's start, and repetitions do not give back, so spans are found in time
+proportional to the text and its matches; ``masked`` takes time for each span and the text before it.
 
 Nulls and odd inputs: a null text is an empty one and has no spans. Repeated rows each get their
 row, a null doc_id stays null. An empty table gives an empty result. Columns besides doc_id and text
@@ -17,6 +19,7 @@ are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -28,6 +31,7 @@ from martwright.llm.common import texts
 LOCAL = "[A-Za-z0-9._%+-]"
 BEFORE, AFTER = 48, 24  # characters around a span in which words count
 ACCEPTED = 0.5
+BLOCK = 128  # sums that are grown at a time
 FOR, AGAINST = 0.3, -0.3
 
 
@@ -126,29 +130,80 @@ ADDED = (
         0.35,
         "phone|call|tel|mobile|fax",
     ),
+    Kind(
+        "access_key",
+        r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
+        r"A[KS]IA[0-9A-Z]{16}",
+        lambda hit: hit.rlike("[0-9]") & hit.rlike("[A-Z]{4}.*[A-Z]"),
+        0.8,
+        "key|secret|access",
+    ),
+    Kind(
+        "credential",
+        r"(?i)(?<![a-z0-9])(?:password|passwd|secret|token|api[_-]?key)\x20?[=:]\x20?[\"']?[A-Za-z0-9/+_.-]{8,128}+(?![A-Za-z0-9])",
+        r"(?i)(?:password|passwd|secret|token|key)\x20?[=:]\x20?[\"']?[A-Za-z0-9/+_.-]{8}",
+        lambda hit: hit.rlike("[=:].*[0-9]"),
+        0.6,
+        "login|user|account|config",
+    ),
 )
 WORDS_AGAINST = "example|sample|version|isbn|invoice no|order no"
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,score:double>>"
 
 
-def _matches(kind: Kind) -> Column:
-    """(start, end, hit, near) of every match, from the columns with the hits and the gaps."""
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, levels: int = 2) -> Column:
+    """The sums of an array's numbers up to each one.
+
+    An array grows by copying, so only blocks of ``BLOCK`` sums are grown; the sums of whole blocks are
+    summed in the same way. With two levels the work is proportional to the length up to a hundred
+    million numbers.
+    """
+    none = F.array().cast("array<bigint>")
+
+    def block(i: Column) -> Column:
+        first = F.struct(F.lit(0).cast("long").alias("at"), none.alias("sums"))
+
+        def step(done: Column, x: Column) -> Column:
+            return F.struct((done["at"] + x).alias("at"), F.concat(done["sums"], F.array(done["at"] + x)).alias("sums"))
+
+        return F.aggregate(F.slice(values, i * BLOCK + 1, F.lit(BLOCK)), first, step, lambda done: done["sums"])
+
+    def whole(sums: Column) -> Column:
+        ends = F.transform(sums, lambda s: F.get(s, F.size(s) - 1))
+
+        def moved(before: Column) -> Column:
+            return F.flatten(F.transform(sums, lambda s, i: F.transform(s, lambda x: x + F.coalesce(F.get(before, i - 1), F.lit(0)))))
+
+        return _let(_running(ends, levels - 1), moved)
+
+    blocks = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / BLOCK).cast("int") - 1, F.lit(0)))
+    if not levels:
+        return F.aggregate(values, F.struct(F.lit(0).cast("long").alias("at"), none.alias("sums")), lambda done, x: F.struct((done["at"] + x).alias("at"), F.concat(done["sums"], F.array(done["at"] + x)).alias("sums")), lambda done: done["sums"])
+    return F.when(F.size(values) == 0, none).otherwise(_let(F.transform(blocks, block), whole))
+
+
+def _ends(kind: Kind) -> Column:
+    """Where every match ends, from the columns with the hits and the gaps."""
     gaps, hits = F.col(f"gaps_{kind.name}"), F.col(f"hits_{kind.name}")
+    steps = F.transform(hits, lambda hit, i: (F.char_length(F.get(gaps, i)) + F.char_length(hit)).cast("long"))
+    return F.when(F.size(hits) > 0, _let(steps, _running)).alias(f"ends_{kind.name}")
 
-    def around(hit: Column, i: Column) -> Column:
-        near = F.concat(F.substring(F.get(gaps, i), -BEFORE, BEFORE), hit, F.substring(F.get(gaps, i + 1), 1, AFTER))
-        return F.struct(F.char_length(F.get(gaps, i)).cast("long").alias("gap"), hit.alias("hit"), F.lower(near).alias("near"))
 
-    none = F.array().cast("array<struct<start:bigint,end:bigint,hit:string,near:string>>")
-    first = F.struct(F.lit(0).cast("long").alias("at"), none.alias("found"))
+def _matches(kind: Kind) -> Column:
+    """(start, end, hit, near) of every match, from the columns with the hits, the gaps and the ends."""
+    gaps, hits, ends = (F.col(f"{part}_{kind.name}") for part in ("gaps", "hits", "ends"))
 
-    def step(done: Column, match: Column) -> Column:
-        start = done["at"] + match["gap"]
-        end = start + F.char_length(match["hit"])
-        own = F.struct(start.alias("start"), end.alias("end"), match["hit"].alias("hit"), match["near"].alias("near"))
-        return F.struct(end.alias("at"), F.concat(done["found"], F.array(own)).alias("found"))
+    def match(hit: Column, i: Column) -> Column:
+        near = F.concat(F.substring(F.get(gaps, i), -BEFORE, BEFORE), hit, F.substring(F.get(gaps, i + 1), 1, AFTER))
+        end = F.get(ends, i)
+        return F.struct((end - F.char_length(hit)).alias("start"), end.alias("end"), hit.alias("hit"), F.lower(near).alias("near"))
 
-    return F.aggregate(F.transform(hits, around), first, step, lambda done: done["found"])
+    return F.transform(hits, match)
 
 
 def _spans(kind: Kind, rank: int) -> Column:
@@ -163,6 +218,21 @@ def _spans(kind: Kind, rank: int) -> Column:
     return F.coalesce(found.cast(SPAN), F.array().cast(SPAN))
 
 
+def _overlaps(sorted_spans: Column, span: Column) -> Column:
+    """Whether one of a kind's spans, which lie in order and apart, overlaps: the first that ends behind
+    the start of ``span`` is found by halving."""
+    first = F.struct(F.lit(0).alias("low"), F.size(sorted_spans).alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        before = F.get(sorted_spans, middle)["end"] <= span["start"]
+        halved = F.struct(F.when(before, middle + 1).otherwise(at["low"]).alias("low"), F.when(before, at["high"]).otherwise(middle).alias("high"))
+        return F.when(at["low"] >= at["high"], at).otherwise(halved)
+
+    place = F.aggregate(F.sequence(F.lit(1), F.lit(31)), first, halve, lambda at: at["low"])
+    return (F.size(sorted_spans) > 0) & F.coalesce(F.get(sorted_spans, place)["start"] < span["end"], F.lit(False))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text, base, added): arrays of (start, rank, end, kind, score), by start and kind."""
     docs = texts(docs)
@@ -171,15 +241,15 @@ def spans(docs: DataFrame) -> DataFrame:
     gaps = [F.when(F.col(f"may_{k.name}"), F.split(text, k.pattern, -1)).alias(f"gaps_{k.name}") for k in kinds]
     hits = [F.when(F.col(f"may_{k.name}"), F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0))).alias(f"hits_{k.name}") for k in kinds]
     found = found.select("doc_id", "text", *gaps, *hits)
+    found = found.select("*", *map(_ends, kinds))
     found = found.select("doc_id", "text", *(_spans(k, i).alias(k.name) for i, k in enumerate(kinds)))
-    base = F.sort_array(F.concat(*(k.name for k in BASE)))
-    found = found.select("doc_id", "text", base.alias("base"), F.concat(*(k.name for k in ADDED)).alias("added"))
 
     def apart(span: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+        return ~functools.reduce(Column.__or__, (_overlaps(F.col(k.name), span) for k in BASE))
 
-    added = F.filter("added", lambda s: (s["score"] >= ACCEPTED) & apart(s))
-    return found.select("doc_id", "text", "base", F.sort_array(added).alias("added"))
+    added = F.filter(F.concat(*(k.name for k in ADDED)), lambda s: (s["score"] >= ACCEPTED) & apart(s))
+    base = F.sort_array(F.concat(*(k.name for k in BASE)))
+    return found.select("doc_id", "text", base.alias("base"), F.sort_array(added).alias("added"))
 
 
 def _of(kind: Kind) -> Callable[[Column], Column]:
