@@ -83,24 +83,28 @@ def partitions(df: DataFrame, at_least: int = 1) -> int:
 HOT = 2000  # a key of more than a HOT-th of all rows is hot, so there are at most as many hot keys
 
 
-def looked_up(rows: DataFrame, table: DataFrame, keys: str | list[str], value: str, weight: str) -> DataFrame:
-    """The rows with the table's ``value`` for their keys, null where it has none; null keys are equal.
+def looked_up(rows: DataFrame, table: DataFrame, keys: str | list[str], values: str | list[str], weight: str) -> DataFrame:
+    """The rows with the table's ``values`` for their keys, null where it has none; null keys are equal.
 
     The table has a row per key, and ``weight`` says how many rows have that key. Hot keys are joined by
-    broadcast, of at most HOT table rows; the others meet in a shuffle, in which no key has many rows.
+    broadcast, of at most HOT table rows, which should be short; the others meet in a shuffle, in which
+    no key has many rows.
     """
-    keys = [keys] if isinstance(keys, str) else keys
+    keys, values = ([x] if isinstance(x, str) else x for x in (keys, values))
     own, total = unused_name(rows), table.agg(F.sum(weight)).first()[0] or 0
-    named = table.select(*(F.col(k).alias(f"{own}{i}") for i, k in enumerate(keys)), F.col(value).alias(value), F.col(weight).alias(own))
+    named = table.select(*(F.col(k).alias(f"{own}{i}") for i, k in enumerate(keys)), *values, F.col(weight).alias(own))
 
     def met(left: DataFrame, right: DataFrame) -> DataFrame:
         same = [left[k].eqNullSafe(right[f"{own}{i}"]) for i, k in enumerate(keys)]
         return left.join(right, same, "left").drop(*(f"{own}{i}" for i in range(len(keys))))
 
     hot = F.col(own) * HOT > total
-    first = met(rows, F.broadcast(named.where(hot)))
+    few = named.where(hot)
+    if few.isEmpty():
+        return met(rows, named).drop(own)
+    first = met(rows, F.broadcast(few))
     found = first.where(F.col(own).isNotNull()).drop(own)
-    others = met(first.where(F.col(own).isNull()).drop(own, value), named.where(~hot)).drop(own)
+    others = met(first.where(F.col(own).isNull()).drop(own, *values), named.where(~hot)).drop(own)
     return found.unionByName(others)
 
 

@@ -1,22 +1,28 @@
 """Fuzzy line dedup by MinHash, in built-in functions throughout.
 
-A line's shingles are its ``SHINGLE`` characters from every place where a word begins (in scripts
-without spaces, from every character), in lower case. ``BANDS`` bands of ``ROWS`` minima over these
-make a pair of lines with Jaccard similarity s meet with probability 1 - (1 - s**ROWS)**BANDS: 0.998 at
-0.8. Lines that meet are verified by the exact similarity of their shingle sets. Components are found by
-a distributed union-find, and of each the first line stays: by doc_id, then by place in the text.
-
-Equal lines are one key from the start: a line that a third of all rows share is reduced to one row
-per task before any shuffle. In a band, lines meet in buckets. Those of a bucket of at most ``PAIRED``
-are compared with each other; a larger one is a crowd. Its lines meet the bucket's head, the line with
-the most copies, those that are not similar to it a second head, and so on ``HEADS`` times, which joins
-what is mostly alike. Then all lines of crowds are searched exactly: those in different components that
-share one of their rarest shingles, of which each has so many that no similar pair is missed, are
-verified. So a pair that meets only in a crowd is found as well.
-
-Nulls and odd inputs: a null or empty text has no lines, blank lines are kept and not counted. A null
-doc_id comes first. Rows with equal doc_id and text are one document and get equal rows. An empty
-table gives an empty result. Columns besides doc_id and text are ignored.
+A line is compared in lower case and trimmed. Its shingles are its ``SHINGLE`` characters from every place (a
+shorter line is one shingle). Signatures are ``BANDS * ROWS`` minima over hashes of these; two lines meet
+in a bucket if all minima of a band are equal, which happens to lines of Jaccard similarity s with
+probability 1 - (1 - s**ROWS)**BANDS: 0.958 at 0.8, 0.991 at 0.85. Lines that meet are verified by the exact
+similarity of their whole shingle sets. Components are found by a distributed union-find, and of each
+the first line stays: by doc_id, then by place in the text.
+
+Equal lines are one line from the start: they are merged in the task that reads them and once after the
+shuffle, and only then cut into shingles. The shingles are rows between two aggregations of one stage;
+they are neither stored nor shuffled. Of a bucket of two, both lines are compared unless a bit of each
+minimum, 40 in all, says that they differ in more than ``APART`` of them (0.0005 of pairs at 0.8 do).
+Of a larger bucket, every line is compared with its first, which joins what is mostly alike. Where lines of
+several components are left in a bucket, those of different components are compared: each with each in
+buckets of at most ``PAIRED`` lines; larger ones are crowds and searched by their rarest shingles, of which
+every line has so many that no similar pair of the crowd is missed. So no pair that meets is lost.
+
+Buckets, first lines and lines that very many rows share are joined by broadcast of a bounded number of
+short rows, or dealt over several tasks; texts are never broadcast.
+
+Nulls and odd inputs: a null or empty text has no lines. Lines of blanks, tabs and carriage returns
+only are kept and not counted. A null doc_id comes first. Rows with equal doc_id and text are one
+document and get equal rows. Very long lines are cut into shingles in blocks. An empty table gives an
+empty result. Columns besides doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -24,205 +30,238 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import cut, stored, texts
+from martwright.llm.common import looked_up, stored, texts
 from martwright.llm.components import connected_components
 
-SHINGLE = 16
-BANDS, ROWS = 6, 2
-SIMILAR = 0.8
+SHINGLE = 5
+BANDS, ROWS = 8, 5
+APART = 11
 PAIRED = 64
-HEADS = 3
-COARSE = 1 << 20  # values of the filters that are broadcast, whatever the input
-WORD_START = rf"(?<![a-z0-9ß-ɏ])(?=(\S.{{0,{SHINGLE - 1}}}))"
+BLOCK = 8192  # places of a line that are one array at a time
+SHARE = 5000  # pairs with one first line that a task verifies
+COARSE = 1 << 21  # values of the filters that are broadcast, whatever the input
+PLACE = ("doc_id", "text_hash", "line_no")
 
 
-def _salt(k: int) -> int:
-    """A fixed 64-bit number for each minimum, from a linear rule; the leading bits differ."""
-    value = (k * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64)
-    return value - (1 << 64) if value >> 63 else value
-
-
-def shingles(line: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(line, F.lit(WORD_START), F.lit(1)))
+def normal(line: Column | str) -> Column:
+    """The line as it is compared; empty if it is blank."""
+    return F.lower(F.trim(F.translate(line, "\t\r", "  ")))
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line_no, line) of every line that is not blank; lower case, trimmed."""
+    """(doc_id, text_hash, line_no, id, twin, line) of every line that is not blank.
+
+    ``id`` names a line in the search; ``id`` and ``twin`` together stand for the line itself.
+    """
     docs = texts(docs).withColumn("text_hash", F.xxhash64("text"))
     rows = docs.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return rows.withColumn("line", F.lower(F.trim(F.regexp_replace("line", "[\t\r]", " ")))).where("line != ''")
+    rows = rows.select(*PLACE, normal("line").alias("line")).where("line != ''")
+    return rows.select(*PLACE, F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("twin"), "line")
 
 
-def _key(line: str) -> Column:
-    return F.unhex(F.md5(line)).alias("key")
+def _places(line: Column) -> Column:
+    """The number of places at which a shingle begins."""
+    return F.greatest(F.char_length(line) - (SHINGLE - 1), F.lit(1))
 
 
-def _id(line: str) -> Column:
-    """A short name of a line for the search; two lines that share one are only compared needlessly."""
-    return F.xxhash64(line).alias("id")
+def _shingle(chars: Column, place: Column) -> Column:
+    """The hash of a shingle; a character has four bytes."""
+    return F.xxhash64(F.substring(chars, place * 4 + 1, F.lit(4 * SHINGLE)))
 
 
-def _xor(salt: int):
-    return lambda x: x.bitwiseXOR(F.lit(salt))
+def shingles(line: Column) -> Column:
+    """The set of a line's shingles, by their hashes."""
+    hashes = F.transform(
+        F.array(F.encode(line, "UTF-32")),
+        lambda chars: F.transform(F.sequence(F.lit(0), _places(line) - 1), lambda i: _shingle(chars, i)),
+    )
+    return F.array_distinct(F.get(hashes, F.lit(0)))
 
 
-def _keys(found: DataFrame) -> DataFrame:
-    """(key, id, first, rows, band0..) of every distinct line; ``first`` is its first place."""
-    place = F.struct("doc_id", "text_hash", "line_no").alias("place")
-    hashed = found.select(_key("line"), _id("line"), place, shingles(F.col("line")).alias("shingles"))
-    hashed = hashed.select("key", "id", "place", F.transform("shingles", lambda s: F.xxhash64(s)).alias("hashes"))
-    least = [F.array_min(F.transform("hashes", _xor(_salt(k)))) for k in range(BANDS * ROWS)]
-    bands = [F.xxhash64(*least[b * ROWS : (b + 1) * ROWS]).alias(f"band{b}") for b in range(BANDS)]
-    rows = hashed.select("key", "id", "place", *bands)
-    return rows.groupBy("key", "id").agg(
-        F.min("place").alias("first"), F.count("*").alias("rows"), *(F.min(f"band{b}").alias(f"band{b}") for b in range(BANDS))
-    )
+def _salt(k: int) -> int:
+    """32 bits for each minimum; the leading ones are spread evenly."""
+    return (k + 1) * 0x9E3779B1 % (1 << 32)
+
 
+def signatures(found: DataFrame) -> DataFrame:
+    """(id, twin, doc_id, text_hash, line_no, rows, sketch, band0..) of every distinct line.
 
-def _bands() -> Column:
-    return F.explode(F.array(*(F.struct(F.lit(b).cast("long").alias("band"), F.col(f"band{b}").alias("value")) for b in range(BANDS))))
+    The place is the line's first, and ``rows`` the number of its places.
+    """
+    first = F.min(F.struct(*PLACE)).alias("first")
+    whole = found.groupBy("id", "twin").agg(F.max("line").alias("line"), first, F.count("*").alias("rows"))
+    whole = whole.select("id", "twin", "first.*", "rows", F.encode("line", "UTF-32").alias("chars"), _places(F.col("line")).alias("places"))
+    blocks = whole.select("*", F.explode(F.sequence(F.lit(0), F.col("places") - 1, F.lit(BLOCK))).alias("begin"))
+    places = F.sequence("begin", F.least(F.col("begin") + (BLOCK - 1), F.col("places") - 1))
+    hashed = blocks.select("*", F.explode(places).alias("place")).select("id", "twin", *PLACE, "rows", _shingle(F.col("chars"), F.col("place")).alias("hash"))
+    halves = (F.col("hash").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned("hash", 32))
+    hashed = hashed.select("id", "twin", *PLACE, "rows", halves[0].alias("low"), halves[1].alias("high"))
+    least = [F.min(F.col(("low", "high")[k % 2]).bitwiseXOR(F.lit(_salt(k)))).alias(f"m{k}") for k in range(BANDS * ROWS)]
+    same = [F.max(c).alias(c) for c in (*PLACE, "rows")]
+    minima = hashed.groupBy("id", "twin").agg(*same, *least)
+    bits = [F.shiftleft(F.col(f"m{k}").bitwiseAND(F.lit(1)), k) for k in range(BANDS * ROWS)]
+    sketch = bits[0]
+    for bit in bits[1:]:
+        sketch = sketch.bitwiseOR(bit)
+    bands = [F.xxhash64(F.lit(b), *(f"m{k}" for k in range(b * ROWS, (b + 1) * ROWS))).alias(f"band{b}") for b in range(BANDS)]
+    return minima.select("id", "twin", *PLACE, "rows", sketch.alias("sketch"), *bands)
 
 
-def _maybe(found: DataFrame, ids: DataFrame) -> DataFrame:
-    """The lines whose id may be among ``ids``: a filter of at most COARSE values is broadcast."""
-    marks = ids.select(F.pmod("id", F.lit(COARSE)).alias("_mark")).distinct()
-    return found.join(F.broadcast(marks), F.pmod(F.xxhash64("line"), F.lit(COARSE)) == marks["_mark"], "left_semi")
+def _marks(ids: DataFrame, name: str) -> DataFrame:
+    return ids.select(F.pmod(name, F.lit(COARSE)).alias("_mark")).distinct()
 
 
-def _buckets(members: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs (id, head) of buckets of two; members of those that are paired in full; of larger ones."""
-    ends = members.groupBy("band", "value").agg(F.min("id").alias("id"), F.max("id").alias("head"), F.count("*").alias("n"))
-    ends = stored(ends.where("n > 1"), "line-buckets")
-    few, many = F.col("n").between(3, PAIRED), F.col("n") > PAIRED
-    groups = (members.join(ends.where(c).select("band", "value"), ["band", "value"], "left_semi") for c in (few, many))
-    return ends.where("n = 2").select("id", "head"), *groups
+def _maybe(rows: DataFrame, ids: DataFrame, name: str = "id") -> DataFrame:
+    """The rows whose ``name`` may be among ``ids``: a filter of at most COARSE values is broadcast."""
+    marks = _marks(ids, name)
+    return rows.join(F.broadcast(marks), F.pmod(name, F.lit(COARSE)) == marks["_mark"], "left_semi")
 
 
-def _paired(members: DataFrame) -> DataFrame:
-    other = members.select("band", "value", F.col("id").alias("head"))
-    return members.join(other, ["band", "value"]).where(F.col("id") < F.col("head")).select("id", "head")
+def _postings(signed: DataFrame, *columns: str) -> DataFrame:
+    return signed.select("id", *columns, F.explode(F.array(*(f"band{b}" for b in range(BANDS)))).alias("value"))
 
 
-def _headed(members: DataFrame) -> DataFrame:
-    """(band, value, id, rows, head) of all members but the heads, of buckets with several."""
-    order = F.struct(-F.col("rows"), F.xxhash64("id", "band"))
-    heads = members.groupBy("band", "value").agg(F.min_by("id", order).alias("head"), F.count("*").alias("n"))
-    heads = heads.where("n > 1").drop("n")
-    return members.join(heads, ["band", "value"]).where(F.col("id") != F.col("head"))
+def _buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, head): lines of buckets of two that may be similar; (value, id, head, n): those of larger ones."""
+    ends = _postings(signed, "sketch").groupBy("value").agg(F.min("id").alias("head"), F.max("id").alias("id"), F.count("*").alias("n"), F.bit_xor("sketch").alias("differ"))
+    ends = stored(ends.where("n > 1 AND id != head"), "line-buckets")
+    two = ends.where((F.col("n") == 2) & (F.bit_count("differ") <= APART)).select("id", "head")
+    many = ends.where("n > 2").select("value", "head", "n")
+    members = looked_up(_maybe(_postings(signed), many, "value"), many, "value", ["head", "n"], weight="n")
+    return two, stored(members.where(F.col("head").isNotNull()), "line-members")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, id, head): the keys and ids of the distinct pairs whose shingle sets are similar enough."""
-    pairs = pairs.select("id", "head").distinct()
-    left = sets.select("id", F.col("key").alias("a"), F.col("shingles").alias("s"))
-    right = sets.select(F.col("id").alias("head"), F.col("key").alias("b"), F.col("shingles").alias("t"))
-    both = pairs.join(left, "id").join(right, "head")
-    common = F.size(F.array_intersect("s", "t"))
-    return both.where(common >= SIMILAR * (F.size("s") + F.size("t") - common)).select("a", "b", "id", "head")
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.greatest(a, b).alias("id"), F.least(a, b).alias("head")]
 
 
-def _rarest(named: DataFrame) -> DataFrame:
-    """(id, component, n, shingle): so many of a line's rarest shingles that similar lines share one.
+def _similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """(id, twin, head, head_twin) of the pairs whose shingle sets are similar enough.
 
-    Lines with n shingles share at least SIMILAR * n of them with a similar line, so of any common order
-    the first n - ceil(SIMILAR * n) + 1 have one that the other line's first ones have as well.
+    A first line with very many pairs is sent to several tasks, which share its pairs.
+    """
+    heads = stored(pairs.groupBy("head").agg(F.count("*").alias("n")), "line-heads")
+    dealt = looked_up(pairs, heads.withColumn("parts", F.ceil(F.col("n") / SHARE)), "head", ["parts"], weight="n")
+    dealt = dealt.select("id", "head", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
+    left = dealt.join(known, "id")
+    right = known.select(F.col("id").alias("head"), F.col("twin").alias("head_twin"), F.col("line").alias("head_line")).join(heads, "head")
+    right = right.select("head", "head_twin", "head_line", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / SHARE) - 1)).alias("part"))
+    both = left.join(right, ["head", "part"])
+    sets = both.select("id", "twin", "head", "head_twin", shingles(F.col("line")).alias("s"), shingles(F.col("head_line")).alias("t"))
+    # common / (s + t - common) >= 0.8, in whole numbers
+    return sets.where(9 * F.size(F.array_intersect("s", "t")) >= 4 * (F.size("s") + F.size("t"))).select("id", "twin", "head", "head_twin")
+
+
+def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """(value, id, component, n) of the buckets in which lines of several components are left."""
+    named = members.join(parts.withColumnRenamed("node", "id"), "id", "left")
+    named = named.select("value", "id", "n", F.coalesce("component", "id").alias("component"))
+    ends = named.groupBy("value").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("lines"))
+    ends = stored(ends.where("least != most"), "line-mixed")
+    found = looked_up(_maybe(named, ends, "value"), ends, "value", ["least"], weight="lines")
+    return stored(found.where(F.col("least").isNotNull()).drop("least"), "line-left")
+
+
+def _paired(left: DataFrame) -> DataFrame:
+    """Pairs of lines of different components in buckets of at most PAIRED."""
+    few = left.where(F.col("n") <= PAIRED)
+    other = few.select("value", F.col("id").alias("other"), F.col("component").alias("_component"))
+    return few.join(other, "value").where(F.col("component") < F.col("_component")).select(*_ordered("id", "other"))
+
+
+def _rarest(crowd: DataFrame, known: DataFrame) -> DataFrame:
+    """(id, n, shingle): so many of a line's rarest shingles that similar lines share one.
+
+    Lines with n shingles share at least 0.8 * n of them with a similar line, so of any common order the
+    first n - ceil(0.8 * n) + 1 have one that the other line's first ones have as well.
     """
-    hashes = F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s)))
-    single = named.select("id", "component", hashes.alias("hashes"))
-    single = single.select("id", "component", F.size("hashes").alias("n"), F.explode("hashes").alias("shingle"))
+    single = known.join(crowd.select("id").distinct(), "id", "left_semi").select("id", "twin", shingles(F.col("line")).alias("hashes"))
+    single = stored(single.select("id", "twin", F.size("hashes").alias("n"), F.explode("hashes").alias("shingle")), "line-shingles")
     often = single.groupBy("shingle").agg(F.count("*").alias("often"))
-    ranked = single.join(often, "shingle").groupBy("id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("ranked"))
-    length = (F.col("n") - F.ceil(SIMILAR * F.col("n") - 1e-6) + 1).cast("int")
-    return ranked.select("id", "component", "n", F.explode(F.slice("ranked", F.lit(1), length)["shingle"]).alias("shingle"))
+    counted = looked_up(single, stored(often, "line-often"), "shingle", ["often"], weight="often")
+    ranked = counted.groupBy("id", "twin", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("ranked"))
+    length = F.col("n") - F.floor((4 * F.col("n") + 4) / 5).cast("int") + 1
+    return ranked.select("id", "n", F.explode(F.slice("ranked", F.lit(1), length)["shingle"]).alias("shingle"))
 
 
-def _across(named: DataFrame) -> DataFrame:
-    """Pairs (id, head) of lines in different components that share a shingle among their rarest.
+def _across(left: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of a crowd's lines in different components that share one of their rarest shingles.
 
-    Without those outside a shingle's largest component there is no such pair, so only they are joined.
-    """
-    postings = stored(_rarest(named), "line-postings")
-    main = postings.groupBy("shingle", "component").agg(F.count("*").alias("lines"))
-    main = main.groupBy("shingle").agg(F.max_by("component", F.struct("lines", "component")).alias("main"), F.count("*").alias("parts"))
-    others = postings.join(main.where("parts > 1"), "shingle").where(F.col("component") != F.col("main"))
-    other = others.select("shingle", F.col("id").alias("head"), F.col("component").alias("_component"), F.col("n").alias("_n"))
-    apart = F.col("component") != F.col("_component")
-    alike = F.least("n", "_n") >= SIMILAR * F.greatest("n", "_n") - 1e-6
-    pairs = postings.join(other, "shingle").where(apart & alike)
-    return pairs.select(F.least("id", "head").alias("id"), F.greatest("id", "head").alias("head")).distinct()
-
-
-def _searched(crowds: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
-    """``edges`` and what else links the lines of ``crowds``: a graph with the components of all similar pairs.
-
-    First the lines meet heads, which joins what is mostly alike. Then every line meets, whatever it met
-    before, all lines of other components that could be similar.
+    A pair has a line outside the largest component of the lines that share a shingle, so only these
+    are joined with the others.
     """
-    left = crowds
-    for _ in range(HEADS):
-        pairs = cut(_headed(left))
-        if pairs.isEmpty():
-            break
-        similar = cut(_similar(pairs, sets))
-        edges = edges.union(similar.select("a", "b"))
-        left = pairs.join(similar, ["id", "head"], "left_anti").select("band", "value", "id", "rows")
-    parts = stored(connected_components(edges), "line-parts")
-    members = sets.join(crowds.select("id").distinct(), "id", "left_semi")
-    named = members.join(parts.withColumnRenamed("node", "key"), "key", "left")
-    named = named.select("id", "shingles", F.coalesce("component", "key").alias("component"))
-    met = _similar(_across(named), sets).select("a", "b")
-    return parts.toDF("a", "b").union(met)
-
-
-def links(keys: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): keys of similar lines that meet in a band."""
-    postings = keys.select("id", "rows", _bands().alias("p")).select("id", "rows", "p.band", "p.value")
-    two, few, crowds = _buckets(postings)
-    pairs, crowds = stored(two.union(_paired(few)).distinct(), "line-pairs"), stored(crowds, "line-crowds")
-    wanted = pairs.select("id").union(pairs.select("head")).union(crowds.select("id")).distinct()
-    near = _maybe(found, wanted).select(_key("line"), _id("line"), "line")
-    near = near.join(wanted, "id", "left_semi").dropDuplicates(["key"])
-    sets = stored(near.select("key", "id", shingles(F.col("line")).alias("shingles")), "line-shingles")
-    edges = stored(_similar(pairs, sets).select("a", "b"), "line-links")
-    return edges if crowds.isEmpty() else _searched(crowds, sets, edges)
+    crowd = left.where(F.col("n") > PAIRED).select("value", "id", "component")
+    postings = stored(crowd.join(_rarest(crowd, known), "id"), "line-postings")
+    main = postings.groupBy("value", "shingle", "component").agg(F.count("*").alias("lines"))
+    main = main.groupBy("value", "shingle").agg(F.max_by("component", F.struct("lines", "component")).alias("main"), F.count("*").alias("parts"))
+    several = main.where("parts > 1").select("value", "shingle", "main")
+    others = postings.join(several, ["value", "shingle"]).where(F.col("component") != F.col("main"))
+    other = others.select("value", "shingle", F.col("id").alias("other"), F.col("component").alias("_component"), F.col("n").alias("_n"))
+    alike = (F.col("component") != F.col("_component")) & (5 * F.least("n", "_n") >= 4 * F.greatest("n", "_n"))
+    return postings.join(other, ["value", "shingle"]).where(alike).select(*_ordered("id", "other"))
+
+
+def links(signed: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, twin, head, head_twin) of similar lines: a graph with the components of all pairs that meet."""
+    two, members = _buckets(signed)
+    pairs = stored(two.union(members.where("id != head").select("id", "head")).distinct(), "line-pairs")
+    wanted = pairs.select("id").union(pairs.select("head")).distinct()
+    known = _maybe(found, wanted).select("id", "twin", "line").join(wanted, "id", "left_semi")
+    known = stored(known.dropDuplicates(["id", "twin"]), "line-texts")
+    edges = stored(_similar(pairs, known), "line-links")
+    left = _mixed(members, connected_components(edges.select("id", "head")))
+    if left.isEmpty():
+        return edges
+    more = _paired(left)
+    if not left.where(F.col("n") > PAIRED).isEmpty():
+        more = more.union(_across(left, known))
+    more = stored(more.distinct().join(pairs, ["id", "head"], "left_anti"), "line-more")
+    return edges.union(_similar(more, known))
+
+
+def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines, and (id, twin, rows, kept) of those that are not alone: ``kept`` is the place that stays."""
+    found = lines(docs)
+    signed = stored(signatures(found), "line-signatures")
+    edges = stored(links(signed, found), "line-edges")
+    nodes = edges.select("id", "twin").union(edges.select("head", "head_twin")).distinct()
+    nodes = nodes.join(connected_components(edges.select("id", "head")).withColumnRenamed("node", "id"), "id")
+    place = F.struct(*PLACE)
+    named = stored(signed.select("id", "twin", "rows", place.alias("place")).join(nodes, ["id", "twin"], "left").where("component IS NOT NULL OR rows > 1"), "line-groups")
+    several = named.where("component IS NOT NULL")
+    kept = several.groupBy("component").agg(F.min("place").alias("kept"))
+    several = several.join(kept, "component").select("id", "twin", "rows", "kept")
+    return found, several.union(named.where("component IS NULL").select("id", "twin", "rows", "place"))
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, dropped): the numbers, from 0, of the lines of each document that go."""
-    found = lines(docs)
-    keys = stored(_keys(found), "line-keys")
-    parts = connected_components(links(keys, found))
-    named = keys.select("key", "id", "first", "rows").join(parts.withColumnRenamed("node", "key"), "key", "left")
-    named = named.withColumn("component", F.coalesce("component", "key"))
-    kept = named.groupBy("component").agg(F.min("first").alias("kept"), F.sum("rows").alias("n")).where("n > 1")
-    several = stored(named.select("key", "id", "component").join(kept, "component").select("key", "id", "kept"), "line-groups")
-    places = _maybe(found, several).select("doc_id", "text_hash", "line_no", _key("line"))
-    place = F.struct("doc_id", "text_hash", "line_no")
-    gone = places.join(several.drop("id"), "key").where(~place.eqNullSafe(F.col("kept"))).distinct()
-    numbers = F.sort_array(F.collect_list("line_no")).alias("dropped")
-    return gone.groupBy("doc_id", "text_hash").agg(numbers)
-
-
-def _joined(docs: DataFrame) -> DataFrame:
+    found, several = groups(docs)
+    several = stored(several, "line-several")
+    places = looked_up(_maybe(found.drop("line"), several), several, ["id", "twin"], ["kept"], weight="rows")
+    gone = places.where(F.col("kept").isNotNull() & ~F.struct(*PLACE).eqNullSafe(F.col("kept"))).select(*PLACE).distinct()
+    return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("line_no")).alias("dropped"))
+
+
+def _joined(docs: DataFrame, rows: DataFrame) -> DataFrame:
     gone = dropped_lines(docs).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "dropped")
-    rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
     own = rows["doc_id"].eqNullSafe(gone["_doc"]) & (rows["text_hash"] == gone["_hash"])
     none = F.array().cast("array<int>")
-    return rows.join(gone, own, "left").withColumn("dropped", F.coalesce("dropped", none))
+    return rows.join(gone, own, "left").drop("_doc", "_hash").withColumn("dropped", F.coalesce("dropped", none))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped) of every row; ``dropped`` has the numbers of lines that go."""
-    rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")).alias("n_lines"))
-    gone = dropped_lines(docs).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "dropped")
-    own = rows["doc_id"].eqNullSafe(gone["_doc"]) & (rows["text_hash"] == gone["_hash"])
-    dropped = F.coalesce("dropped", F.array().cast("array<int>"))
-    return rows.join(gone, own, "left").select(
-        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size(dropped).cast("long").alias("n_dropped"), F.array_join(dropped.cast("array<string>"), ",").alias("dropped")
+    counted = F.size(F.filter(F.split("text", "\n"), lambda line: F.trim(F.translate(line, "\t\r", "  ")) != ""))
+    rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), counted.cast("long").alias("n_lines"))
+    return _joined(docs, rows).select(
+        "doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped")
     )
 
 
 def without_dropped(docs: DataFrame) -> DataFrame:
     """(doc_id, text) of every row without the lines that go."""
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("dropped", i))
-    return _joined(docs).select("doc_id", F.array_join(kept, "\n").alias("text"))
+    rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(F.split("text", "\n")) - 1), F.col("dropped"))
+    split = F.transform(F.array(F.split("text", "\n")), lambda own: F.transform(kept, lambda i: F.get(own, i)))
+    return _joined(docs, rows).select("doc_id", F.array_join(F.get(split, F.lit(0)), "\n").alias("text"))
