@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 
-from martwright.llm import bpe, decontaminate, exact_dedup, licences, line_dedup, pii, quality, sharding, simhash, token_counts, token_store, vector_codes
+from martwright.llm import bpe, collocations, decontaminate, exact_dedup, licences, line_dedup, pii, quality, sharding, simhash, token_counts, token_store, vector_codes
 from martwright.llm.common import documents, on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compressed(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(documents(spark, folder))
+
+
 @query
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
@@ -109,3 +114,54 @@ ORACLE["op10_exact_dedup"] = """SELECT doc_id, keep_id, group_size, doc_id = kee
   sha256(coalesce(text, '')) AS text_sha256
 FROM (SELECT *, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size
       FROM documents WINDOW same AS (PARTITION BY coalesce(text, '')))"""
+
+_PIECES = r"""string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')"""
+ORACLE["op12_collocations"] = f"""WITH
+piece AS (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents),
+line AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS ws FROM piece),
+total AS (SELECT lang, sum(len(ws)) AS n FROM line GROUP BY lang),
+gram AS (SELECT lang, list_slice(ws, p, p + m - 1) AS ws, m FROM line, unnest(range(1, 5)) s(m), unnest(range(1, len(ws) - m + 2)) t(p)),
+freq AS (SELECT lang, m, array_to_string(ws, ' ') AS phrase, ws, count(*) AS f FROM gram GROUP BY lang, m, ws HAVING count(*) >= 30),
+cut AS (SELECT c.lang, c.m, c.phrase, c.f AS a, k, a.f AS l, b.f AS r,
+    (2000000 * CAST(c.f AS HUGEINT)) // (CAST(a.f AS HUGEINT) + b.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM freq WHERE m > 1) c
+  JOIN freq a ON a.lang = c.lang AND a.ws = list_slice(c.ws, 1, k)
+  JOIN freq b ON b.lang = c.lang AND b.ws = list_slice(c.ws, k + 1, c.m)),
+lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, array_to_string(list_slice(ws, p, p + q - 1), ' ') AS phrase, max(f) AS longer
+  FROM freq, unnest(range(2, 4)) s(q), unnest(range(1, m - q + 2)) t(p) WHERE q < m GROUP BY ALL),
+ranked AS (SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+
+def _nearest(name: str, book: str) -> str:
+    """Each part's nearest entry of a codebook, the lower of equal ones."""
+    return f"""{name} AS (SELECT vec_id, label, p, any_value(v) AS v, min(o).e AS e, min(o).d AS d FROM (
+  SELECT part.*, {{'d': list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(part.v, b.v)]), 'e': b.e}} AS o
+  FROM part JOIN {book} b USING (p)) GROUP BY vec_id, label, p)"""
+
+
+def _means(name: str, book: str, chosen: str) -> str:
+    """The codebook after a round: floored means, entries that nobody chose as before."""
+    return f"""{name} AS (SELECT p, e, coalesce(m.v, b.v) AS v FROM {book} b LEFT JOIN (
+  SELECT p, e, list(m ORDER BY i) AS v FROM (
+    SELECT p, e, i, CAST((sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+    FROM (SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM {chosen}) GROUP BY p, e, i)
+  GROUP BY p, e) m USING (p, e))"""
+
+
+ORACLE["op11_vector_codes"] = f"""WITH
+kept AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+part AS (SELECT vec_id, label, p, list_slice(q, p * len(q) // 16 + 1, (p + 1) * len(q) // 16) AS v FROM kept, unnest(range(0, 16)) t(p)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64),
+book0 AS (SELECT p, e, v FROM part JOIN first USING (vec_id)),
+{_nearest("chosen0", "book0")}, {_means("book1", "book0", "chosen0")},
+{_nearest("chosen1", "book1")}, {_means("book2", "book1", "chosen1")},
+{_nearest("chosen2", "book2")},
+sha AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2),
+coded AS (SELECT vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM chosen2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, sha"""

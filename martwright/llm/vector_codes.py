@@ -20,13 +20,15 @@ So are vectors of a length other than that of the first vector (by id) that can
 Vectors with equal ids are ordered by their components for the choice of the first entries, a null id
 comes last; repeated rows count each. Fewer vectors than entries make smaller codebooks. Null labels
 are one label. Components too large for exact 64-bit distances are computed with Python's integers,
-and an error that does not fit a long is null. An empty table gives an empty result. Columns
+and an error that does not fit a long is null, as is
+the sum over its label. An empty table gives an empty result. Columns
 besides vec_id, embedding and label are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -117,10 +119,22 @@ class Searcher:
         return best, least
 
 
-def _points(batch: pa.RecordBatch, dimension: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Slices of the batch with their vectors as whole numbers; all have ``dimension`` components."""
-    for begin in range(0, batch.num_rows, ROWS):
-        part = batch.slice(begin, ROWS)
+def _points(batches: Iterator[pa.RecordBatch], dimension: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of about ROWS rows with their vectors as whole numbers; all have ``dimension`` components."""
+
+    def gathered() -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            for begin in range(0, batch.num_rows, ROWS):
+                held.append(batch.slice(begin, ROWS))
+                rows += held[-1].num_rows
+                if rows >= ROWS:
+                    yield pa.concat_batches(held)
+                    held, rows = [], 0
+        if rows:
+            yield pa.concat_batches(held)
+
+    for part in gathered():
         yield part, _floored(part.column("embedding").flatten().to_numpy(zero_copy_only=False)).reshape(part.num_rows, dimension)
 
 
@@ -131,35 +145,48 @@ def _assigned(points: np.ndarray, searchers: list[Searcher]) -> tuple[np.ndarray
     return np.stack([f[0] for f in found], axis=1), np.stack([f[1] for f in found], axis=1)
 
 
+def _limbs(number: int) -> Iterator[tuple[int, int]]:
+    """(digits, x): the number as a sum of x * 10 ** digits with x below 10 ** 18."""
+    sign, rest, digits = (-1 if number < 0 else 1), abs(number), 0
+    while rest or not digits:
+        rest, x = divmod(rest, 10**18)
+        yield digits, sign * x
+        digits += 18
+
+
 def _sums(rows: DataFrame, codebooks: Codebooks, dimension: int) -> DataFrame:
-    """(part, entry, component, total, n): what the parts that chose an entry sum up to."""
+    """(part, entry, component, digits, total, n): what the parts that chose an entry sum up to.
+
+    A sum is that of ``total`` times 10 ** ``digits`` over its rows; most have one, with no digits.
+    """
     parts, entries, size = len(codebooks), len(codebooks[0]), dimension // len(codebooks)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searchers = [Searcher(c) for c in codebooks]
         counts = np.zeros((parts, entries), np.int64)
         totals = np.zeros((parts, entries, size), object)
-        for batch in batches:
-            for _, points in _points(batch, dimension):
-                codes, _ = _assigned(points, searchers)
-                for p in range(parts):
-                    own = points[:, p * size : (p + 1) * size]
-                    slice_totals = np.zeros((entries, size), points.dtype)
-                    np.add.at(slice_totals, codes[:, p], own)
-                    totals[p] += slice_totals
-                    counts[p] += np.bincount(codes[:, p], minlength=entries)
-        used = np.argwhere(counts)
-        columns = [np.repeat(used[:, 0], size), np.repeat(used[:, 1], size), np.tile(np.arange(size), len(used))]
-        total = [str(x) for p, e in used.tolist() for x in totals[p, e]]
-        n = np.repeat(counts[used[:, 0], used[:, 1]], size)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(total, pa.string()), pa.array(n, pa.int64())],
-            ["part", "entry", "component", "total", "n"],
-        )
+        for _, points in _points(batches, dimension):
+            codes, _ = _assigned(points, searchers)
+            for p in range(parts):
+                own = np.zeros((entries, size), points.dtype)
+                np.add.at(own, codes[:, p], points[:, p * size : (p + 1) * size])
+                totals[p] += own
+                counts[p] += np.bincount(codes[:, p], minlength=entries)
+        sums = [
+            (p, e, c, digits, total, int(counts[p, e]))
+            for p, e in np.argwhere(counts).tolist()
+            for c in range(size)
+            for digits, total in _limbs(int(totals[p, e, c]))
+        ]
+        names = ["part", "entry", "component", "digits", "total", "n"]
+        columns = zip(*sums, strict=True) if sums else [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
         release()
 
-    found = rows.select("embedding").mapInArrow(add, "part int, entry int, component int, total string, n long")
-    return found.groupBy("part", "entry", "component").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"), F.sum("n").alias("n"))
+    found = rows.select("embedding").mapInArrow(add, "part long, entry long, component long, digits long, total long, n long")
+    # Rows with digits repeat the count of those without; every sum has one without.
+    n = F.sum(F.when(F.col("digits") == 0, F.col("n")))
+    return found.groupBy("part", "entry", "component", "digits").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"), n.alias("n"))
 
 
 def trained(rows: DataFrame, dimension: int, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> Codebooks:
@@ -168,8 +195,15 @@ def trained(rows: DataFrame, dimension: int, parts: int = PARTS, entries: int =
     if not dimension or not codebooks[0]:
         return codebooks
     for _ in range(rounds):
+        totals: defaultdict[tuple[int, int, int], int] = defaultdict(int)
+        counts = {}
         for r in _sums(rows, codebooks, dimension).collect():
-            codebooks[r["part"]][r["entry"]][r["component"]] = int(r["total"]) // r["n"]
+            key = r["part"], r["entry"], r["component"]
+            totals[key] += int(r["total"]) * 10 ** r["digits"]
+            if not r["digits"]:
+                counts[key] = r["n"]
+        for (p, e, c), total in totals.items():
+            codebooks[p][e][c] = total // counts[p, e, c]
     return codebooks
 
 
@@ -183,15 +217,14 @@ def codes(rows: DataFrame, codebooks: Codebooks, dimension: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searchers = [Searcher(c) for c in codebooks]
-        for batch in batches:
-            for part, points in _points(batch, dimension):
-                chosen, errors = _assigned(points, searchers)
-                code = [bytes(row).hex() for row in chosen.astype(np.uint8)]
-                error = [int(e) if e < 1 << 63 else None for e in errors.sum(axis=1).tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("vec_id"), part.column("label"), pa.array(code, pa.string()), pa.array(error, pa.int64())],
-                    ["vec_id", "label", "code", "error"],
-                )
+        for part, points in _points(batches, dimension):
+            chosen, errors = _assigned(points, searchers)
+            code = [bytes(row).hex() for row in chosen.astype(np.uint8)]
+            error = [int(e) if e < 1 << 63 else None for e in errors.sum(axis=1).tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("vec_id"), part.column("label"), pa.array(code, pa.string()), pa.array(error, pa.int64())],
+                ["vec_id", "label", "code", "error"],
+            )
         release()
 
     label = rows.schema["label"].dataType.simpleString()
@@ -217,6 +250,7 @@ def compressed(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, r
     if not dimension:
         rows = rows.limit(0)
     coded = stored(codes(rows, codebooks, dimension), "vector-codes")
-    sums = coded.groupBy("label").agg(F.sum(F.col("error").cast("decimal(38,0)")).cast("long").alias("label_error"), F.count("*").alias("n"))
+    total = F.sum(F.col("error").cast("decimal(38,0)")).try_cast("long")
+    sums = coded.groupBy("label").agg(F.when(F.count("error") == F.count("*"), total).alias("label_error"), F.count("*").alias("n"))
     found = looked_up(coded, stored(sums, "label-errors"), "label", "label_error", weight="n")
     return found.select("vec_id", "code", "error", "label_error", F.lit(digest(codebooks)).alias("codebooks_sha256"))
