@@ -191,7 +191,7 @@ def _ends(kind: Kind) -> Column:
     """Where every match ends, from the columns with the hits and the gaps."""
     gaps, hits = F.col(f"gaps_{kind.name}"), F.col(f"hits_{kind.name}")
     steps = F.transform(hits, lambda hit, i: (F.char_length(F.get(gaps, i)) + F.char_length(hit)).cast("long"))
-    return F.when(F.size(hits) > 0, _let(steps, _running)).alias(f"ends_{kind.name}")
+    return F.when(F.size(hits) > 0, _let(steps, lambda v: _running(v))).alias(f"ends_{kind.name}")
 
 
 def _matches(kind: Kind) -> Column:
