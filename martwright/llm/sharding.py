@@ -2,9 +2,13 @@
 
 Records are hashed by their text into a fixed number of slots, so equal texts stay together. The
 bytes of every slot are summed, and a map says to which shard a slot belongs. Rebalancing edits the
-map, slot by slot, and stores it as a new version; records are never hashed anew. A text whose
-copies hold more than half of a shard's share is spread over all slots by doc_id instead (at most
-twice as many texts as shards can do so, which bounds the table that is broadcast for it).
+map, slot by slot, and stores it as a new version; records are never hashed anew.
+
+Texts whose copies hold more than a quarter of a shard's share are large (at most four times as many
+texts as shards can be, which bounds the table that is broadcast for them). Each has a slot of its own
+at the end, and goes whole to one shard: the largest are placed first, and the other slots are balanced
+around them. Only a text whose copies hold more than a whole share, which no shard could take, is spread
+over all slots by doc_id.
 
 Built-in functions throughout. The map has as many rows as there are slots, whatever the input; it
 is the one table that the driver edits.
@@ -27,7 +31,8 @@ from martwright.llm.common import stored, texts
 from martwright.sources.tables import scratch_path
 
 SLOTS = 4096
-NUMBERED = 512  # groups in which the rows of a shard are numbered
+NUMBERED, NUMBERED_ROWS = 512, 200_000  # groups in which the rows of a shard are numbered, and their rows
+COPIES = 4096  # copies of a row that are listed in one place
 MAP_SCHEMA = "version int, virtual_slot int, shard int"
 
 
@@ -41,17 +46,34 @@ def records(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("text_hash"),
     )
     facts = facts.groupBy("doc_id", "size", "text_crc32", "text_hash").agg(F.count("*").alias("copies"))
-    return facts.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
+    blocks = F.sequence(F.lit(1).cast("long"), "copies", F.lit(COPIES).cast("long"))
+    one, one_long = facts.where(F.col("copies") <= COPIES).withColumn("first", F.lit(1).cast("long")), F.lit(COPIES - 1).cast("long")
+    many = facts.where(F.col("copies") > COPIES).withColumn("first", F.explode(blocks)).repartition("text_hash", "doc_id", "first")
+    rows = one.unionByName(many)
+    return rows.withColumn("copy", F.explode(F.sequence("first", F.least("copies", F.col("first") + one_long)))).drop("copies", "first")
 
 
-def slotted(rows: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame:
-    """The records with their virtual slot."""
-    total = rows.agg(F.sum("size")).first()[0] or 0
+def large_texts(rows: DataFrame, shards: int) -> list[tuple[int, int, int, bool]]:
+    """(text_hash, text_crc32, bytes, fits) of the large texts, the largest first; at most 4 * shards."""
+    share = (rows.agg(F.sum("size")).first()[0] or 0) / shards
     groups = rows.groupBy("text_hash", "text_crc32").agg(F.sum("size").alias("bytes"))
-    large = groups.where(F.col("bytes") > total / (2 * shards)).select("text_hash", "text_crc32", F.lit(True).alias("large"))
+    found = groups.where(F.col("bytes") * 4 > share).collect()
+    found.sort(key=lambda r: (-r["bytes"], r["text_hash"], r["text_crc32"]))
+    return [(r["text_hash"], r["text_crc32"], r["bytes"], r["bytes"] <= share) for r in found]
+
+
+def slotted(rows: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame:
+    """The records with their virtual slot; the last 4 * shards slots are those of large texts."""
+    if slots <= 8 * shards:
+        raise ValueError("there must be more than eight slots for each shard")
+    own, kept = iter(range(slots - 1, 0, -1)), []
+    for text_hash, crc, _, fits in large_texts(rows, shards):
+        kept.append((text_hash, crc, next(own) if fits else None))
+    large = rows.sparkSession.createDataFrame(kept, "text_hash long, text_crc32 long, own int").withColumn("large", F.lit(True))
     rows = rows.join(F.broadcast(large), ["text_hash", "text_crc32"], "left")
     spread = F.when(F.col("large"), F.xxhash64("text_hash", "doc_id", "copy")).otherwise(F.xxhash64("text_hash"))
-    return rows.withColumn("virtual_slot", F.pmod(spread, F.lit(slots)).cast("int")).drop("large")
+    hashed = F.pmod(spread, F.lit(slots - 4 * shards)).cast("int")
+    return rows.withColumn("virtual_slot", F.coalesce("own", hashed)).drop("large", "own")
 
 
 def slot_bytes(rows: DataFrame) -> dict[int, int]:
@@ -66,9 +88,15 @@ def first_map(shards: int, slots: int = SLOTS) -> list[int]:
 def rebalanced(current: list[int], sizes: dict[int, int], shards: int) -> list[int]:
     """The map after slots went from the fullest shard to the emptiest, alone or against a smaller one.
 
-    Each step narrows the gap between the two as far as one slot or one exchange can.
+    Slots that hold more than a quarter of a share are placed first, the largest first, each into the
+    shard that has least of them; a shard keeps its own where that is as good. Then each step narrows the
+    gap between two shards as far as one slot or one exchange can.
     """
     edited, loads = list(current), [0] * shards
+    quarter, placed = sum(sizes.values()) / (4 * shards), [0] * shards
+    for slot in sorted((s for s in sizes if sizes[s] > quarter), key=lambda s: (-sizes[s], s)):
+        edited[slot] = min(range(shards), key=lambda x: (placed[x], x != edited[slot]))
+        placed[edited[slot]] += sizes[slot]
     members: list[set[int]] = [set() for _ in range(shards)]
     for slot, shard in enumerate(edited):
         if size := sizes.get(slot, 0):
@@ -136,8 +164,9 @@ def placed(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
 
     Rows are numbered in many groups per shard; a group's first place is a sum over group sizes.
     """
+    groups = max(NUMBERED, rows.count() // NUMBERED_ROWS)
     rows = rows.join(F.broadcast(slot_map), "virtual_slot")
-    rows = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(NUMBERED)))
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(groups)))
     sizes = rows.groupBy("shard", "group").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("shard", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
