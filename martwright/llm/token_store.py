@@ -9,8 +9,9 @@ Files: Parquet with a row per segment of whole documents in ascending doc_id ord
 as binary columns. Spark writes and reads them, so the store may lie wherever Spark can write, and
 a lost executor's segments are written again. A segment ends after SEGMENT_TOKENS ids.
 
-Order: ascending doc_id, nulls first, equal ids by the hash of their text. Documents are dealt to
-ranges of doc_id; the range of an id with very many rows is split by that hash.
+Order: ascending doc_id, nulls first, equal ids by the hash of their text. Texts are dealt to ranges of
+both, of equally many rows and about RANGE_BYTES of text, by Spark's range partitioning; so an id with
+very many rows is split by the hash. Each range is sorted and encoded by a task of its own.
 
 Nulls and odd inputs: a null or empty text has the end id alone. Repeated rows are stored as often
 as they occur. An empty table gives an empty store. Columns besides doc_id and text are ignored.
@@ -34,6 +35,7 @@ LEVELS = 4  # of 8 bits: every unsigned 32-bit id
 RANK_BLOCK = 512
 SEGMENT_TOKENS = 1 << 17
 BATCH_BYTES = 1 << 20
+RANGE_BYTES = 16 << 20
 STORE_SCHEMA = "range int, segment int, n_docs long, n_tokens long, doc_ids array<bigint>, lengths array<bigint>, chunks array<binary>, bitmaps array<binary>, ranks array<binary>"
 
 
@@ -88,25 +90,6 @@ class Codes:
         return found + np.bitwise_count(words[at >> 6] & below)
 
 
-def _ranged(docs: DataFrame, ranges: int) -> DataFrame:
-    """With a column ``range``, ascending in (doc_id, tie); sized by the rows of doc_id alone."""
-    known = docs.select("doc_id").where("doc_id is not null")
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds = known.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] or [] if shares else []
-    below = F.lit(0)
-    if bounds:
-        marks = F.array(*(F.lit(b) for b in sorted(set(bounds))))
-        first = {b: bounds.index(b) + 1 for b in bounds}
-        starts = F.array(F.lit(0), *(F.lit(first[b]) for b in sorted(first)))
-        widths = F.array(F.lit(1), *(F.lit(bounds.count(b)) for b in sorted(first)))
-        place = F.size(F.filter(marks, lambda m: m <= F.col("doc_id")))
-        # A bound that occurs n times is an id with the rows of n ranges.
-        own = F.array_contains(marks, F.col("doc_id"))
-        part = F.shiftrightunsigned("tie", 33) * F.get(widths, place) / F.lit(float(1 << 31))
-        below = F.get(starts, place) + F.when(own, F.floor(part)).otherwise(F.get(widths, place) - 1)
-    return docs.withColumn("range", F.when(F.col("doc_id").isNull(), 0).otherwise(below).cast("int"))
-
-
 def _segments(batches: Iterator[pa.RecordBatch], end_id: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("range", pa.int32()), ("segment", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))]
@@ -137,14 +120,15 @@ def _segments(batches: Iterator[pa.RecordBatch], end_id: int) -> Iterator[pa.Rec
 def write_store(docs: DataFrame, path: str, to: str, end_id: int = 2, ranges: int | None = None) -> None:
     """Encode every whole text with the tokenizer file ``path`` and write the store into ``to``."""
     docs = texts(docs).withColumn("tie", F.xxhash64("text"))
-    ranges = ranges or partitions(docs)
-    schema = pa.schema([("range", pa.int32()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("ids", pa.binary())])
+    if ranges is None:
+        ranges = max(partitions(docs), (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES)
+    schema = pa.schema([("range", pa.int32()), ("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, held = [], 0
         for batch in batches:
             found = tokens.encode_all((t for (t,) in rows_of(batch, "text")), path)
-            for row, ids in zip(rows_of(batch, "range", "doc_id", "tie"), found, strict=True):
+            for row, ids in zip(rows_of(batch, "range", "doc_id"), found, strict=True):
                 done.append((*row, ids))
                 held += len(ids)
                 if held > BATCH_BYTES:
@@ -153,10 +137,10 @@ def write_store(docs: DataFrame, path: str, to: str, end_id: int = 2, ranges: in
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
 
-    rows = _ranged(docs, ranges).select("range", "doc_id", "tie", "text")
-    rows = rows.mapInArrow(encoded, "range int, doc_id long, tie long, ids binary")
-    rows = rows.repartition(ranges, "range").sortWithinPartitions("range", "doc_id", "tie")
-    rows.mapInArrow(lambda it: _segments(it, end_id), STORE_SCHEMA).write.parquet(to)
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie").asc()]
+    rows = docs.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    rows = rows.select(F.spark_partition_id().alias("range"), "doc_id", "text")
+    rows.mapInArrow(lambda it: _segments(encoded(it), end_id), STORE_SCHEMA).write.parquet(to)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
