@@ -156,12 +156,11 @@ def exact_duplicates(rows):
     return found
 
 
-def line_shingles(line, size=16):
-    starts = re.finditer(rf"(?<![a-z0-9ß-ɏ])(?=(\S.{{0,{size - 1}}}))", line)
-    return frozenset(m[1] for m in starts)
+def line_shingles(line, size=5):
+    return frozenset(line[i : i + size] for i in range(max(1, len(line) - size + 1)))
 
 
-def dropped_lines(rows, similar=0.8):
+def dropped_lines(rows):
     """{doc_id: numbers of the lines that go}; doc_ids are distinct and not null."""
     places = defaultdict(list)
     for doc_id, text in rows:
@@ -185,7 +184,7 @@ def dropped_lines(rows, similar=0.8):
                 common[j] += 1
             of[s].append(i)
         for j, n in common.items():
-            if n >= similar * (len(own) + len(sets[j]) - n):
+            if 5 * n >= 4 * (len(own) + len(sets[j]) - n):
                 root[find(i)] = find(j)
     groups = defaultdict(list)
     for i, k in enumerate(keys):
@@ -195,3 +194,30 @@ def dropped_lines(rows, similar=0.8):
         for doc_id, n in sorted(members)[1:]:
             gone[doc_id].append(n)
     return {d: sorted(ns) for d, ns in gone.items()}
+
+
+def licence_paragraphs(text, cues):
+    """Paragraphs with a cue: lines that do not end a sentence go on in the next."""
+    found, own = [], ""
+    for line in re.split("[\r\n]", (text or "").lower().replace("\r\n", "\n")):
+        line = line.strip(" \t")
+        if own and line and own[-1] not in ".!?:;":
+            own += " " + line
+        else:
+            found.append(own)
+            own = line
+    found.append(own)
+    return [p for p in found if any(c in p for c in cues)]
+
+
+def licence_likeness(paragraph, templates, words):
+    """{family: the largest share of word pairs in common with one of its templates}."""
+    own, best = set(zip(words(paragraph), words(paragraph)[1:])), {}
+    for family, texts in templates.items():
+        for text in texts:
+            pairs = set(zip(words(text), words(text)[1:]))
+            common = len(own & pairs)
+            if common:
+                share = max(common / len(pairs), common / len(own) if len(own) >= 3 else 0.0)
+                best[family] = max(best.get(family, 0.0), share)
+    return best

@@ -1,6 +1,8 @@
 """The registered queries and the pipeline on the smallest tables."""
 
-from collections import Counter
+import math
+import zlib
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import brute
@@ -60,6 +62,36 @@ def test_lines_against_plain_loops(spark):
     assert found == brute.dropped_lines(rows(spark)) and len(got) == len(rows(spark))
 
 
+def test_shards_against_plain_loops(spark):
+    got = QUERIES["op6_virtual_slots"](spark, FOLDER).collect()
+    want = Counter((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows(spark))
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    loads, texts, total = defaultdict(list), defaultdict(set), sum(r["size"] for r in got)
+    for r in got:
+        loads[r["shard"]].append(r)
+        texts[r["text_crc32"], r["size"]].add(r["shard"])
+    assert set(loads) <= set(range(8)) and all(sorted(r["slot"] for r in m) == list(range(len(m))) for m in loads.values())
+    assert all(len(places) == 1 for places in texts.values())  # equal texts lie together
+    largest = max(r["size"] for r in got)
+    sizes = [sum(r["size"] for r in loads[s]) for s in range(8)]
+    assert max(sizes) <= max(total / 8 + largest, total / 8 * 1.02) and {r["law"] for r in got} == {"bytes"}
+
+
+def test_quality_scores_against_plain_loops(spark):
+    """Scores of the query are those of the machine's sum over all pairs, on whole texts."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    machine = quality.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    got = {r["doc_id"]: tuple(r)[1:4] for r in QUERIES["op7_quality_machine"](spark, FOLDER).collect()}
+    for doc_id, text in rows(spark)[::9]:
+        at, x = machine.row(*quality.features(text or ""))
+        vectors = machine.vectors[at] * x[:, None]
+        pairs = sum(float(vectors[i] @ vectors[j]) for i in range(len(at)) for j in range(i)) if len(at) < 400 else float((vectors.sum(axis=0) ** 2 - (vectors**2).sum(axis=0)).sum() / 2)
+        score = 1 / (1 + math.exp(-(machine.bias + float(machine.weights[at] @ x) + pairs)))
+        held, found, predicted = got[doc_id]
+        assert found == pytest.approx(score, abs=1e-4) and predicted == (found >= 0.3)
+        assert held == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+
+
 @pytest.mark.parametrize("name", ["op4_licences", "op6_virtual_slots", "op7_quality_machine"])
 def test_every_document_has_a_row(spark, name):
     got = QUERIES[name](spark, FOLDER).select("doc_id").collect()

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import brute
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import docs, odd_rows  # noqa: F401
@@ -129,7 +130,7 @@ def shards(df):
 
 def test_shards_are_balanced_and_numbered(docs, odd_rows):
     rng = random.Random(3)
-    rows = [(i, "x" * rng.randrange(2000)) for i in range(600)] + [r for r in odd_rows if len(r[1] or "") < 10_000]
+    rows = [(i, "x" * rng.randrange(2000)) for i in range(3000)] + odd_rows
     got = sharding.sharded(docs(rows), 4)
     members = shards(got)
     sizes = [sum(r["size"] for r in m) for m in members.values()]
@@ -152,6 +153,40 @@ def test_a_text_that_a_third_of_all_rows_have_is_spread(docs):
     assert max(sizes) - min(sizes) < 0.02 * sum(sizes) / 8 + 40
 
 
+@pytest.mark.parametrize("shares", [(0.4, 0.6, 0.9), (0.9, 0.9, 0.9, 0.9), (1.5, 0.6), (0.3,) * 12, (1.5, 0.9, 0.6, 0.4, 0.3), (2.6,)])
+def test_texts_that_fit_a_shard_are_not_split(docs, shares):
+    """A group of copies goes whole to one shard unless it holds more than a shard's share."""
+    rng, total, shards_ = random.Random(1), 400_000, 8
+    rows, kept = [], {}
+    for k, share in enumerate(shares):
+        text = f"group {k} " + "y" * 90
+        n = round(share * total / shards_ / (len(text) + 1))
+        kept[zlib.crc32(text.encode())] = share
+        rows += [(len(rows) + i, text) for i in range(n)]
+    size = sum(len(t) + 1 for _, t in rows)
+    while size < total:
+        text = "z" * rng.randrange(20, 400) + str(len(rows))
+        rows.append((len(rows), text))
+        size += len(text) + 1
+    members = shards(sharding.sharded(docs(rows), shards_))
+    places = defaultdict(set)
+    for shard, m in members.items():
+        for r in m:
+            places[r["text_crc32"]].add(shard)
+    for crc, share in kept.items():
+        assert (len(places[crc]) == 1) == (share <= 1), share
+    sizes = [sum(r["size"] for r in m) for m in members.values()]
+    assert max(sizes) - min(sizes) < 0.01 * total / shards_ + 400
+
+
+def test_a_row_that_is_repeated_very_often(docs):
+    rows = [(1, "again and again")] * 9000 + [(i, f"text {i}") for i in range(500)]
+    members = shards(sharding.sharded(docs(rows), 4))
+    assert sum(map(len, members.values())) == len(rows)
+    for m in members.values():
+        assert sorted(r["slot"] for r in m) == list(range(len(m)))
+
+
 def test_maps_are_edited_and_kept(spark, tmp_path):
     rng = random.Random(4)
     sizes = {s: rng.randrange(1, 5000) for s in range(500)}

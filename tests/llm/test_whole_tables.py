@@ -13,10 +13,11 @@ def test_a_notice_whose_words_are_frequent_is_scored(docs):
     talk = [" ".join(rng.sample("copyright reserved rights all river stone garden winter market".split(), 9)) for _ in range(200)]
     rows = [(i, line) for i, line in enumerate(talk)] + [(900, "Copyright, all rights reserved.")]
     table = docs(rows)
-    found = licences.fit(table)
-    assert not {"copyright", "all", "rights", "reserved"} & set(found.cues)
-    found.least = 0.0  # whether it is looked at, not how likely it is
-    assert [r["doc_id"] for r in licences.scan(table, found).where("doc_id = 900").collect()] == [900]
+    for fitted_on in (table, docs(rows[:3]), docs([])):  # whatever was sampled
+        licences.fit(fitted_on)
+    asked = licences.paragraphs(table).groupBy("doc_id").count()
+    assert asked.count() == len(rows)  # every line has a cue, and all are scored
+    assert [r["paragraph"] for r in licences.paragraphs(table).where("doc_id = 900").collect()] == ["copyright, all rights reserved."]
 
 
 def test_another_text_under_a_repeated_id_stays(docs):
