@@ -31,18 +31,38 @@ def first_per_key(batch: DataFrame, key: str, order_by: Sequence[str]) -> DataFr
     return present.join(repeated, on, "left_anti").select(*batch.columns).unionByName(firsts)
 
 
+FEW_KEYS = 1000  # keys that are asked for by value
+
+
+def keys_present(target: DataFrame, key: str, asked: DataFrame, by_value: bool = False) -> DataFrame:
+    """The rows' ``key`` of those keys in ``asked`` that the target has.
+
+    With ``by_value`` the keys are looked at first. Up to FEW_KEYS of them become a filter by value that
+    reaches the scan: row groups whose statistics or Bloom filter rule all of them out are not opened.
+    More become a range of values, as statistics know it, before the join by key.
+    """
+    if by_value:
+        keys = [r[0] for r in asked.limit(FEW_KEYS + 1).collect()]
+        if len(keys) <= FEW_KEYS:
+            return target.select(key).filter(F.col(key).isin(keys))
+        low, high = asked.agg(F.min(key), F.max(key)).first()
+        target = target.filter(F.col(key).between(low, high))
+    return target.select(key).join(asked, key, "left_semi")
+
+
 def rows_to_insert(
-    batch: DataFrame, target: DataFrame, key: str, order_by: Sequence[str]
+    batch: DataFrame, target: DataFrame, key: str, order_by: Sequence[str], by_value: bool = False
 ) -> DataFrame:
     """The rows of ``batch`` that an insert skipping existing keys would add to ``target``.
 
     The target gives only its key column, and first only the keys that occur in the batch; rows of
     keys it has are left out before copies are compared. For the usual batch, far smaller than the
     table, Spark broadcasts the batch's keys if their measured size allows, and the table is scanned
-    without being shuffled. A large batch falls back to sort-merge joins on the key.
+    without being shuffled. A large batch falls back to sort-merge joins on the key. ``by_value`` looks at
+    the batch's keys first, which pays where the batch is stored and the target has Bloom filters.
     """
     asked = batch.select(key).filter(F.col(key).isNotNull()).distinct()
-    present = target.select(key).join(asked, key, "left_semi")
+    present = keys_present(target, key, asked, by_value)
     absent = batch.join(present, key, "left_anti").select(*batch.columns)
     return first_per_key(absent, key, order_by)
 

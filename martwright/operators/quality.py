@@ -7,11 +7,11 @@ key counts once per map task however many rows hold it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martwright.operators.joins import orphan_keys
@@ -248,6 +248,47 @@ def run_checks(tables: dict[str, DataFrame], suite: Sequence[TableChecks]) -> Da
     return report.withColumn("status", status)
 
 
+class ChecksFailed(RuntimeError):
+    """Rows that were written broke a rule; ``report`` has the results of all checks."""
+
+    def __init__(self, report: Sequence[tuple]) -> None:
+        failed = [f"{table}.{column} {name}: {n}" for name, table, column, n, status in report if status != "PASS"]
+        super().__init__("; ".join(failed))
+        self.report = list(report)
+
+
+def observed(df: DataFrame, table: str, suite: Sequence[TableChecks]) -> tuple[DataFrame, Callable[[], list[tuple]]]:
+    """The rows, and their results once they were written: the rules on single rows are counted on the
+    way, without a further scan.
+
+    The results have the columns of a report, and wait for the rows to be written.
+    """
+    checks = [c for c in _merged(suite).get(table, []) if isinstance(c, RowCheck | NonEmptyCheck)]
+    if not checks:
+        return df, list
+    watch = Observation()
+    counts = [F.count("*") if isinstance(c, NonEmptyCheck) else F.count_if(c.broken) for c in checks]
+    watched = df.observe(watch, *(n.alias(f"n{i}") for i, n in enumerate(counts)))
+
+    def results() -> list[tuple]:
+        found = watch.get
+        rows = []
+        for i, check in enumerate(checks):
+            n = found[f"n{i}"] or 0
+            failed = int(n == 0) if isinstance(check, NonEmptyCheck) else n
+            rows.append((check.name, table, check.column, failed, "FAIL" if failed else "PASS"))
+        return rows
+
+    return watched, results
+
+
+def key_checks(tables: dict[str, DataFrame], suite: Sequence[TableChecks]) -> list[tuple]:
+    """The results of the checks that compare rows, unique keys and references, as rows of a report."""
+    kept = {t: [c for c in checks if not isinstance(c, RowCheck | NonEmptyCheck)] for t, checks in _merged(suite).items()}
+    asked = [TableChecks(table, checks) for table, checks in kept.items() if checks]
+    return [tuple(r) for r in run_checks(tables, asked).select(*RESULT_COLUMNS).collect()] if asked else []
+
+
 def failing_rows(df: DataFrame, check: RowCheck) -> DataFrame:
     """The rows behind a count."""
     return df.filter(check.broken)

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Up to so many values of a key are asked for by value in a scan (operators.loading.FEW_KEYS).
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # The JVM does not compile methods above 8000 bytes; past that, Spark's split code is faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording a call site for every column expression doubles the time to build a query.
