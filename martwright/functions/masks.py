@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from martwright.domain import EMAIL_PATTERN, HIDDEN, NAME_PATTERN, PHONE_PATTERN
 
 # The strict forms match the whole value (also over line breaks) and accept any letter.
-_STRICT_EMAIL = r"(?s)\A([a-zA-Z0-9]).*(@[^@\s]+)\z"
-_STRICT_PHONE = r"\A\s*(\+\d{1,3})\s+\d{3,}\s+\d{3,}\s+(\d{4})\s*\z"
-_STRICT_NAME = r"(?s)\A(\p{L}).*\z"
+STRICT_EMAIL = r"(?s)\A([a-zA-Z0-9]).*(@[^@\s]+)\z"
+STRICT_PHONE = r"\A\s*(\+\d{1,3})\s+\d{3,}\s+\d{3,}\s+(\d{4})\s*\z"
+STRICT_NAME = r"(?s)\A(\p{L}).*\z"
+EMAIL_SHOWN, PHONE_SHOWN, NAME_SHOWN = "$1***$2", "$1 *** *** $2", "$1***"
 
 
 def _mask(value: Column, loose: str, strict_form: str, replacement: str, strict: bool) -> Column:
@@ -26,14 +27,14 @@ def _mask(value: Column, loose: str, strict_form: str, replacement: str, strict:
 
 def mask_email(value: Column, strict: bool = True) -> Column:
     """``john.smith@gmail.com`` becomes ``j***@gmail.com``."""
-    return _mask(value, EMAIL_PATTERN, _STRICT_EMAIL, "$1***$2", strict)
+    return _mask(value, EMAIL_PATTERN, STRICT_EMAIL, EMAIL_SHOWN, strict)
 
 
 def mask_phone(value: Column, strict: bool = True) -> Column:
     """``+44 7123 456 7890`` becomes ``+44 *** *** 7890``."""
-    return _mask(value, PHONE_PATTERN, _STRICT_PHONE, "$1 *** *** $2", strict)
+    return _mask(value, PHONE_PATTERN, STRICT_PHONE, PHONE_SHOWN, strict)
 
 
 def mask_full_name(value: Column, strict: bool = True) -> Column:
     """``John Smith`` becomes ``J***``."""
-    return _mask(value, NAME_PATTERN, _STRICT_NAME, "$1***", strict)
+    return _mask(value, NAME_PATTERN, STRICT_NAME, NAME_SHOWN, strict)
