@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions.keys import hash_key
-from martwright.operators.joins import lookup
+from martwright.operators.joins import lookup, split_lookup
 from martwright.operators.sequence import with_shared_sequence_key
 from martwright.sources.schemas import DIM_CUSTOMERS, FCT_ORDERS, document
 
@@ -38,13 +38,19 @@ def build_dim_customers(
 
 
 def build_fct_orders(
-    stg_orders: DataFrame, dim_customers: DataFrame, keys: str = "hash", start: int = 1
+    stg_orders: DataFrame, dim_customers: DataFrame, keys: str = "hash", start: int = 1, split_share: float | None = None
 ) -> DataFrame:
     """A row for each staged order and customer of its in the dimension.
 
-    The region is kept on the fact, so a role's row filter needs no join.
+    The region is kept on the fact, so a role's row filter needs no join. With ``split_share`` customers
+    who hold at least that share of the orders are found first and their orders dealt to several
+    tasks, for sessions in which adaptive execution does not split them.
     """
-    found = lookup(stg_orders, dim_customers.select("customer_id", "customer_key"), "customer_id")
+    people = dim_customers.select("customer_id", "customer_key")
+    if split_share is None:
+        found = lookup(stg_orders, people, "customer_id")
+    else:
+        found = split_lookup(stg_orders, people, "customer_id", split_share)
     found = found.withColumnRenamed("region", "order_region").select(
         "order_id",
         "customer_key",

@@ -266,3 +266,97 @@ def kpis(raw_customers: DataFrame, raw_orders: DataFrame) -> DataFrame:
         F.lit(0),
     )
     return totals.withColumn("avg_order_value", per_order.cast("decimal(31,2)"))
+
+
+# All distributions in one pass.
+
+
+def _distributions(df: DataFrame, labels: dict[str, Column], sets: dict[str, list[str]], *measures: Column) -> DataFrame:
+    """(distribution, label, label_2, ...measures): several groupings of one table, from one scan.
+
+    Spark repeats a row per grouping in the map task and combines it there, so what is shuffled is a row
+    per group and task. A group whose label is null keeps it; the grouping id tells it from a label
+    that is not part of the grouping. An empty table has no rows, not even a total.
+    """
+    named = df.select("*", *(c.alias(f"_{name}") for name, c in labels.items()))
+    order = list(labels)
+    groupings = [[F.col(f"_{label}") for label in asked] for asked in sets.values()]
+    grouped = named.groupingSets(groupings, *(F.col(f"_{label}") for label in order))
+    ids = F.grouping_id(*(f"_{label}" for label in order)).alias("_id")
+    found = grouped.agg(ids, *measures)
+    parts = F
+
+    def number(asked: list[str]) -> int:
+        """The grouping id has a bit for each label that is left out, the first label's highest."""
+        return sum(1 << (len(order) - 1 - i) for i, label in enumerate(order) if label not in asked)
+
+    for name, asked in sets.items():
+        row = F.struct(
+            F.lit(name).alias("distribution"),
+            (F.col(f"_{asked[0]}").cast("string") if asked else F.lit(None).cast("string")).alias("label"),
+            (F.col(f"_{asked[1]}").cast("string") if len(asked) > 1 else F.lit(None).cast("string")).alias("label_2"),
+        )
+        parts = parts.when(F.col("_id") == number(asked), row)
+    values = [c for c in found.columns if c not in {"_id", *(f"_{label}" for label in order)}]
+    return found.select(parts.alias("_row"), *values).select("_row.*", *values)
+
+
+def order_distributions(raw_orders: DataFrame) -> DataFrame:
+    """Orders and value by region, category, status, payment, quantity, month and region, and in total.
+
+    One scan of the orders gives what the single reports give: (distribution, label, label_2, orders,
+    net_revenue).
+    """
+    labels = {
+        "region": F.col("region"),
+        "category": label(raw_orders, "product_category"),
+        "status": label(raw_orders, "order_status"),
+        "payment": label(raw_orders, "payment_method"),
+        "bucket": quantity_bucket(F.col("quantity")),
+        "month": _month(),
+    }
+    sets = {
+        "region": ["region"],
+        "product_category": ["category"],
+        "order_status": ["status"],
+        "payment_method": ["payment"],
+        "quantity": ["bucket"],
+        "month": ["month", "region"],
+        "all": [],
+    }
+    return _distributions(raw_orders, labels, sets, F.count("*").alias("orders"), _net_revenue().alias("net_revenue"))
+
+
+def customer_distributions(raw_customers: DataFrame) -> DataFrame:
+    """Customers by region, country and gender, and in total, from one scan: (distribution, label, customers)."""
+    labels = {name: label(raw_customers, name) for name in ("region", "country", "gender")}
+    sets = {**{name: [name] for name in labels}, "all": []}
+    return _distributions(raw_customers, labels, sets, F.count("*").alias("customers")).drop("label_2")
+
+
+# Distinct buyers from states that can be merged.
+
+
+def buyer_states(fct: DataFrame, bits: int = 12) -> DataFrame:
+    """(order_date, order_region, orders, buyers): per day and region a sketch of its buyers.
+
+    A state has a fixed size of a few kilobytes, however many orders a day has, and is merged with others
+    at read time; the relative standard error is about 1.04 / sqrt(2 ** bits).
+    """
+    return fct.groupBy("order_date", "order_region").agg(
+        F.count("*").alias("orders"), F.hll_sketch_agg("customer_key", F.lit(bits)).alias("buyers")
+    )
+
+
+def distinct_buyers(states: DataFrame, first: str, last: str) -> DataFrame:
+    """Orders and an estimate of the distinct buyers per region, in a span of days; the fact is not read."""
+    span = states.filter(F.col("order_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return span.groupBy("order_region").agg(
+        F.sum("orders").alias("orders"), F.hll_sketch_estimate(F.hll_union_agg("buyers")).alias("buyers")
+    )
+
+
+def exact_buyers(fct: DataFrame, first: str, last: str) -> DataFrame:
+    """The same from the fact itself, exactly."""
+    span = fct.filter(F.col("order_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return span.groupBy("order_region").agg(F.count("*").alias("orders"), F.countDistinct("customer_key").alias("buyers"))
