@@ -35,7 +35,10 @@ def email_address(first: Column, last: Column, number: Column, domain: Column) -
 
 def padded_id(prefix: str, number: Column) -> Column:
     """``CUST-00042``: at least five digits, longer numbers are never cut."""
-    return F.format_string(f"{prefix}-%05d", number)
+    digits = number.cast("string")
+    short = (number >= 0) & (number < 100_000)
+    padded = F.when(short, F.lpad(digits, 5, "0")).when(number >= 0, digits)
+    return F.concat(F.lit(f"{prefix}-"), F.coalesce(padded, F.format_string("%05d", number)))
 
 
 def label(df: DataFrame, column: str, missing: str = "Unknown", fill_nulls: bool = False) -> Column:

@@ -7,6 +7,7 @@ that draws from one sequential random stream.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 from decimal import Decimal
 from itertools import accumulate
@@ -41,13 +42,24 @@ EU_COUNTRIES = (
 ITEMS_PER_CATEGORY = 6
 
 
+PRIME = (1 << 31) - 1
+
+
+def multipliers(attribute: str) -> tuple[int, int]:
+    """Two numbers below PRIME for an attribute."""
+    return tuple(zlib.crc32(f"{attribute}/{i}".encode()) % (PRIME - 2) + 1 for i in (1, 2))
+
+
 def draw(number: Column, attribute: str, size: int) -> Column:
     """A repeatable number in ``[0, size)`` for a row and an attribute.
 
-    The leading 32 bits of an md5 over both, so the attributes of a row are independent draws.
+    A square between two products modulo a prime below 2**31: whole numbers that do not overflow, and
+    for a row's attributes as good as independent.
     """
-    digest = F.md5(F.concat(number.cast("string"), F.lit(f"/{attribute}")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(size)
+    a, b = multipliers(attribute)
+    rest = number % F.lit(PRIME)
+    first = (rest * F.lit(a) + F.lit(b)) % F.lit(PRIME)
+    return ((first * first + rest) % F.lit(PRIME) * F.lit(b)) % F.lit(PRIME) % F.lit(size)
 
 
 def pick(values: Sequence, index: Column) -> Column:
@@ -93,9 +105,10 @@ def customers_from(
         *keep,
     )
     parts = [draw(n, "phone_a", 900) + 100, draw(n, "phone_b", 900) + 100, draw(n, "phone_c", 9000) + 1000]
+    digits = F.concat_ws(" ", *(part.cast("string") for part in parts))
     phone = by_region(
-        F.format_string("+44 7%d %d %d", *parts),
-        F.format_string("+%d %d %d %d", draw(n, "prefix", 19) + 31, *parts),
+        F.concat(F.lit("+44 7"), digits),
+        F.concat(F.lit("+"), (draw(n, "prefix", 19) + 31).cast("string"), F.lit(" "), digits),
     )
     birth = F.make_date(
         (draw(n, "birth_year", 56) + 1950).cast("int"),

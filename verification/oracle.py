@@ -12,7 +12,7 @@ from itertools import accumulate
 from martwright import domain
 from martwright.sources import synthetic as s
 from verification import tables as t
-from verification.queries import HISTORY_END, SHORT_ROLES, SINCE_END
+from verification.queries import BUYERS_FROM, BUYERS_TO, HISTORY_END, SHORT_ROLES, SINCE_END, order_lines
 
 D = "CAST({} AS DOUBLE)".format
 I = "CAST({} AS BIGINT)".format  # noqa: E741
@@ -23,7 +23,10 @@ S = "CAST({} AS VARCHAR)".format
 
 
 def _draw(number: str, attribute: str, size: int) -> str:
-    return f"(CAST('0x' || substr(md5({number} || '/{attribute}'), 1, 8) AS BIGINT) % {size})"
+    a, b = s.multipliers(attribute)
+    rest = f"(CAST({number} AS BIGINT) % {s.PRIME})"
+    first = f"(({rest} * {a} + {b}) % {s.PRIME})"
+    return f"((({first} * {first} + {rest}) % {s.PRIME} * {b}) % {s.PRIME} % {size})"
 
 
 def _texts(values) -> str:
@@ -137,7 +140,13 @@ _FITS = "(CAST(quantity AS BIGINT) * CAST(unit_price * 100 AS BIGINT) * 120 + 50
 TODAY = f"DATE '{t.AS_OF}'"
 
 
-def _with(dirty: bool) -> str:
+def _firsts(rows: str, key: str) -> str:
+    """The first row of each key, as a load of raw rows keeps it."""
+    return f"""SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER
+      (PARTITION BY {key} ORDER BY created_at NULLS LAST) AS r FROM ({rows}) WHERE {key} IS NOT NULL) WHERE r = 1"""
+
+
+def _with(dirty: bool, loaded: bool = False) -> str:
     """The raw, staging and mart tables as common table expressions."""
     customers = _customers(
         "customer JOIN nation ON c_nationkey = n_nationkey", "c_custkey", "n_name"
@@ -153,6 +162,8 @@ def _with(dirty: bool) -> str:
         order_rows = _spoilt("o0", ORDER_COLUMNS, t.ORDER_DEFECTS, t.ORDER_CYCLE)
     else:
         customer_rows, order_rows = "SELECT * EXCLUDE (n) FROM c0", "SELECT * EXCLUDE (n) FROM o0"
+    if loaded:
+        customer_rows, order_rows = _firsts(customer_rows, "customer_id"), _firsts(order_rows, "order_id")
     return f"""WITH c0 AS ({customers}),
 o0 AS ({orders}),
 raw_customers AS ({customer_rows}),
@@ -185,7 +196,7 @@ fct_orders AS (
 """
 
 
-CLEAN, DIRTY = _with(False), _with(True)
+CLEAN, DIRTY, LOADED = _with(False), _with(True), _with(True, loaded=True)
 _FACT_PENCE = t.defect_sql("total_pence", {
     "total_pence": [(1, "total_pence + 3"), (2, "total_pence + 2"), (4, "NULL")]
 }, "coalesce(CAST(substr(order_id, 5) AS BIGINT), 0)", t.ORDER_CYCLE)
@@ -265,6 +276,15 @@ ORACLE["insert_dim_customers"] = f"""{DIRTY}, old AS (
         row_number() OVER (PARTITION BY customer_id ORDER BY customer_since NULLS LAST) AS r
       FROM dim_customers WHERE customer_id NOT IN (SELECT customer_id FROM old))
     WHERE r = 1)"""
+_LINE = """order_id || ',' || customer_id || ',' || order_date || ',' || order_status || ',' || payment_method || ',' ||
+  product_category || ',"' || product_description || '",' || quantity || ',' || unit_price || ',' || region || ',' || order_date || 'T00:00:00.000Z'"""
+_SEEDED = f"""{CLEAN}, seeded AS (SELECT *, {order_lines('', 'n')} AS given FROM (
+    SELECT *, CAST(order_date AS VARCHAR) AS order_day, CAST(quantity AS VARCHAR) AS items, {_LINE} AS line FROM o0))"""
+ORACLE["quarantined_orders"] = f"""{_SEEDED} SELECT 'raw_orders' AS seed, given AS line, CASE n % 97
+  WHEN 1 THEN 'not of its type: order_date' WHEN 2 THEN '12 values instead of 11'
+  WHEN 3 THEN '1 values instead of 11' ELSE 'not of its type: quantity' END AS reason
+  FROM seeded WHERE n % 97 BETWEEN 1 AND 4"""
+ORACLE["parsed_orders"] = f"{_SEEDED} SELECT {_ORDER_OUT} FROM seeded WHERE n % 97 NOT BETWEEN 1 AND 4"
 ORACLE["default_timestamps"] = f"""{DIRTY} SELECT customer_id, {D('1')} AS filled,
   CASE WHEN created_at IS NOT NULL THEN {D('1')} END AS kept FROM raw_customers"""
 ORACLE["synthetic_customers"] = (
@@ -296,13 +316,15 @@ ORACLE["stg_orders_upper_status"] = f"""{DIRTY} SELECT order_id,
   upper(trim(order_status)) AS order_status, {_title('payment_method')} AS payment_method,
   upper(trim(region)) AS region FROM raw_orders
   WHERE quantity > 0 AND unit_price >= 0 AND order_date IS NOT NULL AND {_FITS}"""
-ORACLE["rejected_rows"] = f"""{DIRTY} SELECT order_id, {D('quantity')} AS quantity,
-  {D('unit_price')} AS unit_price, {S('order_date')} AS order_date, reject_reason FROM (
-    SELECT *, CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'quantity'
+_REJECTED = f"""SELECT *, CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'quantity'
       WHEN unit_price IS NULL OR unit_price < 0 THEN 'unit_price'
       WHEN order_date IS NULL THEN 'order_date'
-      WHEN NOT {_FITS} THEN 'amount' END AS reject_reason FROM raw_orders)
+      WHEN NOT {_FITS} THEN 'amount' END AS reject_reason FROM raw_orders"""
+ORACLE["rejected_rows"] = f"""{DIRTY} SELECT order_id, {D('quantity')} AS quantity,
+  {D('unit_price')} AS unit_price, {S('order_date')} AS order_date, reject_reason FROM ({_REJECTED})
   WHERE reject_reason IS NOT NULL"""
+ORACLE["rejected_ids"] = f"""{LOADED} SELECT order_id, reject_reason FROM ({_REJECTED})
+  WHERE reject_reason IS NOT NULL AND customer_id IN (SELECT customer_id FROM dim_customers)"""
 ORACLE["order_amounts"] = f"""{CLEAN} SELECT order_id, {_pounds('pence')} AS gross_amount,
   {_pounds('tax_pence')} AS tax_amount, {_pounds('total_pence')} AS total_amount FROM stg_orders"""
 _LEAP = "DATE '2021-02-28'"
@@ -393,6 +415,7 @@ ORACLE["insert_sequence_keys"] = f"""{CLEAN}, first AS (
     (SELECT * FROM first UNION ALL SELECT * FROM later) LEFT JOIN
     (SELECT customer_id, count(*) AS total_orders FROM stg_orders GROUP BY 1) USING (customer_id)
   WHERE total_orders IS NOT NULL"""
+ORACLE["interrupted_refresh"] = ORACLE["insert_late_orders"]
 _VISIBLE = dict(zip(SHORT_ROLES, ("TRUE", "{} = 'UK'", "{} = 'EU'", "FALSE")))
 
 
@@ -409,6 +432,11 @@ for _short in SHORT_ROLES:
     ORACLE[f"fct_orders_as_{_short}"] = f"""{DIRTY} SELECT {_FCT_OUT} FROM fct_orders
   WHERE {_VISIBLE[_short].format('order_region')}"""
 ORACLE["dim_customers_loose_masks"] = _dim_as("uk_analyst", _LOOSE)
+ORACLE["dim_customers_by_function"] = DIRTY + " UNION ALL ".join(
+    _dim_as(short, masks).replace(f"{DIRTY} SELECT ", f"SELECT '{short}' AS role, {strict} AS strict, ")
+    for short in SHORT_ROLES
+    for strict, masks in (("TRUE", _STRICT), ("FALSE", _LOOSE))
+)
 
 
 def _policy_report(table: str, region: str) -> str:
@@ -474,11 +502,18 @@ ORACLE["sql_over_secured_views"] = f"""{CLEAN} SELECT d.country, count(*) AS ord
   FROM dim_customers d JOIN fct_orders f ON d.customer_key = f.customer_key
   WHERE d.region = 'EU' AND f.order_region = 'EU' GROUP BY d.country"""
 
+ORACLE["sql_over_functions"] = ORACLE["sql_over_secured_views"].replace("AS spend", "AS spend, 'x***@z.example' AS shown, FALSE AS uk")
+ORACLE["older_versions"] = f"""{CLEAN} SELECT version, order_region, count(*) AS total_orders, {_pounds('sum(total_pence)')} AS total_revenue
+  FROM fct_orders JOIN (SELECT 'second' AS version, customer_id FROM raw_customers UNION ALL
+    SELECT 'first', customer_id FROM raw_customers WHERE created_at < TIMESTAMP '{SINCE_END}') USING (customer_id)
+  GROUP BY version, order_region"""
+
 # Marts and joins.
 
 ORACLE["dim_customers"] = f"""{DIRTY} SELECT {_DIM_OUT}, {S('date_of_birth')} AS date_of_birth,
   {S('updated_at')} AS updated_at FROM dim_customers"""
 ORACLE["fct_orders"] = f"{DIRTY} SELECT {_FCT_OUT} FROM fct_orders"
+ORACLE["split_fct_orders"] = ORACLE["fct_orders"]
 ORACLE["orphan_raw_orders"] = f"""{DIRTY} SELECT order_id, customer_id, {S('order_date')} AS order_date
   FROM raw_orders o WHERE NOT EXISTS
     (SELECT 1 FROM raw_customers c WHERE c.customer_id = o.customer_id)"""
@@ -501,6 +536,9 @@ ORACLE["customer_spend"] = f"""{CLEAN} SELECT d.country, d.region,
   {_pounds('max(total_pence)')} AS largest_order
   FROM dim_customers d JOIN fct_orders f ON d.customer_key = f.customer_key
   GROUP BY d.country, d.region"""
+ORACLE["bucketed_customer_spend"] = ORACLE["customer_spend"]
+ORACLE["exact_buyers_of_a_year"] = f"""{CLEAN} SELECT order_region, count(*) AS orders, count(DISTINCT customer_key) AS buyers
+  FROM fct_orders WHERE order_date BETWEEN DATE '{BUYERS_FROM}' AND DATE '{BUYERS_TO}' GROUP BY order_region"""
 ORACLE["monthly_revenue"] = f"""{CLEAN} SELECT strftime(order_date, '%Y-%m') AS month, order_region,
   count(*) AS orders, {_pounds('sum(total_pence)')} AS revenue FROM fct_orders GROUP BY 1, 2"""
 ORACLE["status_distribution"] = f"""{CLEAN} SELECT order_status, order_count,
@@ -574,6 +612,30 @@ ORACLE["quantity_histogram"] = f"""{CLEAN} SELECT {D('position')} AS position, b
       CASE WHEN quantity <= 1 THEN 1 WHEN quantity <= 3 THEN 2 WHEN quantity <= 6 THEN 3
         WHEN quantity <= 12 THEN 4 WHEN quantity <= 24 THEN 5 ELSE 6 END AS position
     FROM raw_orders) GROUP BY position, bucket"""
+_BUCKET = """CASE WHEN quantity <= 1 THEN '1' WHEN quantity <= 3 THEN '2-3' WHEN quantity <= 6 THEN '4-6'
+  WHEN quantity <= 12 THEN '7-12' WHEN quantity <= 24 THEN '13-24' WHEN quantity > 24 THEN '25+' END"""
+_MONTH = "coalesce(strftime(order_date, '%Y-%m'), '')"
+
+
+def _distribution(table: str, name: str, label: str, label_2: str | None, measures: str) -> str:
+    second = f", {label_2 or 'CAST(NULL AS VARCHAR)'} AS label_2" if label_2 != "" else ""
+    groups = "" if label == "CAST(NULL AS VARCHAR)" else f" GROUP BY {label}{f', {label_2}' if label_2 else ''}"
+    return f"SELECT '{name}' AS distribution, {label} AS label{second}, {measures} FROM {table}{groups}"
+
+
+ORACLE["order_distributions"] = DIRTY + " UNION ALL ".join(
+    _distribution("raw_orders", name, label, label_2, f"count(*) AS orders, {_NET} AS net_revenue")
+    for name, label, label_2 in (
+        *((c, c, None) for c in ("region", "product_category", "order_status", "payment_method")),
+        ("quantity", _BUCKET, None),
+        ("month", _MONTH, "region"),
+        ("all", "CAST(NULL AS VARCHAR)", None),
+    )
+)
+ORACLE["customer_distributions"] = DIRTY + " UNION ALL ".join(
+    _distribution("raw_customers", name, label, "", "count(*) AS customers")
+    for name, label in (*((c, c) for c in ("region", "country", "gender")), ("all", "CAST(NULL AS VARCHAR)"))
+)
 ORACLE["kpis"] = f"""{CLEAN} SELECT c.n AS total_customers, o.n AS total_orders,
   {_pounds('o.pence')} AS total_revenue, {_mean('o.pence', 'o.n')} AS avg_order_value
   FROM (SELECT count(*) AS n FROM raw_customers) c,
@@ -766,6 +828,7 @@ ORACLE["declared_mart_checks"] = _BOTH + " UNION ALL ".join(_MART_CHECKS)
 ORACLE["asserted_raw_checks"] = DIRTY + " UNION ALL ".join(_ASSERTED_RAW)
 ORACLE["asserted_mart_checks"] = _BOTH + " UNION ALL ".join(_asserted_marts("spoilt"))
 ORACLE["clean_mart_checks"] = CLEAN + " UNION ALL ".join(_asserted_marts("fct_orders"))
+ORACLE["guarded_refresh"] = LOADED + " UNION ALL ".join(_asserted_marts("fct_orders"))
 _DEFINED = {
     "raw_customers": (
         "customer_id customer_full_name customer_email country region", "customer_id=20 region=4 gender=4"
@@ -814,6 +877,30 @@ ORACLE["data_dictionary"] = DIRTY + " UNION ALL ".join(
     for table, names in _DICTIONARY.items()
     for i, c in enumerate(names, 1)
 )
+_PLAIN = {
+    "customer_age": "int", "quantity": "int", "date_of_birth": "date", "order_date": "date", "customer_since": "date",
+    "created_at": "timestamp", "updated_at": "timestamp", "unit_price": "decimal(10,2)",
+    "gross_amount": "decimal(12,2)", "tax_amount": "decimal(12,2)", "total_amount": "decimal(12,2)",
+}
+_STORED = _DICTIONARY | {
+    "dim_customers": "customer_key customer_id customer_full_name customer_email customer_phone country region gender customer_age customer_since updated_at".split(),
+    "fct_orders": (
+        "order_key order_id customer_key customer_id order_date order_status payment_method product_category product_description "
+        "quantity unit_price gross_amount tax_amount total_amount order_region created_at"
+    ).split(),
+}
+_KEYS = {
+    ("raw_customers", "customer_id"): "'primary'", ("raw_orders", "order_id"): "'primary'", ("dim_customers", "customer_key"): "'primary'",
+    ("fct_orders", "order_key"): "'primary'", ("raw_orders", "customer_id"): "'references raw_customers.customer_id'",
+    ("fct_orders", "customer_key"): "'references dim_customers.customer_key'",
+}
+_IN_PENCE = {"gross_amount": "pence", "tax_amount": "tax_pence", "total_amount": "total_pence"}
+ORACLE["catalog_dictionary"] = CLEAN + " UNION ALL ".join(
+    f"""SELECT '{table}' AS table_name, {D(str(i))} AS position, '{c}' AS column_name, '{_PLAIN.get(c, 'string')}' AS data_type,
+  {_KEYS.get((table, c), 'CAST(NULL AS VARCHAR)')} AS key, (SELECT count({_IN_PENCE.get(c, c)}) FROM {table}) AS known_rows"""
+    for table, names in _STORED.items()
+    for i, c in enumerate(names, 1)
+)
 _ALL = dict.fromkeys(
     _SOURCE_CHECKS + _STAGING_CHECKS + _MART_CHECKS + _ASSERTED_RAW + _asserted_marts("spoilt")
 )

@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import reduce
+from uuid import uuid4
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.domain import MAX_AGE, MIN_AGE, ORDER_STATUSES, REGIONS
 from martwright.functions import dates, keys, masks, money, text
-from martwright.operators import access, quality
+from martwright.operators import access, policies, quality
 from martwright.operators.joins import orphan_keys, orphans
 from martwright.operators.loading import first_per_key, insert_if_absent, rows_to_insert
 from martwright.operators.sequence import with_sequence_key
-from martwright.plans import reports, suites
-from martwright.plans.build import SCHEMAS, Warehouse, add_raw, add_to_marts, build_marts, load_raw
+from martwright.plans import bucketed, catalog, reports, suites
+from martwright.plans.build import REJECTED, SCHEMAS, Warehouse, add_raw, add_to_marts, build_marts, load_raw
 from martwright.plans.marts import build_dim_customers, build_fct_orders
 from martwright.plans.staging import rejected_orders, stage_customers, stage_orders
 from martwright.sources import schemas
 from martwright.sources.schemas import document
-from martwright.sources.seeds import read_seed, with_load_times, write_seed
+from martwright.sources.seeds import read_seed, read_seed_sorted, with_load_times, write_seed
 from martwright.sources.synthetic import customers_from, orders_from
 from martwright.sources.tables import read_table, refresh_table, scratch_path
 from verification import tables as t
@@ -162,6 +167,106 @@ def insert_sequence_keys(spark, folder):
     return warehouse.read("dim_customers").join(orders, "customer_key").select("customer_key", "customer_id", "total_orders")
 
 
+# Versions of the stored tables.
+
+
+@query
+def interrupted_refresh(spark, folder):
+    """A load that dies while it writes the orders leaves the tables of before."""
+    warehouse = _warehouse(spark, folder)
+    build_marts(warehouse, t.AS_OF)
+    raw = t.raw(spark, folder)
+    broken = F.when(F.col("quantity") > 6, F.raise_error(F.lit("lost"))).otherwise(F.col("order_id"))
+    try:
+        load_raw(warehouse, raw["raw_customers"], raw["raw_orders"].withColumn("order_id", broken))
+    except (PySparkException, Py4JJavaError):  # several tasks may have failed
+        return warehouse.read("fct_orders")
+    raise AssertionError("the load should have failed")
+
+
+@query
+def older_versions(spark, folder):
+    """The orders per region before and after later customers were added, each read by its version."""
+    warehouse = _warehouse(spark, folder, SINCE_END)
+    first = add_to_marts(warehouse, t.AS_OF)
+    add_raw(warehouse, *t.raw(spark, folder).values())
+    second = add_to_marts(warehouse, t.AS_OF)
+    parts = [
+        reports.revenue_by_region(warehouse.at(version).read("fct_orders")).select(F.lit(name).alias("version"), "order_region", "total_orders", "total_revenue")
+        for name, version in (("first", first), ("second", second))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def guarded_refresh(spark, folder):
+    """A build whose rows break rules is not shown: the report of the refused build."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    load_raw(warehouse, *t.raw(spark, folder, dirty=True).values())
+    try:
+        build_marts(warehouse, t.AS_OF, guard=suites.asserted_marts())
+    except quality.ChecksFailed as refused:
+        assert warehouse.read("fct_orders").isEmpty()
+        return spark.createDataFrame(refused.report, "check_name string, table_name string, column_name string, failed_rows bigint, status string")
+    raise AssertionError("the build should have been refused")
+
+
+@query
+def rejected_ids(spark, folder):
+    """The ids that staging left out are stored, and no later load looks at them again."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    load_raw(warehouse, *t.raw(spark, folder, dirty=True).values())
+    add_to_marts(warehouse, t.AS_OF)
+    add_to_marts(warehouse, t.AS_OF)
+    return warehouse.read(REJECTED)
+
+
+# Seeds with bad lines.
+
+SEED_CYCLE = 97
+# remainder of the order's number -> the line as it should not be
+BAD_LINES = {
+    1: "replace(line, ',' || order_day || ',', ',someday,')",
+    2: "line || ',one more'",
+    3: "substr(line, 1, 9)",
+    4: "replace(line, ',' || items || ',', ',several,')",
+}
+
+
+def order_lines(orders, number: str) -> str:
+    """SQL of a seed line for an order, with BAD_LINES put in by a rule on the order's number."""
+    cases = " ".join(f"WHEN {number} % {SEED_CYCLE} = {rest} THEN {bad}" for rest, bad in BAD_LINES.items())
+    return f"CASE {cases} ELSE line END"
+
+
+def _spoiled_seed(spark, folder) -> str:
+    numbered = t.numbered_orders(spark, folder)
+    text = {"order_day": F.col("order_date").cast("string"), "items": F.col("quantity").cast("string")}
+    line = F.concat_ws(
+        ",", "order_id", "customer_id", text["order_day"], "order_status", "payment_method", "product_category",
+        F.concat(F.lit('"'), "product_description", F.lit('"')), text["items"], F.col("unit_price").cast("string"), "region",
+        F.concat(text["order_day"], F.lit("T00:00:00.000Z")),
+    )
+    named = numbered.select("n", *(c.alias(k) for k, c in text.items()), line.alias("line"))
+    lines = named.select(F.expr(order_lines("", "n")).alias(",".join(schemas.columns(schemas.RAW_ORDERS))))
+    path = scratch_path(spark, "seed-lines")
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
+    return path
+
+
+@query
+def quarantined_orders(spark, folder):
+    """Seed lines that do not parse, with what is wrong with them."""
+    _, quarantine = read_seed_sorted(spark, "raw_orders", _spoiled_seed(spark, folder))
+    return quarantine.select("seed", "line", "reason")
+
+
+@query
+def parsed_orders(spark, folder):
+    """The other lines of the same seed, typed."""
+    return read_seed_sorted(spark, "raw_orders", _spoiled_seed(spark, folder))[0]
+
+
 @query
 def default_timestamps(spark, folder):
     raw = t.raw_customers(spark, folder, dirty=True)
@@ -416,6 +521,48 @@ def sql_over_secured_views(spark, folder):
     )
 
 
+def _functions(spark, folder, dirty) -> None:
+    mart = t.marts(spark, folder, dirty)
+    policies.register_functions({"dim_customers": mart["dim_customers"].drop("updated_at"), "fct_orders": mart["fct_orders"]})
+
+
+@query
+def dim_customers_by_function(spark, folder):
+    """The customers that each role sees through the SQL function, with strict and loose masks."""
+    _functions(spark, folder, dirty=True)
+    parts = [
+        spark.sql(f"SELECT '{short}' AS role, {str(strict).lower()} AS strict, * FROM secured_dim_customers('{role}', {str(strict).lower()})")
+        for short, role in SHORT_ROLES.items()
+        for strict in (True, False)
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query
+def sql_over_functions(spark, folder):
+    """Plain SQL over the secured tables of an analyst; the masks as functions of single values."""
+    _functions(spark, folder, dirty=False)
+    return spark.sql(
+        """SELECT d.country, count(*) AS orders, sum(f.total_amount) AS spend,
+             max(mask_email('x.y@z.example', 'DATA_ANALYST_EU')) AS shown, max(may_see('UK', 'DATA_ANALYST_EU')) AS uk
+           FROM secured_dim_customers('DATA_ANALYST_EU') d
+           JOIN secured_fct_orders('DATA_ANALYST_EU') f ON d.customer_key = f.customer_key
+           GROUP BY d.country"""
+    )
+
+
+@query
+def catalog_dictionary(spark, folder):
+    """Columns, types and keys of the stored tables as the catalog has them, after a refresh."""
+    warehouse, database = _warehouse(spark, folder), f"mart_{uuid4().hex[:12]}"
+    catalog.register(warehouse, database)
+    build_marts(warehouse, t.AS_OF)
+    tables = catalog.register(warehouse, database)
+    found = catalog.dictionary(spark, database).filter("description IS NOT NULL AND table_description IS NOT NULL")
+    known = catalog.known_values(spark, database, tables)
+    return found.join(known, ["table_name", "column_name"]).select("table_name", "position", "column_name", "data_type", "key", "known_rows")
+
+
 # Marts and joins.
 
 
@@ -443,6 +590,13 @@ def orphan_customer_ids(spark, folder):
     return orphan_keys(tables["raw_orders"], tables["raw_customers"], "customer_id", "customer_id")
 
 
+@query
+def split_fct_orders(spark, folder):
+    """The fact with the orders of frequent buyers dealt to several tasks."""
+    tables = t.staging(spark, folder, dirty=True)
+    return build_fct_orders(tables["stg_orders"], build_dim_customers(tables["stg_customers"]), split_share=0.0008)
+
+
 # Reports over the marts.
 
 
@@ -480,9 +634,44 @@ def hierarchy_counts(spark, folder):
     )
 
 
+@query
+def bucketed_customer_spend(spark, folder):
+    """Spend over marts in buckets, part of whose orders were appended."""
+    mart, database = t.marts(spark, folder), f"buckets_{uuid4().hex[:12]}"
+    old = F.col("order_date") < HISTORY_END
+    bucketed.store_buckets({"dim_customers": mart["dim_customers"], "fct_orders": mart["fct_orders"].filter(old)}, database, scratch_path(spark, "buckets"), 4)
+    bucketed.append_buckets("fct_orders", mart["fct_orders"].filter(~old), database, 4)
+    return reports.customer_spend(*bucketed.read_buckets(spark, database).values())
+
+
+BUYERS_FROM, BUYERS_TO = "1996-01-01", "1996-12-31"
+
+
+@query
+def buyers_of_a_year(spark, folder):
+    """Distinct buyers in a span of days, estimated from states per day."""
+    states = stored(reports.buyer_states(t.marts(spark, folder)["fct_orders"]), "buyers")
+    return reports.distinct_buyers(states, BUYERS_FROM, BUYERS_TO)
+
+
+@query
+def exact_buyers_of_a_year(spark, folder):
+    return reports.exact_buyers(t.marts(spark, folder)["fct_orders"], BUYERS_FROM, BUYERS_TO)
+
+
 # Reports over the raw tables.
 
 
+@query
+def order_distributions(spark, folder):
+    return reports.order_distributions(t.raw_orders(spark, folder, dirty=True))
+
+
+@query
+def customer_distributions(spark, folder):
+    return reports.customer_distributions(t.raw_customers(spark, folder, dirty=True))
+
+
 @query
 def customers_by_region(spark, folder):
     return reports.customers_by(t.raw_customers(spark, folder), "region")
@@ -617,13 +806,14 @@ def stored(df, name):
     return read_table(df.sparkSession, path, df.schema)
 
 
-def _all_tables(spark, folder, dirty):
-    tables = t.raw(spark, folder, dirty)
-    tables["stg_customers"] = stage_customers(tables["raw_customers"], t.AS_OF)
-    tables["stg_orders"] = stage_orders(tables["raw_orders"])
-    tables["dim_customers"] = build_dim_customers(tables["stg_customers"])
+def _all_tables(spark, folder, dirty, keep=lambda df, name: df):
+    """Every layer, derived from what ``keep`` makes of the layer before."""
+    tables = {n: keep(df, n) for n, df in t.raw(spark, folder, dirty).items()}
+    tables["stg_customers"] = keep(stage_customers(tables["raw_customers"], t.AS_OF), "stg_customers")
+    tables["stg_orders"] = keep(stage_orders(tables["raw_orders"]), "stg_orders")
+    tables["dim_customers"] = keep(build_dim_customers(tables["stg_customers"]), "dim_customers")
     fct = build_fct_orders(tables["stg_orders"], tables["dim_customers"])
-    tables["fct_orders"] = t.spoiled_fact(fct) if dirty else fct
+    tables["fct_orders"] = keep(t.spoiled_fact(fct) if dirty else fct, "fct_orders")
     return tables
 
 
@@ -647,7 +837,7 @@ _suite("clean_mart_checks", suites.asserted_marts, dirty=False)
 @query
 def quality_report(spark, folder):
     """All suites together, sharing their passes, over tables that are derived and stored once."""
-    tables = {n: stored(df, n) for n, df in _all_tables(spark, folder, True).items()}
+    tables = _all_tables(spark, folder, True, stored)
     return quality.run_checks(tables, suites.declared() + suites.asserted())
 
 

@@ -105,7 +105,27 @@ def scan(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFra
     return read_table(spark, f"{folder}/{table}.parquet", SCHEMAS[table], columns)
 
 
+# (folder, table, dirty) -> where a benchmark has stored the raw table, so that it is not derived again.
+STORED: dict[tuple[str, str, bool], str] = {}
+
+
+def _stored(spark: SparkSession, folder: str, table: str, dirty: bool) -> DataFrame | None:
+    path = STORED.get((folder, table, dirty))
+    return path and read_table(spark, path)
+
+
+def store_raw(spark: SparkSession, folder: str, to: str) -> None:
+    """Derive the raw tables, with and without defects, and read them from ``to`` from now on."""
+    for dirty in (False, True):
+        for table, df in raw(spark, folder, dirty).items():
+            path = f"{to}/{table}-{'dirty' if dirty else 'clean'}"
+            df.write.parquet(path)
+            STORED[folder, table, dirty] = path
+
+
 def raw_customers(spark: SparkSession, folder: str, dirty: bool = False) -> DataFrame:
+    if known := _stored(spark, folder, "raw_customers", dirty):
+        return known
     customer = scan(spark, folder, "customer", "c_custkey", "c_nationkey")
     nation = scan(spark, folder, "nation", "n_nationkey", "n_name")
     numbers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -115,12 +135,20 @@ def raw_customers(spark: SparkSession, folder: str, dirty: bool = False) -> Data
 
 
 def raw_orders(spark: SparkSession, folder: str, dirty: bool = False) -> DataFrame:
+    if known := _stored(spark, folder, "raw_orders", dirty):
+        return known
     orders = scan(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     if not dirty:
         return _orders(orders)
     return _spoiled(orders, "o_orderkey", ORDER_DEFECTS, ORDER_CYCLE, _orders)
 
 
+def numbered_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean raw orders with their number ``n``."""
+    orders = scan(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return _orders(orders, "o_orderkey").withColumnRenamed("o_orderkey", "n")
+
+
 def _customers(numbers: DataFrame, *keep: str) -> DataFrame:
     return customers_from(numbers, "c_custkey", country=F.col("n_name"), keep=keep)
 
