@@ -1,7 +1,7 @@
 """Exact duplicates by an index of cuckoo filters over live digests.
 
-Texts are equal if their SHA-256 digests are. The index has a row per bucket of digests (the leading
-bits decide): a cuckoo filter, and the content: every live digest with the largest doc_id and the
+Texts are equal if their SHA-256 digests are. The index has a row per bucket of digests (the low bits of
+their first 32 decide, so many of them that a bucket has about BUCKET_ROWS rows): a cuckoo filter, and the content: every live digest with the largest doc_id and the
 number of rows of its group. A digest that the filter has not seen is new without a look at the
 content; a hit is verified against the bucket's content, as the filter errs now and then. A filter
 that overflows is built anew at twice the size from the stored digests. Digests can be deleted, so
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from martwright.llm.common import partitions, rows_of, stored, text_of, texts, unused_name
 
-BUCKET_BITS = 16
+BUCKET_BITS, MOST_BITS = 16, 31
+BUCKET_ROWS = 20_000  # of a corpus that needs more than 2 ** BUCKET_BITS buckets
 PARTIAL_ENTRIES = 100_000  # digests that a reading task holds before it hands its groups on
 INDEX_SCHEMA = "bucket int, slots binary, digests array<binary>, keep_ids array<bigint>, sizes array<bigint>"
 EVENT_SCHEMA = "bucket int, kind int, digest binary, keep_id bigint, rows bigint, stored struct<slots binary, digests array<binary>, keep_ids array<bigint>, sizes array<bigint>>"
@@ -202,17 +203,22 @@ def _index(events: DataFrame) -> DataFrame:
     return spread.mapInArrow(_applied, INDEX_SCHEMA)
 
 
-def build_index(rows: DataFrame, bucket_bits: int = BUCKET_BITS) -> DataFrame:
+def bucket_bits(rows: int) -> int:
+    """How many bits of a digest name its bucket in an index of so many rows."""
+    return min(MOST_BITS, max(BUCKET_BITS, (rows // BUCKET_ROWS).bit_length()))
+
+
+def build_index(rows: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
     """The index of the rows (doc_id, digest), a row per bucket that has digests."""
-    return _index(_added(rows, bucket_bits))
+    return _index(_added(rows, bits))
 
 
 def update_index(
-    index: DataFrame, added: DataFrame, removed: DataFrame, remaining: DataFrame, bucket_bits: int = BUCKET_BITS
+    index: DataFrame, added: DataFrame, removed: DataFrame, remaining: DataFrame, bits: int = BUCKET_BITS
 ) -> DataFrame:
     """The index after rows (doc_id, digest) were added and removed.
 
-    ``remaining`` has the rows that the index covered and that were not removed. A digest that lost
+    ``remaining`` has the rows that the index covered and that were not removed, and ``bits`` are those it was built with. A digest that lost
     rows is deleted, and inserted again with what remains of its group.
     """
     lost = removed.select("digest").distinct()
@@ -223,9 +229,9 @@ def update_index(
         F.lit(None).cast("bigint").alias("rows"), F.struct("slots", "digests", "keep_ids", "sizes").alias("stored"),
     )
     events = events.union(
-        lost.select(_bucket("digest", bucket_bits), F.lit(REMOVE), "digest", F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), empty)
+        lost.select(_bucket("digest", bits), F.lit(REMOVE), "digest", F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), empty)
     )
-    return _index(events.union(_added(added.select("doc_id", "digest").union(left), bucket_bits)))
+    return _index(events.union(_added(added.select("doc_id", "digest").union(left), bits)))
 
 
 def content(index: DataFrame) -> DataFrame:
@@ -237,7 +243,7 @@ def content(index: DataFrame) -> DataFrame:
 def _members(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, rows, keep_id, group_size), repeated rows counted."""
     found = stored(digests(docs), "digests")
-    groups = content(build_index(found)).where("group_size > 1").withColumnRenamed("digest", "_digest")
+    groups = content(build_index(found, bucket_bits(found.count()))).where("group_size > 1").withColumnRenamed("digest", "_digest")
     members = found.groupBy("doc_id", "digest").agg(F.count("*").alias("rows"))
     return members.join(groups, F.col("digest") == F.col("_digest"), "left").select(
         "doc_id",

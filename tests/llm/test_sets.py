@@ -45,6 +45,14 @@ def test_a_filter_takes_and_gives_back_digests():
     assert sum(d in again.filter for d in digests[:1500]) < 60  # false hits only
 
 
+def test_buckets_grow_with_the_corpus(docs):
+    assert [exact_dedup.bucket_bits(n) for n in (0, 10**6, 10**9, 10**10, 10**11, 10**15)] == [16, 16, 16, 19, 23, 31]
+    digests = exact_dedup.digests(docs([(i, f"text {i % 50}") for i in range(200)]))
+    for bits in (1, 16, 31):
+        got = exact_dedup.content(exact_dedup.build_index(digests, bits)).collect()
+        assert sorted((r["keep_id"], r["group_size"]) for r in got) == [(150 + i, 4) for i in range(50)]
+
+
 def test_an_index_follows_its_corpus(docs):
     rows = [(1, "a"), (2, "a"), (3, "b"), (4, "c")]
     digests = exact_dedup.digests
