@@ -539,6 +539,7 @@ ORACLE["customer_spend"] = f"""{CLEAN} SELECT d.country, d.region,
 ORACLE["bucketed_customer_spend"] = ORACLE["customer_spend"]
 ORACLE["exact_buyers_of_a_year"] = f"""{CLEAN} SELECT order_region, count(*) AS orders, count(DISTINCT customer_key) AS buyers
   FROM fct_orders WHERE order_date BETWEEN DATE '{BUYERS_FROM}' AND DATE '{BUYERS_TO}' GROUP BY order_region"""
+ORACLE["buyers_of_a_year"] = f"SELECT order_region, orders, TRUE AS near FROM ({ORACLE['exact_buyers_of_a_year']})"
 ORACLE["monthly_revenue"] = f"""{CLEAN} SELECT strftime(order_date, '%Y-%m') AS month, order_region,
   count(*) AS orders, {_pounds('sum(total_pence)')} AS revenue FROM fct_orders GROUP BY 1, 2"""
 ORACLE["status_distribution"] = f"""{CLEAN} SELECT order_status, order_count,
