@@ -1,6 +1,6 @@
 """Fuzzy line dedup by MinHash, in built-in functions throughout.
 
-A line is compared in lower case and trimmed. Its shingles are its ``SHINGLE`` characters from every place (a
+A line is compared in lower case, without the blanks, tabs and carriage returns around it. Its shingles are its ``SHINGLE`` characters from every place (a
 shorter line is one shingle). Signatures are ``BANDS * ROWS`` minima over hashes of these; two lines meet
 in a bucket if all minima of a band are equal, which happens to lines of Jaccard similarity s with
 probability 1 - (1 - s**ROWS)**BANDS: 0.958 at 0.8, 0.991 at 0.85. Lines that meet are verified by the exact
@@ -9,12 +9,13 @@ the first line stays: by doc_id, then by place in the text.
 
 Equal lines are one line from the start: they are merged in the task that reads them and once after the
 shuffle, and only then cut into shingles. The shingles are rows between two aggregations of one stage;
-they are neither stored nor shuffled. Of a bucket of two, both lines are compared unless a bit of each
-minimum, 40 in all, says that they differ in more than ``APART`` of them (0.0005 of pairs at 0.8 do).
-Of a larger bucket, every line is compared with its first, which joins what is mostly alike. Where lines of
-several components are left in a bucket, those of different components are compared: each with each in
-buckets of at most ``PAIRED`` lines; larger ones are crowds and searched by their rarest shingles, of which
-every line has so many that no similar pair of the crowd is missed. So no pair that meets is lost.
+they are neither stored nor shuffled. Of a bucket of two, both lines are a pair. Of a larger bucket, every
+line is one with the first, which joins what is mostly alike. Where lines of several components are left in
+a bucket, those of different components are pairs: each with each in buckets of at most ``PAIRED`` lines;
+larger ones are crowds and searched by their rarest shingles, of which every line has so many that no
+similar pair of the crowd is missed. So no pair that meets is lost, whatever the bucket's size. A pair is
+verified if its signatures allow it: one bit of each minimum must be equal in all but ``APART`` of 40, and
+two bits in all but ``DIFFER``. Of pairs at 0.8, one in a thousand fails that by chance.
 
 Buckets, first lines and lines that very many rows share are joined by broadcast of a bounded number of
 short rows, or dealt over several tasks; texts are never broadcast.
@@ -27,6 +28,8 @@ empty result. Columns besides doc_id and text are ignored.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +38,10 @@ from martwright.llm.components import connected_components
 
 SHINGLE = 5
 BANDS, ROWS = 8, 5
-APART = 11
+APART, DIFFER = 11, 13
 PAIRED = 64
 BLOCK = 8192  # places of a line that are one array at a time
+TOGETHER = 8  # shingles of a row
 SHARE = 5000  # pairs with one first line that a task verifies
 COARSE = 1 << 21  # values of the filters that are broadcast, whatever the input
 PLACE = ("doc_id", "text_hash", "line_no")
@@ -45,7 +49,7 @@ PLACE = ("doc_id", "text_hash", "line_no")
 
 def normal(line: Column | str) -> Column:
     """The line as it is compared; empty if it is blank."""
-    return F.lower(F.trim(F.translate(line, "\t\r", "  ")))
+    return F.lower(F.btrim(line, F.lit(" \t\r")))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -84,27 +88,36 @@ def _salt(k: int) -> int:
 
 
 def signatures(found: DataFrame) -> DataFrame:
-    """(id, twin, doc_id, text_hash, line_no, rows, sketch, band0..) of every distinct line.
+    """(id, twin, doc_id, text_hash, line_no, rows, sketch, second, band0..) of every distinct line.
 
-    The place is the line's first, and ``rows`` the number of its places.
+    The place is the line's first, and ``rows`` the number of its places; ``sketch`` and ``second`` have a bit of
+    each minimum.
     """
     first = F.min(F.struct(*PLACE)).alias("first")
     whole = found.groupBy("id", "twin").agg(F.max("line").alias("line"), first, F.count("*").alias("rows"))
     whole = whole.select("id", "twin", "first.*", "rows", F.encode("line", "UTF-32").alias("chars"), _places(F.col("line")).alias("places"))
     blocks = whole.select("*", F.explode(F.sequence(F.lit(0), F.col("places") - 1, F.lit(BLOCK))).alias("begin"))
-    places = F.sequence("begin", F.least(F.col("begin") + (BLOCK - 1), F.col("places") - 1))
-    hashed = blocks.select("*", F.explode(places).alias("place")).select("id", "twin", *PLACE, "rows", _shingle(F.col("chars"), F.col("place")).alias("hash"))
-    halves = (F.col("hash").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned("hash", 32))
-    hashed = hashed.select("id", "twin", *PLACE, "rows", halves[0].alias("low"), halves[1].alias("high"))
-    least = [F.min(F.col(("low", "high")[k % 2]).bitwiseXOR(F.lit(_salt(k)))).alias(f"m{k}") for k in range(BANDS * ROWS)]
+    places = F.sequence("begin", F.least(F.col("begin") + (BLOCK - 1), F.col("places") - 1), F.lit(TOGETHER))
+    rows = blocks.select("*", F.explode(places).alias("place"))
+    # The last place is repeated where a line ends before its row does; that changes no minimum.
+    some = [_shingle(F.col("chars"), F.least(F.col("place") + j, F.col("places") - 1)).alias(f"h{j}") for j in range(TOGETHER)]
+    hashed = rows.select("id", "twin", *PLACE, "rows", *some)
+    low = [F.col(f"h{j}").bitwiseAND(F.lit((1 << 32) - 1)).alias(f"a{j}") for j in range(TOGETHER)]
+    high = [F.shiftrightunsigned(f"h{j}", 32).alias(f"b{j}") for j in range(TOGETHER)]
+    hashed = hashed.select("id", "twin", *PLACE, "rows", *low, *high)
+
+    def minimum(k: int) -> Column:
+        return F.min(F.least(*(F.col(f"{'ab'[k % 2]}{j}").bitwiseXOR(F.lit(_salt(k))) for j in range(TOGETHER))))
+
+    least = [minimum(k).alias(f"m{k}") for k in range(BANDS * ROWS)]
     same = [F.max(c).alias(c) for c in (*PLACE, "rows")]
     minima = hashed.groupBy("id", "twin").agg(*same, *least)
-    bits = [F.shiftleft(F.col(f"m{k}").bitwiseAND(F.lit(1)), k) for k in range(BANDS * ROWS)]
-    sketch = bits[0]
-    for bit in bits[1:]:
-        sketch = sketch.bitwiseOR(bit)
+
+    def bits(which: int) -> Column:
+        return functools.reduce(Column.bitwiseOR, (F.shiftleft(F.shiftright(f"m{k}", which).bitwiseAND(F.lit(1)), k) for k in range(BANDS * ROWS)))
+
     bands = [F.xxhash64(F.lit(b), *(f"m{k}" for k in range(b * ROWS, (b + 1) * ROWS))).alias(f"band{b}") for b in range(BANDS)]
-    return minima.select("id", "twin", *PLACE, "rows", sketch.alias("sketch"), *bands)
+    return minima.select("id", "twin", *PLACE, "rows", bits(0).alias("sketch"), bits(1).alias("second"), *bands)
 
 
 def _marks(ids: DataFrame, name: str) -> DataFrame:
@@ -135,6 +148,14 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("id"), F.least(a, b).alias("head")]
 
 
+def _hopeful(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs whose signatures allow them to be similar."""
+    bits = signed.select("id", "sketch", "second")
+    both = pairs.join(bits, "id").join(bits.toDF("head", "_sketch", "_second"), "head")
+    differ = F.col("sketch").bitwiseXOR(F.col("_sketch")).bitwiseOR(F.col("second").bitwiseXOR(F.col("_second")))
+    return both.where(F.bit_count(differ) <= DIFFER).select("id", "head").distinct()
+
+
 def _similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """(id, twin, head, head_twin) of the pairs whose shingle sets are similar enough.
 
@@ -204,8 +225,8 @@ def _across(left: DataFrame, known: DataFrame) -> DataFrame:
 def links(signed: DataFrame, found: DataFrame) -> DataFrame:
     """(id, twin, head, head_twin) of similar lines: a graph with the components of all pairs that meet."""
     two, members = _buckets(signed)
-    pairs = stored(two.union(members.where("id != head").select("id", "head")).distinct(), "line-pairs")
-    wanted = pairs.select("id").union(pairs.select("head")).distinct()
+    pairs = stored(_hopeful(two.union(members.where("id != head").select("id", "head")).distinct(), signed), "line-pairs")
+    wanted = pairs.select("id").union(pairs.select("head")).union(members.select("id")).distinct()
     known = _maybe(found, wanted).select("id", "twin", "line").join(wanted, "id", "left_semi")
     known = stored(known.dropDuplicates(["id", "twin"]), "line-texts")
     edges = stored(_similar(pairs, known), "line-links")
@@ -215,7 +236,7 @@ def links(signed: DataFrame, found: DataFrame) -> DataFrame:
     more = _paired(left)
     if not left.where(F.col("n") > PAIRED).isEmpty():
         more = more.union(_across(left, known))
-    more = stored(more.distinct().join(pairs, ["id", "head"], "left_anti"), "line-more")
+    more = stored(_hopeful(more.distinct().join(pairs, ["id", "head"], "left_anti"), signed), "line-more")
     return edges.union(_similar(more, known))
 
 
@@ -252,7 +273,7 @@ def _joined(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_dropped, dropped) of every row; ``dropped`` has the numbers of lines that go."""
-    counted = F.size(F.filter(F.split("text", "\n"), lambda line: F.trim(F.translate(line, "\t\r", "  ")) != ""))
+    counted = F.size(F.filter(F.split("text", "\n"), lambda line: normal(line) != ""))
     rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), counted.cast("long").alias("n_lines"))
     return _joined(docs, rows).select(
         "doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped")

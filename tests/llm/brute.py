@@ -165,7 +165,7 @@ def dropped_lines(rows):
     places = defaultdict(list)
     for doc_id, text in rows:
         for n, line in enumerate((text or "").split("\n")):
-            line = re.sub("[\t\r]", " ", line).strip(" ").lower()
+            line = line.strip(" \t\r").lower()
             if line:
                 places[line].append((doc_id, n))
     keys = list(places)
