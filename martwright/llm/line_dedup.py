@@ -22,14 +22,12 @@ short rows, or dealt over several tasks; texts are never broadcast.
 
 Nulls and odd inputs: a null or empty text has no lines. Lines of blanks, tabs and carriage returns
 only are kept and not counted. A null doc_id comes first. Rows with equal doc_id and text are one
-document and get equal rows. Very long lines are cut into shingles in blocks. An empty table gives an
+document and get equal rows. An empty table gives an
 empty result. Columns besides doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +38,6 @@ SHINGLE = 5
 BANDS, ROWS = 8, 5
 APART, DIFFER = 11, 13
 PAIRED = 64
-BLOCK = 8192  # places of a line that are one array at a time
 TOGETHER = 8  # shingles of a row
 SHARE = 5000  # pairs with one first line that a task verifies
 COARSE = 1 << 21  # values of the filters that are broadcast, whatever the input
@@ -88,7 +85,7 @@ def _salt(k: int) -> int:
 
 
 def signatures(found: DataFrame) -> DataFrame:
-    """(id, twin, doc_id, text_hash, line_no, rows, sketch, second, band0..) of every distinct line.
+    """(id, twin, doc_id, text_hash, line_no, rows, sketch, second, bands) of every distinct line.
 
     The place is the line's first, and ``rows`` the number of its places; ``sketch`` and ``second`` have a bit of
     each minimum.
@@ -96,9 +93,8 @@ def signatures(found: DataFrame) -> DataFrame:
     first = F.min(F.struct(*PLACE)).alias("first")
     whole = found.groupBy("id", "twin").agg(F.max("line").alias("line"), first, F.count("*").alias("rows"))
     whole = whole.select("id", "twin", "first.*", "rows", F.encode("line", "UTF-32").alias("chars"), _places(F.col("line")).alias("places"))
-    blocks = whole.select("*", F.explode(F.sequence(F.lit(0), F.col("places") - 1, F.lit(BLOCK))).alias("begin"))
-    places = F.sequence("begin", F.least(F.col("begin") + (BLOCK - 1), F.col("places") - 1), F.lit(TOGETHER))
-    rows = blocks.select("*", F.explode(places).alias("place"))
+    places = F.sequence(F.lit(0), F.col("places") - 1, F.lit(TOGETHER))
+    rows = whole.select("*", F.explode(places).alias("place"))
     # The last place is repeated where a line ends before its row does; that changes no minimum.
     some = [_shingle(F.col("chars"), F.least(F.col("place") + j, F.col("places") - 1)).alias(f"h{j}") for j in range(TOGETHER)]
     hashed = rows.select("id", "twin", *PLACE, "rows", *some)
@@ -110,14 +106,16 @@ def signatures(found: DataFrame) -> DataFrame:
         return F.min(F.least(*(F.col(f"{'ab'[k % 2]}{j}").bitwiseXOR(F.lit(_salt(k))) for j in range(TOGETHER))))
 
     least = [minimum(k).alias(f"m{k}") for k in range(BANDS * ROWS)]
-    same = [F.max(c).alias(c) for c in (*PLACE, "rows")]
-    minima = hashed.groupBy("id", "twin").agg(*same, *least)
+    minima = hashed.groupBy("id", "twin", *PLACE, "rows").agg(*least)
+
+    # Arrays keep the generated code of the aggregation small enough to be compiled.
+    signed = minima.select("id", "twin", *PLACE, "rows", F.array(*(f"m{k}" for k in range(BANDS * ROWS))).alias("minima"))
 
     def bits(which: int) -> Column:
-        return functools.reduce(Column.bitwiseOR, (F.shiftleft(F.shiftright(f"m{k}", which).bitwiseAND(F.lit(1)), k) for k in range(BANDS * ROWS)))
+        return F.aggregate("minima", F.lit(0).cast("long"), lambda done, m: F.shiftleft(done, 1).bitwiseOR(F.shiftright(m, which).bitwiseAND(F.lit(1))))
 
-    bands = [F.xxhash64(F.lit(b), *(f"m{k}" for k in range(b * ROWS, (b + 1) * ROWS))).alias(f"band{b}") for b in range(BANDS)]
-    return minima.select("id", "twin", *PLACE, "rows", bits(0).alias("sketch"), bits(1).alias("second"), *bands)
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("minima", b * ROWS + 1, F.lit(ROWS))))
+    return signed.select("id", "twin", *PLACE, "rows", bits(0).alias("sketch"), bits(1).alias("second"), bands.alias("bands"))
 
 
 def _marks(ids: DataFrame, name: str) -> DataFrame:
@@ -131,7 +129,7 @@ def _maybe(rows: DataFrame, ids: DataFrame, name: str = "id") -> DataFrame:
 
 
 def _postings(signed: DataFrame, *columns: str) -> DataFrame:
-    return signed.select("id", *columns, F.explode(F.array(*(f"band{b}" for b in range(BANDS)))).alias("value"))
+    return signed.select("id", *columns, F.explode("bands").alias("value"))
 
 
 def _buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -86,9 +86,8 @@ def test_pairs_of_one_first_line_are_shared_by_tasks(spark, monkeypatch):
     assert dropped(spark, lines) == set(range(1, 301)) == set(brute.dropped_lines(list(enumerate(lines))))
 
 
-def test_blank_and_very_long_lines(spark, monkeypatch):
-    """Tabs and carriage returns are blank; a line longer than a block is compared whole."""
-    monkeypatch.setattr(line_dedup, "BLOCK", 1000)
+def test_blank_and_very_long_lines(spark):
+    """Tabs and carriage returns are blank; a long line is compared whole."""
     rng = random.Random(4)
     long = " ".join(rng.choices(made(rng), k=3000))
     end = long[:-700] + " ".join(rng.choices(made(rng), k=120))
