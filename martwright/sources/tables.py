@@ -66,13 +66,24 @@ def read_jdbc_ranges(
 def refresh_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace the table. With ``partition_by`` a reader that filters on it opens only its folders.
 
+    The new rows are written beside the table and then moved to its place. So they may be read from the
+    table itself, and a job that fails leaves it as it was; only between the two steps at the end is there
+    no table. ``martwright.sources.versions`` has no such moment, and replaces several tables at once.
+
     Rows go to the folders from the tasks that hold them: no shuffle by the folder column, which
     would put a whole region into one task. An empty string in that column comes back as null.
     """
-    writer = df.write.mode("overwrite")
+    path = path.rstrip("/")
+    beside, writer = f"{path}-{uuid.uuid4().hex}", df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    writer.parquet(beside)
+    spark = df.sparkSession
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, beside))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"the new rows lie in {beside}, as they could not be moved to {path}")
 
 
 def append_rows(df: DataFrame, path: str, partition_by: str | None = None) -> None:

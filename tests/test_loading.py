@@ -6,6 +6,8 @@ from decimal import Decimal
 import duckdb
 import pytest
 from conftest import customer, moment, order
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from martwright.operators.loading import first_per_key, insert_if_absent, rows_to_insert
@@ -218,6 +220,18 @@ def test_refresh_and_counts(spark, customers, tmp_path):
     assert [tuple(r) for r in table_counts({"t": stored, "a": stored}).collect()] == [("a", 1), ("t", 1)]
 
 
+def test_a_table_is_refreshed_from_itself_and_survives_a_failure(spark, customers, tmp_path):
+    path = str(tmp_path / "t")
+    refresh_table(customers(customer("C1"), customer("C2"), customer("C3")), path)
+    refresh_table(spark.read.parquet(path).filter("customer_id > 'C1'"), path)
+    kept = lambda: sorted(r["customer_id"] for r in spark.read.parquet(path).collect())
+    assert kept() == ["C2", "C3"]
+    broken = spark.read.parquet(path).withColumn("gender", F.when(F.col("customer_id") == "C3", F.raise_error(F.lit("lost"))))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        refresh_table(broken, path)
+    assert kept() == ["C2", "C3"]
+
+
 def test_ranges_of_a_text_key_cover_every_row_once():
     found = range_predicates("order_id", ["B", "O'x"])
     assert found == [
