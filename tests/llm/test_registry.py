@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
+from fixtures import docs, odd_rows  # noqa: F401
 from martwright.llm import quality
 from martwright.llm.queries import ORACLE, QUERIES
 from verification.compare import connect, difference
@@ -111,6 +112,18 @@ def test_pipeline_against_plain_loops(spark):
     assert Counter(map(tuple, got)) == Counter(brute.encoded(left))
 
 
+def test_stages_take_odd_rows(spark, docs, odd_rows):
+    """Null ids and texts, repeated rows and clashing columns pass every stage."""
+    table = docs(odd_rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, table, FOLDER)
+        kept = Counter((r["doc_id"], r["text"]) for r in got.collect())
+        assert got.columns == table.columns and not kept - Counter(odd_rows), name
+    assert kept == Counter(odd_rows)  # none of them is contaminated
+    last = corpus_pipeline.STAGES[-1][1](spark, table, FOLDER).collect()
+    assert Counter(r["doc_id"] for r in last) == Counter(d for d, _ in odd_rows)
+
+
 def test_stages_keep_the_columns_and_take_empty_tables(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
