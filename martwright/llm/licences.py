@@ -1,9 +1,8 @@
 """Licence scans: a trained paragraph classifier, confirmed against templates.
 
-Paragraphs are parted by blank lines and by lines that end a sentence; lines that wrap are joined. A
-paragraph is scored if it has a cue, one of a fixed list of words and parts of words of which every template
-has at least one. So the candidates depend on the paragraph alone, and one without a cue is unknown. Few
-documents have a cue, and only those are cut into paragraphs. Equal paragraphs are scored once.
+Paragraphs are parted by blank lines and by lines that end a sentence; lines that wrap are joined. Every
+paragraph of every document is scored by the model, whatever its words. Those taken for a licence are
+compared with the templates, equal ones once.
 
 A multinomial logistic regression over word 1- and 2-grams tells licence families and ``unknown``; its
 weights are sparse, as most are driven to zero. It learns from the templates below, whole, in parts and
@@ -156,12 +155,17 @@ def cued(text: Column | str) -> Column:
     return functools.reduce(Column.__or__, (F.contains(lowered, F.lit(cue)) for cue in CUES))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, paragraph) of every paragraph with a cue, in lower case."""
-    docs = texts(docs).where(cued("text")).select("doc_id", F.lower("text").alias("text"))
+def all_paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, paragraph) of every paragraph that is not blank, in lower case."""
+    docs = texts(docs).select("doc_id", F.lower("text").alias("text"))
     joined = F.regexp_replace("text", r"(?<![.!?:;\s])[ \t\r]*\n[ \t]*(?=\S)", " ")
     rows = docs.select("doc_id", F.explode(F.split(joined, r"[\r\n]+")).alias("paragraph"))
-    return rows.select("doc_id", F.btrim("paragraph", F.lit(" \t")).alias("paragraph")).where(cued("paragraph"))
+    return rows.select("doc_id", F.btrim("paragraph", F.lit(" \t")).alias("paragraph")).where("paragraph != ''")
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, paragraph) of every paragraph with a cue, in lower case."""
+    return all_paragraphs(docs).where(cued("paragraph"))
 
 
 def _tokens(column: str) -> Column:
@@ -283,9 +287,20 @@ def verdicts(rows: DataFrame, scanner: Scanner) -> DataFrame:
     return found.withColumn("confirmed", F.col("likeness") >= CONFIRMED)
 
 
+def likely(docs: DataFrame, scanner: Scanner) -> DataFrame:
+    """(doc_id, paragraph) of the paragraphs that the model takes for a licence; all are scored.
+
+    The probability passes a generator, through which no filter is pushed: else the model would be asked
+    once more for each of its mentions in the condition.
+    """
+    scored = scanner.probabilities(all_paragraphs(docs))
+    scored = scored.select("doc_id", "paragraph", F.explode(F.array("probability")).alias("probability"))
+    return scored.where(F.col("probability") >= LEAST).drop("probability")
+
+
 def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """(doc_id, paragraph, family, probability, likeness, confirmed) of paragraphs taken for a licence."""
-    rows = stored(paragraphs(docs), "licence-paragraphs")
+    rows = stored(likely(docs, scanner), "licence-paragraphs")
     counted = stored(rows.groupBy("paragraph").agg(F.count("*").alias("n")), "licence-distinct")
     named = stored(verdicts(counted.select("paragraph"), scanner).join(counted, "paragraph"), "licence-verdicts")
     columns = ["family", "probability", "likeness", "confirmed"]

@@ -25,3 +25,14 @@ def test_another_text_under_a_repeated_id_stays(docs):
     text, other = (" ".join(f"{c}{i}" for i in range(80)) for c in "wv")
     got = simhash.drop_near_duplicates(docs([(1, text), (5, text), (5, other), (6, other)]))
     assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == [(1, text), (5, other)]
+
+
+def test_a_notice_without_a_known_cue_is_scored(docs):
+    """Every paragraph meets the model, also one that has none of the words notices usually have."""
+    rows = [(1, "A walk by the river.\nReleased under CC0 1.0 Universal.\nMore of it."), (2, "A walk by the river."), (3, None)]
+    table = docs(rows)
+    assert licences.paragraphs(table).count() == 0
+    asked = sorted(map(tuple, licences.all_paragraphs(table).collect()))
+    assert asked == [(1, "a walk by the river."), (1, "more of it."), (1, "released under cc0 1.0 universal."), (2, "a walk by the river.")]
+    got = {r["doc_id"]: r["licences"] for r in licences.report(table, licences.fit(docs([]))).collect()}
+    assert got == {1: "public-domain", 2: "", 3: ""}
