@@ -89,6 +89,7 @@ def top(wanted):
 # query -> its columns that depend on draws, and their rows
 EXPECTED = {
     "insert_raw_orders": ((*SALE, "region"), lambda: sales(NEW, lambda n: region(BUYER_OF[n]))),
+    "insert_raw_customers": (DRAWN, lambda: buyers(region, gender)),
 }
 
 
