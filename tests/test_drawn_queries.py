@@ -90,6 +90,7 @@ def top(wanted):
 EXPECTED = {
     "insert_raw_orders": ((*SALE, "region"), lambda: sales(NEW, lambda n: region(BUYER_OF[n]))),
     "insert_raw_customers": (DRAWN, lambda: buyers(region, gender)),
+    "insert_dim_customers": (DRAWN, lambda: buyers(region, gender)),
 }
 
 
