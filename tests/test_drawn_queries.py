@@ -92,6 +92,7 @@ EXPECTED = {
     "insert_raw_customers": (DRAWN, lambda: buyers(region, gender)),
     "insert_dim_customers": (DRAWN, lambda: buyers(region, gender)),
     "insert_fct_orders": (("order_id", "product_category", "quantity", "order_region"), lambda: {(f"ORD-{n:05d}", *sold(n)[1:], region(BUYER_OF[n])) for n in NEW}),
+    "synthetic_customers": (DRAWN, lambda: buyers(region, gender)),
 }
 
 
