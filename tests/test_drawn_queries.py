@@ -94,6 +94,7 @@ EXPECTED = {
     "insert_fct_orders": (("order_id", "product_category", "quantity", "order_region"), lambda: {(f"ORD-{n:05d}", *sold(n)[1:], region(BUYER_OF[n])) for n in NEW}),
     "synthetic_customers": (DRAWN, lambda: buyers(region, gender)),
     "synthetic_orders": ((*SALE, "region"), lambda: sales(SALES, lambda n: region(draw(n, "buyer", 1000) + 1))),
+    "stg_customers_calendar_age": ((WHO, "customer_age"), lambda: buyers(lambda n: 2025 - born(n))),
 }
 
 
