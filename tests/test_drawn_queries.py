@@ -96,6 +96,7 @@ EXPECTED = {
     "synthetic_orders": ((*SALE, "region"), lambda: sales(SALES, lambda n: region(draw(n, "buyer", 1000) + 1))),
     "stg_customers_calendar_age": ((WHO, "customer_age"), lambda: buyers(lambda n: 2025 - born(n))),
     "order_amounts": (("order_id", "total_amount"), lambda: revenue(lambda n: f"ORD-{n:05d}")),
+    "customer_ages": ((WHO, "calendar_2025"), lambda: buyers(lambda n: 2025 - born(n))),
 }
 
 
