@@ -98,6 +98,7 @@ EXPECTED = {
     "order_amounts": (("order_id", "total_amount"), lambda: revenue(lambda n: f"ORD-{n:05d}")),
     "customer_ages": ((WHO, "calendar_2025"), lambda: buyers(lambda n: 2025 - born(n))),
     "sequence_keys_customers": ((WHO, "region"), lambda: buyers(region)),
+    "dim_customers_as_engineer": (DRAWN, lambda: buyers(region, gender)),
 }
 
 
