@@ -99,6 +99,7 @@ EXPECTED = {
     "customer_ages": ((WHO, "calendar_2025"), lambda: buyers(lambda n: 2025 - born(n))),
     "sequence_keys_customers": ((WHO, "region"), lambda: buyers(region)),
     "dim_customers_as_engineer": (DRAWN, lambda: buyers(region, gender)),
+    "dim_customers_as_uk_analyst": (DRAWN, lambda: buyers(region, gender, numbers=of("UK"))),
 }
 
 
