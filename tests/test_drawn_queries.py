@@ -100,6 +100,7 @@ EXPECTED = {
     "sequence_keys_customers": ((WHO, "region"), lambda: buyers(region)),
     "dim_customers_as_engineer": (DRAWN, lambda: buyers(region, gender)),
     "dim_customers_as_uk_analyst": (DRAWN, lambda: buyers(region, gender, numbers=of("UK"))),
+    "dim_customers_as_eu_analyst": (DRAWN, lambda: buyers(region, gender, numbers=of("EU"))),
 }
 
 
