@@ -102,6 +102,7 @@ EXPECTED = {
     "dim_customers_as_uk_analyst": (DRAWN, lambda: buyers(region, gender, numbers=of("UK"))),
     "dim_customers_as_eu_analyst": (DRAWN, lambda: buyers(region, gender, numbers=of("EU"))),
     "layer_gate": (("table_name", "role", "visible_rows"), lambda: {("dim_customers", role, len(of(r))) for role, r in domain.ANALYST_REGION.items()}),
+    "uk_analyst_revenue": (("order_region", "total_revenue"), lambda: revenue(lambda n: region(BUYER_OF[n]), [n for n in SALES if region(BUYER_OF[n]) == "UK"])),
 }
 
 
