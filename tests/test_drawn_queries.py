@@ -104,6 +104,7 @@ EXPECTED = {
     "layer_gate": (("table_name", "role", "visible_rows"), lambda: {("dim_customers", role, len(of(r))) for role, r in domain.ANALYST_REGION.items()}),
     "uk_analyst_revenue": (("order_region", "total_revenue"), lambda: revenue(lambda n: region(BUYER_OF[n]), [n for n in SALES if region(BUYER_OF[n]) == "UK"])),
     "eu_analyst_top_customers": ((WHO, "total_spend"), lambda: top("EU")),
+    "revenue_by_region": (("order_region", "total_revenue"), lambda: revenue(lambda n: region(BUYER_OF[n]))),
 }
 
 
