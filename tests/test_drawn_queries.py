@@ -105,6 +105,7 @@ EXPECTED = {
     "uk_analyst_revenue": (("order_region", "total_revenue"), lambda: revenue(lambda n: region(BUYER_OF[n]), [n for n in SALES if region(BUYER_OF[n]) == "UK"])),
     "eu_analyst_top_customers": ((WHO, "total_spend"), lambda: top("EU")),
     "revenue_by_region": (("order_region", "total_revenue"), lambda: revenue(lambda n: region(BUYER_OF[n]))),
+    "revenue_by_category_and_region": (("product_category", "order_region", "revenue"), lambda: revenue(lambda n: (sold(n)[1], region(BUYER_OF[n])))),
 }
 
 
