@@ -106,6 +106,7 @@ EXPECTED = {
     "eu_analyst_top_customers": ((WHO, "total_spend"), lambda: top("EU")),
     "revenue_by_region": (("order_region", "total_revenue"), lambda: revenue(lambda n: region(BUYER_OF[n]))),
     "revenue_by_category_and_region": (("product_category", "order_region", "revenue"), lambda: revenue(lambda n: (sold(n)[1], region(BUYER_OF[n])))),
+    "customer_spend": (("country", "region", "total_spend"), lambda: revenue(lambda n: (f"LAND {BUYER_OF[n] % 5}", region(BUYER_OF[n])))),
 }
 
 
