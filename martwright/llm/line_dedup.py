@@ -40,8 +40,10 @@ APART, DIFFER = 11, 13
 PAIRED = 64
 TOGETHER = 8  # shingles of a row
 SHARE = 5000  # pairs with one first line that a task verifies
+CROWDED = 4  # pairs a line, above which those most alike are verified before the others
 COARSE = 1 << 21  # values of the filters that are broadcast, whatever the input
 PLACE = ("doc_id", "text_hash", "line_no")
+BITS = ("sketch", "second")
 
 
 def normal(line: Column | str) -> Column:
@@ -128,30 +130,48 @@ def _maybe(rows: DataFrame, ids: DataFrame, name: str = "id") -> DataFrame:
     return rows.join(F.broadcast(marks), F.pmod(name, F.lit(COARSE)) == marks["_mark"], "left_semi")
 
 
-def _postings(signed: DataFrame, *columns: str) -> DataFrame:
-    return signed.select("id", *columns, F.explode("bands").alias("value"))
+def _postings(signed: DataFrame) -> DataFrame:
+    return signed.select("id", *BITS, F.explode("bands").alias("value"))
+
+
+def _hopeful(*bits: Column) -> Column:
+    """Whether two lines' signatures allow them to be similar, by the differing bits of both."""
+    return _apart(*bits) <= DIFFER
+
+
+def _apart(*bits: Column) -> Column:
+    return F.bit_count(bits[0].bitwiseOR(bits[1]))
 
 
 def _buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(id, head): lines of buckets of two that may be similar; (value, id, head, n): those of larger ones."""
-    ends = _postings(signed, "sketch").groupBy("value").agg(F.min("id").alias("head"), F.max("id").alias("id"), F.count("*").alias("n"), F.bit_xor("sketch").alias("differ"))
+    """(id, head): lines of buckets of two that may be similar; (value, id, bits, head, n, near): those of larger ones.
+
+    A line is ``near`` if it may be similar to the bucket's first one.
+    """
+    firsts = [F.min_by(b, "id").alias(f"head_{b}") for b in BITS]
+    differ = [F.bit_xor(b).alias(f"differ_{b}") for b in BITS]  # of a bucket of two
+    ends = _postings(signed).groupBy("value").agg(F.min("id").alias("head"), F.max("id").alias("id"), F.count("*").alias("n"), *firsts, *differ)
     ends = stored(ends.where("n > 1 AND id != head"), "line-buckets")
-    two = ends.where((F.col("n") == 2) & (F.bit_count("differ") <= APART)).select("id", "head")
-    many = ends.where("n > 2").select("value", "head", "n")
-    members = looked_up(_maybe(_postings(signed), many, "value"), many, "value", ["head", "n"], weight="n")
-    return two, stored(members.where(F.col("head").isNotNull()), "line-members")
+    alike = (F.bit_count("differ_sketch") <= APART) & _hopeful(*(F.col(f"differ_{b}") for b in BITS))
+    two = ends.where((F.col("n") == 2) & alike).select("id", "head")
+    many = ends.where("n > 2").select("value", "head", "n", *(f"head_{b}" for b in BITS))
+    members = looked_up(_maybe(_postings(signed), many, "value"), many, "value", ["head", "n", *(f"head_{b}" for b in BITS)], weight="n")
+    near = _hopeful(*(F.col(b).bitwiseXOR(F.col(f"head_{b}")) for b in BITS))
+    return two, stored(members.where(F.col("head").isNotNull()).select("value", "id", *BITS, "head", "n", near.alias("near")), "line-members")
 
 
 def _ordered(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("id"), F.least(a, b).alias("head")]
 
 
-def _hopeful(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """The pairs whose signatures allow them to be similar."""
-    bits = signed.select("id", "sketch", "second")
-    both = pairs.join(bits, "id").join(bits.toDF("head", "_sketch", "_second"), "head")
-    differ = F.col("sketch").bitwiseXOR(F.col("_sketch")).bitwiseOR(F.col("second").bitwiseXOR(F.col("_second")))
-    return both.where(F.bit_count(differ) <= DIFFER).select("id", "head").distinct()
+def _others(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows as the other lines of pairs."""
+    return rows.select(*columns, F.col("id").alias("other"), F.col("component").alias("_component"), *(F.col(b).alias(f"_{b}") for b in BITS))
+
+
+def _both() -> list[Column]:
+    """The bits in which a line and the other one differ."""
+    return [F.col(b).bitwiseXOR(F.col(f"_{b}")) for b in BITS]
 
 
 def _similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -165,16 +185,18 @@ def _similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
     left = dealt.join(known, "id")
     right = known.select(F.col("id").alias("head"), F.col("twin").alias("head_twin"), F.col("line").alias("head_line")).join(heads, "head")
     right = right.select("head", "head_twin", "head_line", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / SHARE) - 1)).alias("part"))
-    both = left.join(right, ["head", "part"])
-    sets = both.select("id", "twin", "head", "head_twin", shingles(F.col("line")).alias("s"), shingles(F.col("head_line")).alias("t"))
+    # A first line is cut into shingles once in each task that shares its pairs, after it was sent there.
+    right = right.repartition("head", "part").select("head", "head_twin", "part", shingles(F.col("head_line")).alias("t"))
+    both = left.join(right, ["head", "part"]).where(5 * _places(F.col("line")) >= 4 * F.size("t"))
+    sets = both.select("id", "twin", "head", "head_twin", shingles(F.col("line")).alias("s"), "t")
     # common / (s + t - common) >= 0.8, in whole numbers
     return sets.where(9 * F.size(F.array_intersect("s", "t")) >= 4 * (F.size("s") + F.size("t"))).select("id", "twin", "head", "head_twin")
 
 
 def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """(value, id, component, n) of the buckets in which lines of several components are left."""
+    """(value, id, bits, component, n) of the buckets in which lines of several components are left."""
     named = members.join(parts.withColumnRenamed("node", "id"), "id", "left")
-    named = named.select("value", "id", "n", F.coalesce("component", "id").alias("component"))
+    named = named.select("value", "id", *BITS, "n", F.coalesce("component", "id").alias("component"))
     ends = named.groupBy("value").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("lines"))
     ends = stored(ends.where("least != most"), "line-mixed")
     found = looked_up(_maybe(named, ends, "value"), ends, "value", ["least"], weight="lines")
@@ -184,8 +206,7 @@ def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
 def _paired(left: DataFrame) -> DataFrame:
     """Pairs of lines of different components in buckets of at most PAIRED."""
     few = left.where(F.col("n") <= PAIRED)
-    other = few.select("value", F.col("id").alias("other"), F.col("component").alias("_component"))
-    return few.join(other, "value").where(F.col("component") < F.col("_component")).select(*_ordered("id", "other"))
+    return few.join(_others(few, "value"), "value").where((F.col("component") < F.col("_component")) & _hopeful(*_both())).select(*_ordered("id", "other"), _apart(*_both()).alias("apart"))
 
 
 def _rarest(crowd: DataFrame, known: DataFrame) -> DataFrame:
@@ -209,21 +230,40 @@ def _across(left: DataFrame, known: DataFrame) -> DataFrame:
     A pair has a line outside the largest component of the lines that share a shingle, so only these
     are joined with the others.
     """
-    crowd = left.where(F.col("n") > PAIRED).select("value", "id", "component")
+    crowd = left.where(F.col("n") > PAIRED).select("value", "id", *BITS, "component")
     postings = stored(crowd.join(_rarest(crowd, known), "id"), "line-postings")
     main = postings.groupBy("value", "shingle", "component").agg(F.count("*").alias("lines"))
     main = main.groupBy("value", "shingle").agg(F.max_by("component", F.struct("lines", "component")).alias("main"), F.count("*").alias("parts"))
     several = main.where("parts > 1").select("value", "shingle", "main")
     others = postings.join(several, ["value", "shingle"]).where(F.col("component") != F.col("main"))
-    other = others.select("value", "shingle", F.col("id").alias("other"), F.col("component").alias("_component"), F.col("n").alias("_n"))
-    alike = (F.col("component") != F.col("_component")) & (5 * F.least("n", "_n") >= 4 * F.greatest("n", "_n"))
-    return postings.join(other, ["value", "shingle"]).where(alike).select(*_ordered("id", "other"))
+    other = _others(others.withColumn("_n", F.col("n")), "value", "shingle", "_n")
+    alike = (F.col("component") != F.col("_component")) & (5 * F.least("n", "_n") >= 4 * F.greatest("n", "_n")) & _hopeful(*_both())
+    return postings.join(other, ["value", "shingle"]).where(alike).select(*_ordered("id", "other"), _apart(*_both()).alias("apart"))
+
+
+def _joined_up(more: DataFrame, edges: DataFrame, known: DataFrame) -> DataFrame:
+    """The links, with those of the pairs that are still needed for the same components.
+
+    Where pairs are many more than lines, every line is first verified with the one most like it, and
+    pairs whose lines have come to be of one component meanwhile are left out; the rest are all verified.
+    """
+    found, before = edges, 0
+    while True:
+        pairs, lines = more.count(), more.select("id").distinct().count()
+        if pairs <= CROWDED * lines or (before and 5 * pairs > 4 * before):
+            return found.union(_similar(more.select("id", "head"), known))
+        nearest = more.groupBy("id").agg(F.min_by("head", F.struct("apart", "head")).alias("head"))
+        nearest = stored(nearest, "line-nearest")
+        found, before = found.union(stored(_similar(nearest, known), "line-links")), pairs
+        parts = stored(connected_components(found.select("id", "head")), "line-parts")
+        named = more.join(nearest, ["id", "head"], "left_anti").join(parts.toDF("id", "component"), "id", "left").join(parts.toDF("head", "_component"), "head", "left")
+        more = stored(named.where(F.coalesce("component", "id") != F.coalesce("_component", "head")).select("id", "head", "apart"), "line-more")
 
 
 def links(signed: DataFrame, found: DataFrame) -> DataFrame:
     """(id, twin, head, head_twin) of similar lines: a graph with the components of all pairs that meet."""
     two, members = _buckets(signed)
-    pairs = stored(_hopeful(two.union(members.where("id != head").select("id", "head")).distinct(), signed), "line-pairs")
+    pairs = stored(two.union(members.where("id != head AND near").select("id", "head")).distinct(), "line-pairs")
     wanted = pairs.select("id").union(pairs.select("head")).union(members.select("id")).distinct()
     known = _maybe(found, wanted).select("id", "twin", "line").join(wanted, "id", "left_semi")
     known = stored(known.dropDuplicates(["id", "twin"]), "line-texts")
@@ -234,8 +274,8 @@ def links(signed: DataFrame, found: DataFrame) -> DataFrame:
     more = _paired(left)
     if not left.where(F.col("n") > PAIRED).isEmpty():
         more = more.union(_across(left, known))
-    more = stored(_hopeful(more.distinct().join(pairs, ["id", "head"], "left_anti"), signed), "line-more")
-    return edges.union(_similar(more, known))
+    more = stored(more.distinct().join(pairs, ["id", "head"], "left_anti"), "line-more")
+    return _joined_up(more, edges, known)
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -78,6 +78,33 @@ def test_pairs_in_crowds(spark, monkeypatch, paired):
     assert len(want) > 250 and got <= want and len(got) >= 0.95 * len(want)
 
 
+def chain(rng, n=400, length=60):
+    """Lines that differ from the one before in a word: all are one component, and few are like its first line."""
+    words = made(rng)
+    line, lines = rng.choices(words, k=length), []
+    for _ in range(n):
+        lines.append(" ".join(line))
+        line = list(line)
+        line[rng.randrange(length)] = rng.choice(words)
+    return lines
+
+
+def test_a_chain_of_near_copies_is_judged_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CROWDED", 0)
+    lines = chain(random.Random(5), 200)
+    assert dropped(spark, lines) == set(brute.dropped_lines(list(enumerate(lines)))) == set(range(1, 200))
+
+
+def test_pairs_that_signatures_rule_out_are_not_made(spark):
+    """Of 60 lines in one bucket, each of its own component and alike in no bit, the join makes no pair."""
+    rng = random.Random(6)
+    rows = [(7, i, rng.getrandbits(40), rng.getrandbits(40), 60, i) for i in range(60)]
+    left = spark.createDataFrame(rows, "value long, id long, sketch long, second long, n long, component long")
+    assert line_dedup._paired(left).count() == 0
+    twin = spark.createDataFrame([(7, 99, *rows[3][2:5], 99)], left.schema)
+    assert [tuple(r)[:2] for r in line_dedup._paired(left.union(twin)).collect()] == [(99, 3)]
+
+
 def test_pairs_of_one_first_line_are_shared_by_tasks(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "SHARE", 10)
     rng = random.Random(3)
