@@ -11,12 +11,17 @@ Equal lines are one line from the start: they are merged in the task that reads
 shuffle, and only then cut into shingles. The shingles are rows between two aggregations of one stage;
 they are neither stored nor shuffled. Of a bucket of two, both lines are a pair. Of a larger bucket, every
 line is one with the first, which joins what is mostly alike. Where lines of several components are left in
-a bucket, those of different components are pairs: each with each in buckets of at most ``PAIRED`` lines;
-larger ones are crowds and searched by their rarest shingles, of which every line has so many that no
-similar pair of the crowd is missed. So no pair that meets is lost, whatever the bucket's size. A pair is
+a bucket, those of different components are pairs, each with each. Buckets of more than ``PAIRED`` lines are
+crowds: of these, lines outside the largest component are dealt over tasks and meet all others there. A crowd
+of which more than ``FACED`` tasks would be needed, or that has more than ``MET`` pairs a line, is searched by its
+rarest shingles, of which every line has so many that no similar pair of the crowd is missed. So no pair that
+meets is lost, whatever the bucket's size. A pair is
 verified if its signatures allow it: one bit of each minimum must be equal in all but ``APART`` of 40, and
 two bits in all but ``DIFFER``. Of pairs at 0.8, one in a thousand fails that by chance.
 
+Only lines of pairs are read again as texts. The shuffles of a step are removed when its rows are stored, and
+pairs are verified in slices of at most one pair a line of the table, so the disk in use does not grow with the pairs.
+
 Buckets, first lines and lines that very many rows share are joined by broadcast of a bounded number of
 short rows, or dealt over several tasks; texts are never broadcast.
 
@@ -28,10 +33,13 @@ empty result. Columns besides doc_id and text are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import looked_up, stored, texts
+from martwright.llm import common
+from martwright.llm.common import looked_up, shuffles_removed, texts
 from martwright.llm.components import connected_components
 
 SHINGLE = 5
@@ -40,12 +48,26 @@ APART, DIFFER = 11, 13
 PAIRED = 64
 TOGETHER = 8  # shingles of a row
 SHARE = 5000  # pairs with one first line that a task verifies
+COMPARED = 1 << 26  # pairs of signatures in a crowd that a task compares
+FACED, MET = 64, 1024  # rows of a line, and pairs a line, above which its rarest shingles take less disk
 CROWDED = 4  # pairs a line, above which those most alike are verified before the others
 COARSE = 1 << 21  # values of the filters that are broadcast, whatever the input
 PLACE = ("doc_id", "text_hash", "line_no")
 BITS = ("sketch", "second")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows stored, without the shuffles that made them."""
+    with shuffles_removed(df.sparkSession):
+        return common.stored(df, name)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) of the links' lines."""
+    with shuffles_removed(edges.sparkSession):
+        return connected_components(edges.select("id", "head"))
+
+
 def normal(line: Column | str) -> Column:
     """The line as it is compared; empty if it is blank."""
     return F.lower(F.btrim(line, F.lit(" \t\r")))
@@ -143,28 +165,33 @@ def _apart(*bits: Column) -> Column:
     return F.bit_count(bits[0].bitwiseOR(bits[1]))
 
 
+def _bits(signed: DataFrame, name: str, *names: str) -> DataFrame:
+    return signed.select(F.col("id").alias(name), *(F.col(b).alias(n) for b, n in zip(BITS, names, strict=True)))
+
+
 def _buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(id, head): lines of buckets of two that may be similar; (value, id, bits, head, n, near): those of larger ones.
 
-    A line is ``near`` if it may be similar to the bucket's first one.
+    A line is ``near`` if it may be similar to the bucket's first one. Most buckets have one line, so signatures
+    are looked up for the others instead of being sent along with every line.
     """
-    firsts = [F.min_by(b, "id").alias(f"head_{b}") for b in BITS]
-    differ = [F.bit_xor(b).alias(f"differ_{b}") for b in BITS]  # of a bucket of two
-    ends = _postings(signed).groupBy("value").agg(F.min("id").alias("head"), F.max("id").alias("id"), F.count("*").alias("n"), *firsts, *differ)
-    ends = stored(ends.where("n > 1 AND id != head"), "line-buckets")
-    alike = (F.bit_count("differ_sketch") <= APART) & _hopeful(*(F.col(f"differ_{b}") for b in BITS))
-    two = ends.where((F.col("n") == 2) & alike).select("id", "head")
-    many = ends.where("n > 2").select("value", "head", "n", *(f"head_{b}" for b in BITS))
-    members = looked_up(_maybe(_postings(signed), many, "value"), many, "value", ["head", "n", *(f"head_{b}" for b in BITS)], weight="n")
-    near = _hopeful(*(F.col(b).bitwiseXOR(F.col(f"head_{b}")) for b in BITS))
-    return two, stored(members.where(F.col("head").isNotNull()).select("value", "id", *BITS, "head", "n", near.alias("near")), "line-members")
+    ends = _postings(signed).groupBy("value").agg(F.min("id").alias("head"), F.max("id").alias("id"), F.count("*").alias("n"))
+    ends = stored(ends.where("n > 1 AND id != head"), "line-ends")
+    heads = [f"head_{b}" for b in BITS]
+    ends = stored(ends.join(_bits(signed, "head", *heads), "head"), "line-buckets")
+    differ = [F.col(b).bitwiseXOR(F.col(h)) for b, h in zip(BITS, heads, strict=True)]
+    two = ends.where("n = 2").select("id", "head", *heads).distinct().join(_bits(signed, "id", *BITS), "id")
+    two = two.where((F.bit_count(differ[0]) <= APART) & _hopeful(*differ)).select("id", "head")
+    many = ends.where("n > 2").select("value", "head", "n", *heads)
+    members = looked_up(_maybe(_postings(signed), many, "value"), many, "value", ["head", "n", *heads], weight="n")
+    return two, stored(members.where(F.col("head").isNotNull()).select("value", "id", *BITS, "head", "n", _hopeful(*differ).alias("near")), "line-members")
 
 
 def _ordered(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("id"), F.least(a, b).alias("head")]
 
 
-def _others(rows: DataFrame, *columns: str) -> DataFrame:
+def _others(rows: DataFrame, *columns: str | Column) -> DataFrame:
     """The rows as the other lines of pairs."""
     return rows.select(*columns, F.col("id").alias("other"), F.col("component").alias("_component"), *(F.col(b).alias(f"_{b}") for b in BITS))
 
@@ -174,17 +201,28 @@ def _both() -> list[Column]:
     return [F.col(b).bitwiseXOR(F.col(f"_{b}")) for b in BITS]
 
 
+def _known(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, twin, line, paired, n) of the pairs' lines: whether it has a first line, and of how many lines it is the first."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    ends = pairs.select("id", F.lit(True).alias("paired"), none.alias("n")).union(pairs.select("head", F.lit(False), one))
+    wanted = stored(ends.groupBy("id").agg(F.max("paired").alias("paired"), F.sum("n").alias("n")), "line-wanted")
+    known = _maybe(found, wanted).select("id", "twin", "line").join(wanted, "id")
+    return stored(known.dropDuplicates(["id", "twin"]), "line-texts")
+
+
 def _similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """(id, twin, head, head_twin) of the pairs whose shingle sets are similar enough.
 
-    A first line with very many pairs is sent to several tasks, which share its pairs.
+    ``known`` may have more lines, and count more pairs. A first line with very many pairs is sent to
+    several tasks, which share its pairs.
     """
-    heads = stored(pairs.groupBy("head").agg(F.count("*").alias("n")), "line-heads")
-    dealt = looked_up(pairs, heads.withColumn("parts", F.ceil(F.col("n") / SHARE)), "head", ["parts"], weight="n")
+    firsts = known.where("n > 0").withColumn("parts", F.ceil(F.col("n") / SHARE))
+    heads = stored(firsts.groupBy(F.col("id").alias("head")).agg(F.max("n").alias("n"), F.max("parts").alias("parts")), "line-heads")
+    dealt = looked_up(pairs, heads, "head", ["parts"], weight="n")
     dealt = dealt.select("id", "head", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
-    left = dealt.join(known, "id")
-    right = known.select(F.col("id").alias("head"), F.col("twin").alias("head_twin"), F.col("line").alias("head_line")).join(heads, "head")
-    right = right.select("head", "head_twin", "head_line", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / SHARE) - 1)).alias("part"))
+    left = dealt.join(known.where("paired").select("id", "twin", "line"), "id")
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    right = firsts.select(F.col("id").alias("head"), F.col("twin").alias("head_twin"), F.col("line").alias("head_line"), part)
     # A first line is cut into shingles once in each task that shares its pairs, after it was sent there.
     right = right.repartition("head", "part").select("head", "head_twin", "part", shingles(F.col("head_line")).alias("t"))
     both = left.join(right, ["head", "part"]).where(5 * _places(F.col("line")) >= 4 * F.size("t"))
@@ -193,6 +231,15 @@ def _similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return sets.where(9 * F.size(F.array_intersect("s", "t")) >= 4 * (F.size("s") + F.size("t"))).select("id", "twin", "head", "head_twin")
 
 
+def _verified(pairs: DataFrame, known: DataFrame, lines: int) -> DataFrame:
+    """All pairs that are similar enough, verified in slices of about ``lines`` pairs, as each pair takes a text along."""
+    slices = -(-pairs.count() // lines)
+    if slices <= 1:
+        return _similar(pairs, known)
+    own = F.pmod(F.xxhash64("id", "head"), F.lit(slices))
+    return reduce(DataFrame.union, [stored(_similar(pairs.where(own == i), known), "line-links") for i in range(slices)])
+
+
 def _mixed(members: DataFrame, parts: DataFrame) -> DataFrame:
     """(value, id, bits, component, n) of the buckets in which lines of several components are left."""
     named = members.join(parts.withColumnRenamed("node", "id"), "id", "left")
@@ -209,6 +256,42 @@ def _paired(left: DataFrame) -> DataFrame:
     return few.join(_others(few, "value"), "value").where((F.col("component") < F.col("_component")) & _hopeful(*_both())).select(*_ordered("id", "other"), _apart(*_both()).alias("apart"))
 
 
+def _sizes(crowd: DataFrame) -> DataFrame:
+    """(value, main, lines, parts): of each crowd the largest component, and the tasks that compare all others with all lines."""
+    sizes = crowd.groupBy("value", "component").agg(F.count("*").alias("lines"))
+    largest = F.max_by("component", F.struct("lines", "component")).alias("main")
+    sizes = sizes.groupBy("value").agg(largest, F.max("lines").alias("most"), F.sum("lines").alias("lines"))
+    work = (F.col("lines") - F.col("most")) * F.col("lines")
+    return stored(sizes.select("value", "main", "lines", F.ceil(work / COMPARED).alias("parts")), "line-crowds")
+
+
+def _faced(crowd: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(value, id, head, apart): the pairs of different components in the crowds that ``sizes`` has."""
+    dealt = looked_up(crowd, sizes, "value", ["main", "parts"], weight="lines")
+    others = _others(dealt.where(F.col("component") != F.col("main")), "value", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    every = dealt.select("value", "id", *BITS, "component", (F.col("component") == F.col("main")).alias("in_main"), part)
+    alike = (F.col("component") != F.col("_component")) & (F.col("in_main") | (F.col("id") < F.col("other"))) & _hopeful(*_both())
+    return every.join(others, ["value", "part"]).where(alike).select("value", *_ordered("id", "other"), _apart(*_both()).alias("apart"))
+
+
+def _crowds(crowd: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of a crowd's lines in different components. Pairs are counted before any are stored."""
+    sizes = _sizes(crowd)
+    pairs = stored(_faced(crowd, sizes.where(F.col("parts") <= FACED)).groupBy("value").agg(F.count("*").alias("pairs")), "line-met")
+    cheap = (F.col("parts") <= FACED) & (F.coalesce("pairs", F.lit(0)) <= MET * F.col("lines"))
+    sizes = stored(sizes.join(pairs, "value", "left").withColumn("cheap", cheap), "line-crowds")
+    more = _faced(crowd, sizes.where("cheap")).drop("value")
+    rest = sizes.where("NOT cheap")
+    if rest.isEmpty():
+        return more
+    crowd = looked_up(crowd, rest, "value", ["main"], weight="lines")
+    crowd = stored(crowd.where(F.col("main").isNotNull()).drop("main"), "line-rest")
+    ids = crowd.select("id").distinct()
+    known = stored(_maybe(found, ids).select("id", "twin", "line").join(ids, "id", "left_semi").dropDuplicates(["id", "twin"]), "line-texts")
+    return more.union(_across(crowd, known))
+
+
 def _rarest(crowd: DataFrame, known: DataFrame) -> DataFrame:
     """(id, n, shingle): so many of a line's rarest shingles that similar lines share one.
 
@@ -224,13 +307,13 @@ def _rarest(crowd: DataFrame, known: DataFrame) -> DataFrame:
     return ranked.select("id", "n", F.explode(F.slice("ranked", F.lit(1), length)["shingle"]).alias("shingle"))
 
 
-def _across(left: DataFrame, known: DataFrame) -> DataFrame:
+def _across(crowd: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs of a crowd's lines in different components that share one of their rarest shingles.
 
     A pair has a line outside the largest component of the lines that share a shingle, so only these
     are joined with the others.
     """
-    crowd = left.where(F.col("n") > PAIRED).select("value", "id", *BITS, "component")
+    crowd = crowd.select("value", "id", *BITS, "component")
     postings = stored(crowd.join(_rarest(crowd, known), "id"), "line-postings")
     main = postings.groupBy("value", "shingle", "component").agg(F.count("*").alias("lines"))
     main = main.groupBy("value", "shingle").agg(F.max_by("component", F.struct("lines", "component")).alias("main"), F.count("*").alias("parts"))
@@ -241,7 +324,7 @@ def _across(left: DataFrame, known: DataFrame) -> DataFrame:
     return postings.join(other, ["value", "shingle"]).where(alike).select(*_ordered("id", "other"), _apart(*_both()).alias("apart"))
 
 
-def _joined_up(more: DataFrame, edges: DataFrame, known: DataFrame) -> DataFrame:
+def _joined_up(more: DataFrame, edges: DataFrame, known: DataFrame, size: int) -> DataFrame:
     """The links, with those of the pairs that are still needed for the same components.
 
     Where pairs are many more than lines, every line is first verified with the one most like it, and
@@ -251,11 +334,11 @@ def _joined_up(more: DataFrame, edges: DataFrame, known: DataFrame) -> DataFrame
     while True:
         pairs, lines = more.count(), more.select("id").distinct().count()
         if pairs <= CROWDED * lines or (before and 5 * pairs > 4 * before):
-            return found.union(_similar(more.select("id", "head"), known))
+            return found.union(_verified(more.select("id", "head"), known, size))
         nearest = more.groupBy("id").agg(F.min_by("head", F.struct("apart", "head")).alias("head"))
         nearest = stored(nearest, "line-nearest")
         found, before = found.union(stored(_similar(nearest, known), "line-links")), pairs
-        parts = stored(connected_components(found.select("id", "head")), "line-parts")
+        parts = stored(components(found), "line-parts")
         named = more.join(nearest, ["id", "head"], "left_anti").join(parts.toDF("id", "component"), "id", "left").join(parts.toDF("head", "_component"), "head", "left")
         more = stored(named.where(F.coalesce("component", "id") != F.coalesce("_component", "head")).select("id", "head", "apart"), "line-more")
 
@@ -264,18 +347,17 @@ def links(signed: DataFrame, found: DataFrame) -> DataFrame:
     """(id, twin, head, head_twin) of similar lines: a graph with the components of all pairs that meet."""
     two, members = _buckets(signed)
     pairs = stored(two.union(members.where("id != head AND near").select("id", "head")).distinct(), "line-pairs")
-    wanted = pairs.select("id").union(pairs.select("head")).union(members.select("id")).distinct()
-    known = _maybe(found, wanted).select("id", "twin", "line").join(wanted, "id", "left_semi")
-    known = stored(known.dropDuplicates(["id", "twin"]), "line-texts")
-    edges = stored(_similar(pairs, known), "line-links")
-    left = _mixed(members, connected_components(edges.select("id", "head")))
+    size = signed.count()
+    edges = stored(_verified(pairs, _known(found, pairs), size), "line-links")
+    left = _mixed(members, components(edges))
     if left.isEmpty():
         return edges
     more = _paired(left)
-    if not left.where(F.col("n") > PAIRED).isEmpty():
-        more = more.union(_across(left, known))
+    crowd = left.where(F.col("n") > PAIRED)
+    if not crowd.isEmpty():
+        more = more.union(_crowds(crowd, found))
     more = stored(more.distinct().join(pairs, ["id", "head"], "left_anti"), "line-more")
-    return _joined_up(more, edges, known)
+    return _joined_up(more, edges, _known(found, more), size)
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -284,7 +366,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     signed = stored(signatures(found), "line-signatures")
     edges = stored(links(signed, found), "line-edges")
     nodes = edges.select("id", "twin").union(edges.select("head", "head_twin")).distinct()
-    nodes = nodes.join(connected_components(edges.select("id", "head")).withColumnRenamed("node", "id"), "id")
+    nodes = nodes.join(components(edges).withColumnRenamed("node", "id"), "id")
     place = F.struct(*PLACE)
     named = stored(signed.select("id", "twin", "rows", place.alias("place")).join(nodes, ["id", "twin"], "left").where("component IS NOT NULL OR rows > 1"), "line-groups")
     several = named.where("component IS NOT NULL")

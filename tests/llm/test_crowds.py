@@ -1,9 +1,11 @@
 """Lines that are alike, of any length and in crowds, against plain loops over five-character shingles."""
 
 import random
+import time
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from martwright.llm import line_dedup
 
@@ -132,3 +134,75 @@ def test_lines_go_from_repeated_rows_alike(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((str(r["doc_id"]), r["text"]) for r in line_dedup.without_dropped(docs).collect())
     assert got == [("1", "first"), ("1", "first"), ("2", "third"), ("None", "second line")]
+
+
+def crowd_of(spark, rng, n=90):
+    """A bucket's lines: bits that differ in up to nine places from those of three centres, a third in one component."""
+    centres = [(rng.getrandbits(40), rng.getrandbits(40)) for _ in range(3)]
+
+    def near(bits):
+        places = sum(1 << p for p in rng.sample(range(40), rng.randrange(10)))
+        return [b ^ (places & rng.getrandbits(40)) for b in bits]
+
+    rows = [(7, i, *near(centres[i % 3]), n, 0 if i % 3 == 0 else i) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "value long, id long, sketch long, second long, n long, component long")
+
+
+def hopeful(rows):
+    pairs = [(a, b) for a in rows for b in rows if a[1] > b[1] and a[5] != b[5]]
+    return sorted((a[1], b[1]) for a, b in pairs if ((a[2] ^ b[2]) | (a[3] ^ b[3])).bit_count() <= line_dedup.DIFFER)
+
+
+@pytest.mark.parametrize("compared", [1 << 26, 500])
+def test_a_crowd_makes_each_pair_once(spark, monkeypatch, compared):
+    """However many tasks share the crowd, no pair is made twice or lost, and none within a component."""
+    monkeypatch.setattr(line_dedup, "COMPARED", compared)
+    rows, crowd = crowd_of(spark, random.Random(11))
+    sizes = line_dedup._sizes(crowd)
+    assert [tuple(r) for r in sizes.collect()] == [(7, 0, 90, -(-60 * 90 // compared))]
+    got = sorted(tuple(r) for r in line_dedup._faced(crowd, sizes).select("id", "head").collect())
+    assert got == hopeful(rows) and len(got) > 400
+
+
+@pytest.mark.parametrize("limit", ["FACED", "MET"])
+def test_crowds_too_large_to_compare_are_searched_by_rare_shingles(spark, monkeypatch, limit):
+    monkeypatch.setattr(line_dedup, "PAIRED", 1)
+    monkeypatch.setattr(line_dedup, limit, 0)
+    searched, across = [], line_dedup._across
+    monkeypatch.setattr(line_dedup, "_across", lambda *of: searched.append(1) or across(*of))
+    rng = random.Random(9)
+    words = made(rng, 2000)
+    shared, lines = rng.choices(words, k=18), []
+    for _ in range(120):
+        own = rng.choices(words, k=22)
+        lines += [" ".join([*shared, *own]), " ".join([*shared, *own[:-2], *rng.choices(words, k=2)])]
+    got, want = dropped(spark, lines), set(brute.dropped_lines(list(enumerate(lines))))
+    assert searched and len(want) > 100 and got <= want and len(got) >= 0.95 * len(want)
+
+
+def test_pairs_are_verified_in_slices(spark, monkeypatch):
+    """At most about one pair a line is verified at a time; together they are all that are similar."""
+    lines = chain(random.Random(5), 60)
+    rows = [(i, i, line) for i, line in enumerate(lines)]
+    found = spark.createDataFrame(rows, "id long, twin long, line string")
+    pairs = spark.createDataFrame([(i, j) for i in range(60) for j in range(i)], "id long, head long")
+    slices, similar = [], line_dedup._similar
+    monkeypatch.setattr(line_dedup, "_similar", lambda some, known: slices.append(some.count()) or similar(some, known))
+    got = {(r["id"], r["head"]) for r in line_dedup._verified(pairs, line_dedup._known(found, pairs), 200).collect()}
+    assert len(slices) == 9 and sum(slices) == 1770 and max(slices) < 300
+    assert got == {(i, j) for i in range(60) for j in range(i) if alike(lines[i], lines[j]) >= 0.8}
+
+
+def test_a_step_that_is_stored_leaves_no_shuffle(spark):
+    """Shuffles that stayed until the driver collected its garbage added up to more than the disk has."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {name for f in files.getAllFiles().mkString("\n").split("\n") if (name := f.rpartition("/")[2]).startswith("shuffle_")}
+
+    before, until = shuffles(), time.time() + 20
+    summed = line_dedup.stored(spark.range(20000).groupBy((F.col("id") % 5000).alias("k")).count(), "line-test")
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and summed.count() == 5000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
