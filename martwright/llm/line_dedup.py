@@ -233,7 +233,7 @@ def _similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, known: DataFrame, lines: int) -> DataFrame:
     """All pairs that are similar enough, verified in slices of about ``lines`` pairs, as each pair takes a text along."""
-    slices = -(-pairs.count() // lines)
+    slices = -(-pairs.count() // max(1, lines))
     if slices <= 1:
         return _similar(pairs, known)
     own = F.pmod(F.xxhash64("id", "head"), F.lit(slices))
